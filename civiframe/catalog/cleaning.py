@@ -244,7 +244,7 @@ def raw_outlets(t):
         F.when(F.col("o_orderstatus") == "F", "PESEE EMBARQUEE")
         .when(F.col("o_orderstatus") == "P", "USINE")
         .alias("Nom Rech. Lieu de vidage"),
-        F.translate(F.round(F.col("o_totalprice") / 1000, 2).cast("string"), ".", ",").alias("Multiples Lignes"),
+        F.translate((F.floor(F.col("o_totalprice") / 10) / 100).cast("string"), ".", ",").alias("Multiples Lignes"),
         F.lit("BOM").alias("Clé unique ligne ticket"),
     )
 
@@ -256,7 +256,7 @@ OUTLETS_SQL = """outlets as (select 'T' || o_custkey as immat,
   case when o_orderpriority <> '5-LOW' then 'J' || o_orderkey end as no_bon, 'LOT' as lot,
   cast(o_custkey % 40 as integer) as service,
   case o_orderstatus when 'F' then 'PESEE EMBARQUEE' when 'P' then 'USINE' end as nom_rech_lieu_de_vidage,
-  round(o_totalprice / 1000, 2) as multiples_lignes, 'BOM' as cle_unique_ligne_ticket, o_orderdate from orders)"""
+  floor(o_totalprice / 10) / 100 as multiples_lignes, 'BOM' as cle_unique_ligne_ticket, o_orderdate from orders)"""
 
 
 @query(

@@ -6,6 +6,7 @@ from civiframe.catalog import standins as S
 from civiframe.catalog.registry import query, seconds_text, sql_paris_epoch, sql_surrogate_key
 from civiframe.operators import scd
 from civiframe.plans.waste import bin_dimension, producer_dimension
+from civiframe.session import stage
 
 PHOTO, NOW = "2022-03-01 00:00:00", "2022-03-02 13:00:00"
 
@@ -232,7 +233,8 @@ _DAY_1, _DAY_2 = (sql_paris_epoch(f"timestamp '{d}'") for d in ("2022-02-25", "2
            {_KEY('owner_text')} as id_producteur from rows_""",
 )
 def _pipe_dimensions(t):
-    """Two days in a row from the first, empty dimension. On the second day some bins have
+    """Two days in a row from the first, empty dimension, each day's snapshot stored as the
+    job does. On the second day some bins have
     a new owner; its id is made with that day's photo, which no producer carries, so
     these bins belong to the unknown producer."""
     now = F.lit("2022-02-25 13:00:00").cast("timestamp")
@@ -240,9 +242,12 @@ def _pipe_dimensions(t):
     producers = scd.bootstrap_producers(t.spark, days[0][0], now)
     bins = scd.bootstrap_bins(t.spark, days[0][0], now)
     for run_date, photo, later in days:
-        producers = producer_dimension(producers, _prepared_producers(t, photo), run_date, photo, now)
+        producers = stage(
+            producer_dimension(producers, _prepared_producers(t, photo), run_date, photo, now),
+            "producers",
+        )
         prepared = _prepared_bins(t, photo, later)
-        bins = bin_dimension(bins, prepared, producers, run_date, photo, now)
+        bins = stage(bin_dimension(bins, prepared, producers, run_date, photo, now), "bins")
     return bins.select(
         "id_bac", "code_puce", "code_producteur", "nb_collecte",
         F.unix_seconds("date_debut").alias("start_at"), F.unix_seconds("date_fin").alias("end_at"),

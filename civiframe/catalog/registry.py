@@ -78,14 +78,14 @@ def sql_surrogate_key(text: str) -> str:
         x = f"xor(h, {scramble('k')})"
         rot = f"((({x} << 13) | ({x} >> 19)) & {mask})"
         mixed = (
-            f"list_reduce(list_prepend(4155147218::ubigint, {pairs}), "
+            f"list_reduce(list_prepend({0xF7CA7FD2}::ubigint, {pairs}), "
             f"lambda h, k: (({rot} * 5 + 3864292196::ubigint) & {mask}))"
         )
         tail = f"case when length({t}) % 2 = 1 then {scramble(f'unicode({t}[length({t})])::ubigint')} else 0::ubigint end"
         h0 = f"xor(xor({mixed}, {tail}), length({t})::ubigint)"
         steps = (
             f"list_reduce([{h0}, 16::ubigint, 2246822507::ubigint, 13::ubigint, 3266489909::ubigint, 16::ubigint], "
-            f"lambda h, p, i: case when i in (2, 4, 6) then xor(h, h >> p) else ((h * p) & {mask}) end)"
+            f"lambda h, p: case when p < 32 then xor(h, h >> p) else ((h * p) & {mask}) end)"
         )
         return steps
 

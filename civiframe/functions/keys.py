@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
+
+# the key function travels with the plan, so executors need not have the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The public 32-bit Murmur3 constants and the string seed of the stored keys.
 _C1 = np.uint32(0xCC9E2D51)
@@ -43,7 +50,7 @@ def _murmur(units: np.ndarray, first: np.ndarray, size: np.ndarray, step: int) -
     return _xor_shift(_xor_shift(_xor_shift(h, 16) * _FINAL_1, 13) * _FINAL_2, 16)
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(LongType())
 def _key_of_text(texts: pd.Series) -> pd.Series:
     encoded = [t.encode("utf-16-be") for t in texts]
     size = np.array([len(e) // 2 for e in encoded], dtype=np.int64)
