@@ -65,15 +65,15 @@ def _flow_final(t):
     f"""with {S.WEIGHINGS_RAW}, {S.BIN_VERSIONS}, timed as (
       select *, cast(strptime(Date_de_la_levee || lpad(Heure_de_la_levee, 6, '0'), '%Y%m%d%H%M%S') as timestamp) as local_ts
       from weighings_raw),
-    instants as (select *, {sql_paris_epoch('local_ts')} as at from timed),
+    instants as (select *, {sql_paris_epoch('local_ts')} as moment from timed),
     versions as (select *, {sql_paris_epoch('date_debut')} as first_at, {sql_paris_epoch('date_fin')} as last_at from bin_versions),
-    weighed as (select at, Code_puce as code_puce, coalesce(id_bac, -2) as id_bac, Tournee as code_tournee,
+    weighed as (select moment, Code_puce as code_puce, coalesce(id_bac, -2) as id_bac, Tournee as code_tournee,
       Immatriculation as code_immat, Pesee_net as poids, Latitude as latitude, Longitude as longitude, categorie_recipient
-      from instants left join versions on Code_puce is not distinct from chip and at >= first_at
-        and (last_at is null or at <= last_at)),
+      from instants left join versions on Code_puce is not distinct from chip and moment >= first_at
+        and (last_at is null or moment <= last_at)),
     {S.CLASSIFIED}, {S.TRUCK_MODE},
     final as (select classified.*, {S.FINAL_FLOW_SQL} as flow from classified left join truck_mode using (code_immat))
-    select distinct at as epoch_seconds, code_puce, id_bac, code_tournee, code_immat, poids, {S.PLAUSIBLE_SQL} as poids_corr,
+    select distinct moment as epoch_seconds, code_puce, id_bac, code_tournee, code_immat, poids, {S.PLAUSIBLE_SQL} as poids_corr,
       latitude, longitude, flow as type_flux, '2024' as year, '01' as month, '10' as day from final""",
 )
 def _pipe_weigh_analysis(t):

@@ -213,7 +213,7 @@ def _schema_patch(t):
     "replace_partition",
     """select event_id, event_type, value * 2 as value, cast(day(ts) as integer) as day from events
          where day(ts) = 7 and event_type <> 'view'
-       union all select event_id, event_type, value, day(ts) from events where day(ts) <> 7""",
+       union all select event_id, event_type, value, cast(day(ts) as integer) from events where day(ts) <> 7""",
 )
 def _replace_partition(t):
     """Day 7 comes again with other values and fewer rows, twice."""
@@ -228,7 +228,7 @@ def _replace_partition(t):
     "replace_range",
     """select event_id, event_type, value, cast(day(ts) as integer) as day from events
          where not (event_type = 'click' and day(ts) between 5 and 9)
-       union all select event_id, event_type, -value, day(ts) from events
+       union all select event_id, event_type, -value, cast(day(ts) as integer) from events
          where event_type = 'click' and day(ts) between 5 and 8""",
 )
 def _replace_range(t):

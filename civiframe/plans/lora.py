@@ -17,8 +17,13 @@ from civiframe.operators.melt import (
 )
 from civiframe.operators.temporal import interval_join
 from civiframe.session import stage
-from civiframe.sources.readers import known_only, on_date, read_frames
-from civiframe.sources.sinks import full_reload, mark_replayed, replace_partition
+from civiframe.sources.readers import between_dates, known_only, on_date, read_frames
+from civiframe.sources.sinks import (
+    full_reload,
+    mark_replayed,
+    replace_between,
+    replace_partition,
+)
 
 NUMBERED = ("id", "year", "month", "day")
 
@@ -110,14 +115,13 @@ def replay_plan(
     return with_technical_key(enrich(measures, referential), *NUMBERED)
 
 
-def replaced_by_replay(stored: DataFrame, replayed: DataFrame, days: DataFrame) -> DataFrame:
-    """Stored measures outside the replayed (sensor, day) pairs, plus the replayed ones."""
+def outside_replay(stored: DataFrame, days: DataFrame) -> DataFrame:
+    """Stored measures outside the replayed (sensor, day) pairs."""
     stored_day = F.make_date(*[F.col(c).cast("int") for c in ("year", "month", "day")])
     gone = days.withColumnRenamed("deveui", "_deveui")
-    survivors = stored.join(
+    return stored.join(
         gone, (F.col("deveui") == F.col("_deveui")) & (stored_day == F.col("day_date")), "left_anti"
     )
-    return survivors.unionByName(replayed.select(*stored.columns))
 
 
 def run_daily(
@@ -139,16 +143,17 @@ def run_replay(
 ) -> None:
     """Replay every due sensor, replace its days in the target, then mark it. Nothing is
     marked when the replacement fails, so the next run starts over."""
-    due = sensors_to_replay(sensors)
-    replayed = stage(
-        replay_plan(
-            frames, sensors, parameters, referential, run_date, inserted_at, history_columns
-        ),
-        "replay",
-    )
-    stored = spark.read.orc(target)
-    table = stage(replaced_by_replay(stored, replayed, replay_days(due, run_date)), "replayed")
-    table.hint("rebalance", "year", "month", "day").write.mode("overwrite").partitionBy(
-        "year", "month", "day"
-    ).orc(target)
-    full_reload(mark_replayed(sensors, replayed, run_date), sensors_target)
+    due = stage(sensors_to_replay(sensors), "due")
+    days = replay_days(due, run_date)
+    first, last = days.agg(F.min("day_date"), F.max("day_date")).first()
+    if first is not None:
+        measures = replay_plan(
+            frames.where(between_dates(str(first), str(last))),
+            sensors, parameters, referential, run_date, inserted_at, history_columns,
+        )
+        replace_between(
+            spark, measures, target, str(first), str(last),
+            lambda stored: outside_replay(stored, days),
+        )
+    marked = stage(mark_replayed(sensors, due, run_date), "marked")
+    full_reload(marked, sensors_target)

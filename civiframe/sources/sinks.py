@@ -3,14 +3,14 @@ same table; there is no separate delete that could be left half done."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiframe.config import POINTER
 from civiframe.session import stage
-from civiframe.sources.readers import between_dates, day_equals
+from civiframe.sources.readers import between_dates, on_date
 
 DAY = ("year", "month", "day")
 WEEK = ("year", "month", "week")
@@ -54,6 +54,12 @@ def write_snapshot(df: DataFrame, base: str, path: str, moment) -> None:
     publish_pointer(df.sparkSession, base, path, moment)
 
 
+def _folder_values(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Partition columns as the text their folders carry (``month=01``): values read back
+    from folders come as numbers and would otherwise open folders of their own."""
+    return df.withColumns({c: F.lpad(F.col(c).cast("string"), 4 if c == "year" else 2, "0") for c in by})
+
+
 def _overwrite_partitions(df: DataFrame, base: str, by: Sequence[str]) -> None:
     (
         df.write.mode("overwrite")
@@ -65,48 +71,53 @@ def _overwrite_partitions(df: DataFrame, base: str, by: Sequence[str]) -> None:
 
 def replace_partition(df: DataFrame, base: str, by: Sequence[str] = DAY) -> None:
     """Replace every partition that ``df`` brings, leave the others alone."""
-    _overwrite_partitions(_balanced(df, None, by), base, by)
+    _overwrite_partitions(_balanced(_folder_values(df, by), None, by), base, by)
 
 
-def replace_rows(
-    spark: SparkSession, new: DataFrame, base: str, scope: Column, by: Sequence[str] = DAY
+def replace_between(
+    spark: SparkSession,
+    new: DataFrame,
+    base: str,
+    first: str,
+    last: str,
+    survivors: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Replace the stored rows matching ``scope`` by ``new``.
+    """Rewrite the days ``first`` to ``last`` as ``survivors`` of the stored rows plus ``new``.
 
-    Survivors of the touched partitions are staged before the overwrite, because
-    they are read from the table being written. A partition that loses all its
-    rows is cut by overwriting the whole table only when needed.
+    Only those days' folders are read and written. The result is staged first, since
+    it is read from the table being written; a day left without rows loses its folder.
     """
-    stored = spark.read.orc(base)
+    stored = spark.read.orc(base).where(between_dates(first, last))
     new = new.select(*[F.col(n).cast(stored.schema[n].dataType).alias(n) for n in stored.columns])
-    touched = stored.where(scope).select(*by).unionByName(new.select(*by)).distinct()
-    survivors = stored.where(~F.coalesce(scope, F.lit(False))).join(touched, list(by), "left_semi")
-    result = stage(survivors.unionByName(new), "replace")
-    emptied = touched.join(result, list(by), "left_anti")
-    if emptied.isEmpty():
-        _overwrite_partitions(_balanced(result, None, by), base, by)
-    else:
-        untouched = stored.join(touched, list(by), "left_anti")
-        whole = stage(untouched.unionByName(result), "replace-all")
-        _balanced(whole, None, by).write.mode("overwrite").partitionBy(*by).orc(base)
+    result = stage(_folder_values(survivors(stored).unionByName(new), DAY), "replace")
+    left_over = result.select(*DAY).distinct()
+    # at most one row per day of the range reaches the driver
+    emptied = _folder_values(stored.select(*DAY).distinct(), DAY).join(left_over, list(DAY), "left_anti").collect()
+    _overwrite_partitions(_balanced(result, None, DAY), base, DAY)
+    for day in emptied:
+        _drop_folder(spark, base + "".join(f"/{c}={day[c]}" for c in DAY))
 
 
-def replace_key_day(
-    spark: SparkSession, new: DataFrame, base: str, date: str, key: str, value: str
-) -> None:
-    """Replace one sensor's rows of one day."""
-    replace_rows(spark, new, base, _day(date) & (F.col(key) == value))
+def _drop_folder(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    folder.getFileSystem(conf).delete(folder, True)
 
 
 def replace_key_range(
     spark: SparkSession, new: DataFrame, base: str, first: str, last: str, key: str, value: str
 ) -> None:
     """Replace one sensor's rows of the days ``first`` to ``last``, both included."""
-    replace_rows(spark, new, base, between_dates(first, last) & (F.col(key) == value))
+    replace_between(
+        spark, new, base, first, last, lambda stored: stored.where(~F.col(key).eqNullSafe(value))
+    )
 
 
-def _day(date: str) -> Column:
-    return between_dates(date, date)
+def replace_key_day(
+    spark: SparkSession, new: DataFrame, base: str, date: str, key: str, value: str
+) -> None:
+    """Replace one sensor's rows of one day."""
+    replace_key_range(spark, new, base, date, date, key, value)
 
 
 def full_reload(df: DataFrame, target: str, fmt: str = "orc") -> None:
@@ -131,7 +142,7 @@ def patch_column(
     spark: SparkSession, base: str, date: str, column: str, type_name: str, target: str
 ) -> None:
     """Stored snapshot of a date with one column cast, written beside the original."""
-    stored = spark.read.orc(base).where(_day(date))
+    stored = spark.read.orc(base).where(on_date(date))
     patched = stored.withColumn(column, F.col(column).try_cast(type_name))
     patched.write.mode("overwrite").orc(target)
 
@@ -143,10 +154,3 @@ def mark_replayed(sensors: DataFrame, replayed: DataFrame, date: str) -> DataFra
     return flagged.withColumn(
         "reprisedon", F.when(F.col("_done"), F.lit(date)).otherwise(F.col("reprisedon"))
     ).select(*sensors.columns)
-
-
-__all__ = [
-    "append_day", "append_with_csv", "day_equals", "full_reload", "mark_replayed", "patch_column",
-    "publish_jdbc", "publish_pointer", "publish_to", "replace_key_day", "replace_key_range",
-    "replace_partition", "replace_rows", "write_dual", "write_snapshot",
-]
