@@ -47,11 +47,11 @@ def areas(t):
     table = t.nation.select(
         key.alias("code_insee"), F.when(key < 20, 1).otherwise(0).alias("commune_agglo"), rings.alias("rings")
     )
-    return spatial.with_edges(table)
+    return spatial.prepare_polygons(table)
 
 
-def _districts(t):
-    return areas(t).select((F.col("code_insee") + 100).alias("nuquart"), "edges")
+def districts(polygons):
+    return polygons.withColumn("nuquart", F.col("code_insee") + 100)
 
 
 _X, _Y = sql_projected("latitude", "longitude")
@@ -117,7 +117,8 @@ _PLACED = f"""{_AREAS}, {_POINTS}, {_INSIDE.format(key='c_custkey')}, {_OWN.form
 def _pipe_spatial(t):
     where = positions(t.customer).select(F.col("c_custkey").alias("o_custkey"), "latitude", "longitude")
     facts = t.orders.select("o_orderkey", "o_custkey").join(where, "o_custkey", "left")
-    placed = spatial.attribute_places(facts, areas(t), _districts(t))
+    polygons = areas(t)
+    placed = spatial.attribute_places(facts, polygons, districts(polygons))
     return placed.select("o_orderkey", "o_custkey", "code_insee", "code_quartier")
 
 
@@ -133,7 +134,8 @@ def _pipe_correction(t):
     corrected = weights.correct_weights(
         to_correct(t).join(where, "id_bac", "left"), _support(t), _bins(t), history(t), ntz("2000-06-30 00:00:00")
     )
-    placed = spatial.attribute_places(corrected, areas(t), _districts(t))
+    polygons = areas(t)
+    placed = spatial.attribute_places(corrected, polygons, districts(polygons))
     return (
         placed.withColumn("poids_corr", F.round("poids_corr", 6))
         .groupBy("code_puce", "id_bac", "type_flux", "poids", "poids_corr", "code_insee", "code_quartier")

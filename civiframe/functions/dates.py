@@ -20,11 +20,11 @@ def week_of_month_text(day: int) -> str:
 
 
 def local_timestamp(iso_text: Column) -> Column:
-    """Wall-clock part of an ISO text; the zone offset is cut off."""
+    """Wall-clock part of an ISO text; the zone offset is cut off. Text of another shape
+    gives null."""
     head = F.substring(iso_text, 1, 19)
-    return F.when(
-        head.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"), head.try_cast("timestamp_ntz")
-    )
+    shape = F.translate(head, "0123456789", "9999999999") == "9999-99-99T99:99:99"
+    return F.when(shape, head.try_cast("timestamp_ntz"))
 
 
 def iso_to_standard_text(iso_text: Column) -> Column:

@@ -76,43 +76,52 @@ def bounding_box(edges: Column) -> dict[str, Column]:
     }
 
 
+def _side(e: Column, x: Column, y: Column) -> Column:
+    """Twice the area of edge and point; its sign tells the side."""
+    return (e.x2 - e.x1) * (y - e.y1) - (x - e.x1) * (e.y2 - e.y1)
+
+
 def contains_point(edges: Column, x: Column, y: Column) -> Column:
     """True inside; a point on the outline is not contained."""
 
-    def side(e: Column) -> Column:
-        return (e.x2 - e.x1) * (y - e.y1) - (x - e.x1) * (e.y2 - e.y1)
-
     def on_edge(e: Column) -> Column:
         return (
-            (side(e) == 0)
+            (_side(e, x, y) == 0)
             & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
             & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
         )
 
     def crosses(e: Column) -> Column:
         # the edge spans the height of the point and passes to its right
-        return ((e.y1 > y) != (e.y2 > y)) & ((side(e) > 0) == (e.y2 > e.y1))
+        return ((e.y1 > y) != (e.y2 > y)) & ((_side(e, x, y) > 0) == (e.y2 > e.y1))
 
     crossings = F.size(F.filter(edges, crosses))
     return (crossings % 2 == 1) & ~F.exists(edges, on_edge)
 
 
 def edge_distance(edges: Column, x: Column, y: Column) -> Column:
-    """Shortest distance from the point to the outline."""
+    """Shortest distance from the point to the outline: to an end of the edge where the
+    foot of the perpendicular falls outside it, else the height over the edge."""
+
+    def square(v: Column) -> Column:
+        return F.pow(v, F.lit(2.0))
 
     def squared(e: Column) -> Column:
-        dx, dy = e.x2 - e.x1, e.y2 - e.y1
-        length2 = dx * dx + dy * dy
-        along = F.when(length2 == 0, F.lit(0.0)).otherwise(
-            ((x - e.x1) * dx + (y - e.y1) * dy) / F.when(length2 != 0, length2)
+        along = (x - e.x1) * (e.x2 - e.x1) + (y - e.y1) * (e.y2 - e.y1)
+        length2 = square(e.x2 - e.x1) + square(e.y2 - e.y1)
+        return (
+            F.when(along <= 0, square(x - e.x1) + square(y - e.y1))
+            .when(along >= length2, square(x - e.x2) + square(y - e.y2))
+            .otherwise(square(_side(e, x, y)) / length2)
         )
-        along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), along))
-        ex, ey = x - (e.x1 + along * dx), y - (e.y1 + along * dy)
-        return ex * ex + ey * ey
 
     return F.sqrt(F.array_min(F.transform(edges, squared)))
 
 
-def polygon_distance(edges: Column, x: Column, y: Column) -> Column:
-    """0 inside or on the outline, else the distance to the outline."""
-    return F.when(contains_point(edges, x, y), F.lit(0.0)).otherwise(edge_distance(edges, x, y))
+def polygon_distance(edges: Column, box: dict[str, Column], x: Column, y: Column) -> Column:
+    """0 inside or on the outline, else the distance to the outline. Only a point in the
+    bounding box is tested for being inside."""
+    in_box = x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
+    return F.when(in_box & contains_point(edges, x, y), F.lit(0.0)).otherwise(
+        edge_distance(edges, x, y)
+    )

@@ -1,6 +1,6 @@
 """Points to polygons without a geometry library.
 
-Polygons carry ``edges`` (see ``functions.geo``). Both joins hash on grid cells, so
+Polygons carry ``edges`` and a bounding box (``prepare_polygons``). Both joins hash on grid cells, so
 each point meets only the polygons near it; the exact test runs on those.
 """
 
@@ -18,15 +18,20 @@ from civiframe.functions.geo import (
     project_point,
     ring_edges,
 )
+from civiframe.session import stage
 
 CELL = 2_000.0
 # Cell sizes (metres) tried in turn for the nearest polygon; a cell of the last one
 # is wider than the projection's plane.
-NEAREST_CELLS = (2_000.0, 32_000.0, 512_000.0, 100_000_000.0)
+NEAREST_CELLS = (4_000.0, 128_000.0, 100_000_000.0)
 
 
-def with_edges(polygons: DataFrame, rings: str = "rings") -> DataFrame:
-    return polygons.withColumn("edges", ring_edges(F.col(rings))).drop(rings)
+def prepare_polygons(polygons: DataFrame, rings: str = "rings") -> DataFrame:
+    """Polygons with edges and bounding box, stored once: the joins below read them
+    several times."""
+    table = polygons.withColumn("edges", ring_edges(F.col(rings))).drop(rings)
+    boxed = table.withColumns(bounding_box(F.col("edges")))
+    return stage(boxed, "polygons")
 
 
 def with_projection(df: DataFrame, latitude: str = "latitude", longitude: str = "longitude") -> DataFrame:
@@ -38,15 +43,18 @@ def _cell(value: Column, size: float) -> Column:
     return F.floor(value / size)
 
 
+BOX = ("xmin", "xmax", "ymin", "ymax")
+
+
 def _polygon_cells(polygons: DataFrame, size: float, margin: int) -> DataFrame:
     """Polygons repeated over the cells of their bounding box, widened by ``margin``."""
-    box = bounding_box(F.col("edges"))
 
     def span(low: str, high: str) -> Column:
-        return F.sequence(_cell(box[low], size) - margin, _cell(box[high], size) + margin)
+        return F.sequence(_cell(F.col(low), size) - margin, _cell(F.col(high), size) + margin)
 
-    return polygons.withColumn("_cx", F.explode(span("xmin", "xmax"))).withColumn(
-        "_cy", F.explode(span("ymin", "ymax"))
+    return (
+        polygons.withColumn("_cx", F.explode(span("xmin", "xmax")))
+        .withColumn("_cy", F.explode(span("ymin", "ymax")))
     )
 
 
@@ -54,7 +62,7 @@ def attach_containing(
     points: DataFrame, polygons: DataFrame, attributes: Sequence[str], cell: float = CELL
 ) -> DataFrame:
     """Left join of points (``px, py``) with every polygon that contains them."""
-    cells = _polygon_cells(polygons.select(*attributes, "edges"), cell, 0)
+    cells = _polygon_cells(polygons.select(*attributes, "edges", *BOX), cell, 0)
     joined = points.join(
         cells,
         (_cell(F.col("px"), cell) == F.col("_cx"))
@@ -80,24 +88,26 @@ def nearest_of(
         {"_best": F.lit(None).cast(f"struct<distance:double,id:{dict(polygons.dtypes)[id_column]}>")}
     )
     for size in cells:
-        near = _polygon_cells(polygons.select(id_column, "edges"), size, 1)
+        near = _polygon_cells(polygons.select(id_column, "edges", *BOX), size, 1)
         # points already settled have no cell and meet nothing
         open_x = F.when(F.col("_best").isNull(), _cell(F.col("px"), size))
         joined = found.join(
             near, (open_x == F.col("_cx")) & (_cell(F.col("py"), size) == F.col("_cy")), "left"
         )
-        candidate = F.when(
-            F.col("edges").isNotNull(),
-            F.struct(
-                polygon_distance(F.col("edges"), F.col("px"), F.col("py")).alias("distance"),
-                F.col(id_column).alias("id"),
-            ),
+        box = {name: F.col(name) for name in BOX}
+        # named and used twice, so it is computed before the aggregation, which then
+        # carries numbers instead of outlines
+        measured = joined.withColumn(
+            "_distance", polygon_distance(F.col("edges"), box, F.col("px"), F.col("py"))
+        )
+        hit = F.when(
+            F.col("_distance") <= size,
+            F.struct(F.col("_distance").alias("distance"), F.col(id_column).alias("id")),
         )
-        best = joined.groupBy("px", "py").agg(
-            F.first("_best").alias("_settled"), F.min(candidate).alias("_near")
+        best = measured.groupBy("px", "py").agg(
+            F.first("_best").alias("_settled"), F.min(hit).alias("_near")
         )
-        usable = F.when(F.col("_near.distance") <= size, F.col("_near"))
-        found = best.select("px", "py", F.coalesce(F.col("_settled"), usable).alias("_best"))
+        found = best.select("px", "py", F.coalesce("_settled", "_near").alias("_best"))
     return found.select(
         "px", "py", F.col("_best.id").alias(id_column), F.col("_best.distance").alias("distance")
     )
@@ -108,7 +118,7 @@ def attribute_places(
 ) -> DataFrame:
     """Municipality (containing, else nearest, of the agglomeration) and district of
     each fact, from its latitude and longitude. Nothing is sorted; order at the sink."""
-    own = municipalities.where(F.col("commune_agglo") == 1).select("code_insee", "edges")
+    own = municipalities.where(F.col("commune_agglo") == 1).select("code_insee", "edges", *BOX)
     located = attach_containing(with_projection(facts), own, ["code_insee"])
     nearest = nearest_of(located.where(F.col("code_insee").isNull()), own, "code_insee").select(
         F.col("px").alias("_px"), F.col("py").alias("_py"), F.col("code_insee").alias("_nearest")
@@ -118,7 +128,7 @@ def attribute_places(
         F.col("code_insee").isNull() & (F.col("px") == F.col("_px")) & (F.col("py") == F.col("_py")),
         "left",
     ).withColumn("code_insee", F.coalesce("code_insee", "_nearest"))
-    quarter = districts.select(F.col("nuquart").alias("code_quartier"), "edges")
+    quarter = districts.select(F.col("nuquart").alias("code_quartier"), "edges", *BOX)
     return attach_containing(placed.drop("_px", "_py", "_nearest"), quarter, ["code_quartier"]).drop(
         "px", "py"
     )
