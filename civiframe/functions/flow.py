@@ -58,6 +58,14 @@ def classify_flow(category: Column, round_code: Column, truck: Column) -> Column
     return flow.otherwise(UNKNOWN)
 
 
+def round_tells_flow(round_code: Column) -> Column:
+    """True when the round's suffix names a flow; false for a missing round."""
+    tells = F.lit(False)
+    for end in ROUND_SUFFIX_FLOW:
+        tells = tells | F.endswith(round_code, F.lit(end))
+    return F.coalesce(tells, F.lit(False))
+
+
 def flow_for_truck_mode(flow: Column) -> Column:
     """Second pass, the value counted per truck. Rows still unknown carry no bin
     category, so they count as plain unknown."""

@@ -18,6 +18,7 @@ from civiframe.functions.dates import LOCAL_ZONE, compact_instant
 from civiframe.functions.flow import chip_type, pick_frequency
 from civiframe.functions.keys import surrogate_key
 from civiframe.operators.clean import keep_one, stamp_day
+from civiframe.operators.joins import spread_left_join
 
 CLOSED, CREATED, SAME, UPDATED, OWNER_CHANGED = (
     "closed", "created", "unchanged", "updated", "owner_changed",
@@ -173,9 +174,12 @@ def default_owner_id(bins: DataFrame, producers: DataFrame) -> DataFrame:
     """Owner ids missing from the producer dimension become the unknown producer's."""
     known = producers.select(F.col("id_producteur").alias("_known")).distinct()
     unknown = producers.where(F.col("code_producteur").isNull()).agg(F.min("id_producteur"))
-    joined = bins.join(known, F.col("id_producteur") == F.col("_known"), "left")
+    # most bins may share one owner, the unknown one
+    joined = spread_left_join(
+        bins, known.withColumn("_found", F.lit(True)), [("id_producteur", "_known")]
+    )
     return joined.withColumn(
-        "id_producteur", F.coalesce(F.col("_known"), unknown.scalar())
+        "id_producteur", F.when(F.col("_found"), F.col("id_producteur")).otherwise(unknown.scalar())
     ).select(*bins.columns)
 
 

@@ -18,6 +18,7 @@ from civiframe.functions.geo import (
     project_point,
     ring_edges,
 )
+from civiframe.operators.joins import spread_left_join
 from civiframe.session import stage
 
 CELL = 2_000.0
@@ -123,12 +124,12 @@ def attribute_places(
     nearest = nearest_of(located.where(F.col("code_insee").isNull()), own, "code_insee").select(
         F.col("px").alias("_px"), F.col("py").alias("_py"), F.col("code_insee").alias("_nearest")
     )
-    placed = located.join(
-        nearest,
-        F.col("code_insee").isNull() & (F.col("px") == F.col("_px")) & (F.col("py") == F.col("_py")),
-        "left",
+    # many facts may share one position outside (a default of the device)
+    unplaced = F.when(F.col("code_insee").isNull(), F.col("px")).alias("_ux")
+    placed = spread_left_join(
+        located.select("*", unplaced), nearest, [("_ux", "_px"), ("py", "_py")]
     ).withColumn("code_insee", F.coalesce("code_insee", "_nearest"))
     quarter = districts.select(F.col("nuquart").alias("code_quartier"), "edges", *BOX)
-    return attach_containing(placed.drop("_px", "_py", "_nearest"), quarter, ["code_quartier"]).drop(
+    return attach_containing(placed.drop("_ux", "_nearest"), quarter, ["code_quartier"]).drop(
         "px", "py"
     )

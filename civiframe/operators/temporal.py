@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civiframe.operators.joins import spread_left_join
+
 SPLIT_VERSIONS = 256
 BROADCAST_KEYS = 100_000
 
@@ -66,17 +68,20 @@ def interval_join(
         return _join_plain(facts, versions, on, within, how)
 
     many = many.withColumn("_many", F.lit(True))
-    small = F.broadcast(many) if n_many <= BROADCAST_KEYS else many
 
-    def flag(df: DataFrame, columns: list[Column]) -> DataFrame:
-        match = [equal(c, F.col(f"_k{i}")) for i, c in enumerate(columns)]
-        joined = df.join(small, reduce(lambda a, b: a & b, match), "left")
-        return joined.drop(*[f"_k{i}" for i in range(len(columns))])
+    def flag(df: DataFrame, columns: list[str]) -> DataFrame:
+        on = [(c, f"_k{i}") for i, c in enumerate(columns)]
+        if n_many > BROADCAST_KEYS:
+            return spread_left_join(df, many, on, null_safe=null_safe)
+        tests = [equal(F.col(c), F.col(k)) for c, k in on]
+        return df.join(F.broadcast(many), reduce(lambda a, b: a & b, tests), "left").drop(
+            *[k for _, k in on]
+        )
 
     def bucket(moment: Column) -> Column:
         return F.floor(F.datediff(moment.cast("date"), F.lit("1970-01-01").cast("date")) / bucket_days)
 
-    flagged_facts = flag(facts, fact_keys).withColumn(
+    flagged_facts = flag(facts, [f for f, _ in keys]).withColumn(
         "_fact_bucket", F.when(F.col("_many"), bucket(F.col(ts))).otherwise(F.lit(0).cast("long"))
     )
     # open versions reach the last bucket that holds a fact
@@ -87,7 +92,7 @@ def interval_join(
         F.when(last_bucket >= first_bucket, F.sequence(first_bucket, last_bucket)),
     ).otherwise(F.array(F.lit(0).cast("long")))
     flagged_versions = (
-        flag(versions, version_keys)
+        flag(versions, [v for _, v in keys])
         .withColumn("_version_bucket", F.explode(spread))
         .drop("_many")
     )
