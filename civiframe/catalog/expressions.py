@@ -11,9 +11,10 @@ from civiframe.catalog.registry import (
     sql_surrogate_key,
 )
 from civiframe.functions import dates, keys
-from civiframe.functions.flow import classify_flow, pick_frequency, plausible_weight
+from civiframe.functions.flow import pick_frequency, plausible_weight
 from civiframe.functions.geo import conic_constants, project_point
 from civiframe.functions.text import extract_number
+from civiframe.operators.weights import with_first_flow
 
 
 @query(
@@ -200,9 +201,8 @@ def _frequency_pick(t):
     from classified group by all""",
 )
 def _flow_class(t):
-    flow = classify_flow(F.col("categorie_recipient"), F.col("code_tournee"), F.col("code_immat"))
     group = ["code_puce", "code_tournee", "code_immat", "categorie_recipient", "type_flux"]
-    return S.weighed(t).withColumn("type_flux", flow).groupBy(*group).agg(F.count("*").alias("n"))
+    return with_first_flow(S.weighed(t)).groupBy(*group).agg(F.count("*").alias("n"))
 
 
 @query(

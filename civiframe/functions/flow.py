@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from civiframe.functions.text import strip_accents
-
 # Flow labels and the texts that identify them.
 CATEGORY_FLOW = {
     "Bacs ordures menageres": "OM",
@@ -42,9 +40,9 @@ def pick_frequency(bin_type: Column, freq_om: Column, freq_cs: Column) -> Column
     )
 
 
-def classify_flow(category: Column, round_code: Column, truck: Column) -> Column:
-    """First pass: bin category, then suffix of the round, then whether a truck is known."""
-    plain = strip_accents(category)
+def classify_flow(plain: Column, round_code: Column, truck: Column) -> Column:
+    """First pass: bin category (without accents), then suffix of the round, then whether
+    a truck is known."""
     rules = [(F.contains(plain, F.lit(text)), flow) for text, flow in CATEGORY_FLOW.items()]
     rules += [(F.endswith(round_code, F.lit(end)), flow) for end, flow in ROUND_SUFFIX_FLOW.items()]
     for text in OTHER_CATEGORIES:

@@ -87,11 +87,13 @@ def flow_rates(spark: SparkSession) -> DataFrame:
 # -- flow classification ------------------------------------------------------------------
 
 
-def with_first_flow(df: DataFrame) -> DataFrame:
-    return df.withColumn(
-        "type_flux",
-        classify_flow(F.col("categorie_recipient"), F.col("code_tournee"), F.col("code_immat")),
-    )
+def with_first_flow(df: DataFrame, plain: bool = False) -> DataFrame:
+    """First flow. ``plain`` says that the category is without accents already. The
+    stripped text is a column of its own, so it is made once for all the rules."""
+    category = F.col("categorie_recipient")
+    stripped = df.withColumn("_plain", category if plain else strip_accents(category))
+    flow = classify_flow(F.col("_plain"), F.col("code_tournee"), F.col("code_immat"))
+    return stripped.withColumn("type_flux", flow).drop("_plain")
 
 
 def truck_flow_mode(classified: DataFrame, ties: str = "all") -> DataFrame:
@@ -240,7 +242,6 @@ def short_history(last: DataFrame, length: int = HISTORY_LENGTH) -> DataFrame:
 def rate_name(flow: Column, volume: Column) -> Column:
     """Rate that replaces a weight: by flow and volume, else the flow's global rate;
     null means the overall average."""
-    flow = strip_accents(flow)
     name = F.when(flow.isin(OTHER, UNKNOWN), F.lit(None).cast("string"))
     for label, by_volume in RATE_VOLUMES.items():
         for rate, volumes in by_volume.items():

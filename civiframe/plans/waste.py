@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from civiframe.config import BIN, BIN_DIM, OUTLET, OUTLET_FACT, PRODUCER, PRODUCER_DIM, WEIGHING
 from civiframe.functions.dates import compact_instant
+from civiframe.functions.text import strip_accents
 from civiframe.operators.clean import (
     drop_incomplete,
     keep_one,
@@ -157,7 +158,9 @@ def attach_bins(prepared: DataFrame, bins: DataFrame, check_keys: bool = True) -
         "date_mesure", compact_instant(F.col("Date_de_la_levee"), F.col("Heure_de_la_levee"))
     )
     versions = bins.select(
-        "id_bac", F.col("code_puce").alias("_chip"), "date_debut", "date_fin", "categorie_recipient"
+        "id_bac", F.col("code_puce").alias("_chip"), "date_debut", "date_fin",
+        # accents go once per bin here instead of once per weighing
+        strip_accents(F.col("categorie_recipient")).alias("categorie_recipient"),
     )
     joined = interval_join(
         timed, versions, [("Code_puce", "_chip")], "date_mesure", "date_debut", "date_fin",
@@ -182,7 +185,7 @@ def weighing_facts(
         F.col("Longitude").alias("longitude"),
         "categorie_recipient",
     )
-    classified = with_final_flow(with_first_flow(named), ties)
+    classified = with_final_flow(with_first_flow(named, plain=True), ties)
     weighed = with_plausible_weight(classified).select(
         "date_mesure", "code_puce", "id_bac", "code_tournee", "code_immat", "poids", "poids_corr",
         "latitude", "longitude", now.alias("date_crea"),
