@@ -206,7 +206,7 @@ def _schema_patch(t):
     )
     sinks.append_day(stored, base)
     sinks.patch_column(t.spark, base, "2024-01-01", "c_nationkey", "double", patched)
-    return t.spark.read.orc(patched).select("c_custkey", "c_nationkey")
+    return t.spark.read.orc(f"{patched}/orc").select("c_custkey", "c_nationkey")
 
 
 @query(

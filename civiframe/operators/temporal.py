@@ -79,7 +79,7 @@ def interval_join(
         )
 
     def bucket(moment: Column) -> Column:
-        return F.floor(F.datediff(moment.cast("date"), F.lit("1970-01-01").cast("date")) / bucket_days)
+        return F.floor(F.datediff(moment.try_cast("date"), F.lit("1970-01-01").cast("date")) / bucket_days)
 
     flagged_facts = flag(facts, [f for f, _ in keys]).withColumn(
         "_fact_bucket", F.when(F.col("_many"), bucket(F.col(ts))).otherwise(F.lit(0).cast("long"))

@@ -52,7 +52,7 @@ def enrich(measures: DataFrame, referential: DataFrame) -> DataFrame:
     )
     joined = interval_join(
         measures, versions, [("deveui", "_deveui"), ("name", "_name")], "tramedate",
-        "enabledon", "disabledon", how="inner", closed=False, check_keys=False,
+        "enabledon", "disabledon", how="inner", closed=False,
     )
     return joined.select(
         "id", "deveui", "enabledon", "tramedate", "name", "value",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civiframe.config import BIN, BIN_DIM, OUTLET, OUTLET_FACT, PRODUCER, PRODUCER_DIM, WEIGHING
+from civiframe.config import BIN, BIN_DIM, OUTLET, PRODUCER, PRODUCER_DIM, WEIGHING
 from civiframe.functions.dates import compact_instant
 from civiframe.functions.text import strip_accents
 from civiframe.operators.clean import (
@@ -42,7 +42,6 @@ from civiframe.operators.weights import (
 )
 from civiframe.sources.readers import (
     day_equals,
-    empty_frame,
     on_date,
     previous_year_window,
     read_csv_config,
@@ -50,7 +49,14 @@ from civiframe.sources.readers import (
     read_or_empty,
     reference_month,
 )
-from civiframe.sources.sinks import append_day, publish_to, write_dual, write_snapshot
+from civiframe.session import stage
+from civiframe.sources.sinks import (
+    append_day,
+    publish_to,
+    replace_partition,
+    write_dual,
+    write_snapshot,
+)
 
 UNKNOWN_CHIP = "INCONNU"
 
@@ -228,22 +234,19 @@ def outlet_facts(prepared: DataFrame, run_date: str, now: Column, replay: bool =
 
 
 def run_outlets(
-    spark: SparkSession, prepared: str, target: str, run_date: str, now: Column
+    spark: SparkSession, prepared: str, target: str, published: str, run_date: str, now: Column
 ) -> None:
+    """Outlet facts of a day: CSV and ORC copies under the day's folder, and that day
+    replaced in the published table."""
     rows = read_or_empty(
         spark, lambda: spark.read.orc(prepared).where(on_date(run_date)), OUTLET.schema()
     ).select(*OUTLET.names)
-    facts = outlet_facts(rows, run_date, now)
-    write_dual(facts, f"{target}/year-month-day={run_date}", files=2)
+    facts = stage(outlet_facts(rows, run_date, now), "outlets")
+    year, month, day = run_date.split("-")
+    write_dual(facts, f"{target}/year={year}/month={month}/day={day}", files=2, mode="overwrite")
+    replace_partition(facts, published)
 
 
 def expose(df: DataFrame, reloads: list[str], replaces: list[str]) -> None:
     """One stored frame to its published targets."""
     publish_to(df, reloads, replaces)
-
-
-__all__ = [
-    "OUTLET_FACT", "attach_bins", "bin_dimension", "corrected_facts", "correction_plan",
-    "empty_frame", "expose", "outlet_facts", "outlet_preparation", "producer_dimension",
-    "run_dimensions", "run_outlets", "run_preparation", "weighing_facts",
-]

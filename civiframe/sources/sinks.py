@@ -34,12 +34,12 @@ def append_with_csv(df: DataFrame, base: str, csv_base: str, by: Sequence[str] =
     df.write.mode("append").partitionBy(*by).options(header=True, sep=";").csv(csv_base)
 
 
-def write_dual(df: DataFrame, base: str, files: int | None = None) -> None:
+def write_dual(df: DataFrame, base: str, files: int | None = None, mode: str = "append") -> None:
     """Gzip CSV and ORC copies with a bounded number of files. The frame is staged
     once, so its plan does not run twice."""
     staged = _balanced(stage(df, "dual"), files)
-    staged.write.mode("append").options(header=True, sep=";", compression="gzip").csv(f"{base}/csv")
-    staged.write.mode("append").orc(f"{base}/orc")
+    staged.write.mode(mode).options(header=True, sep=";", compression="gzip").csv(f"{base}/csv")
+    staged.write.mode(mode).orc(f"{base}/orc")
 
 
 def publish_pointer(spark: SparkSession, base: str, path: str, moment) -> None:
@@ -141,10 +141,11 @@ def publish_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
 def patch_column(
     spark: SparkSession, base: str, date: str, column: str, type_name: str, target: str
 ) -> None:
-    """Stored snapshot of a date with one column cast, written beside the original."""
+    """Stored snapshot of a date with one column cast, written beside the original as
+    CSV and ORC."""
     stored = spark.read.orc(base).where(on_date(date))
     patched = stored.withColumn(column, F.col(column).try_cast(type_name))
-    patched.write.mode("overwrite").orc(target)
+    write_dual(patched, target, mode="overwrite")
 
 
 def mark_replayed(sensors: DataFrame, replayed: DataFrame, date: str) -> DataFrame:

@@ -165,3 +165,49 @@ def test_outlet_rules(spark):
     now = F.lit("2022-01-15 13:00:00").cast("timestamp")
     assert rows_of(outlets.analyse_outlets(raw, now), "code_immat", "distance") == [("T1", 104.5), ("T3", 1.0)]
     assert rows_of(outlets.analyse_outlets(raw, now, replay=True), "code_immat") == [("T1",), ("T2",), ("T3",)]
+
+
+OUTLET_ROW = ("T1", "1/13/22", "R", 104, "J1", "L", 33, "USINE", 2.28, "BOM", "2022", "01", "15")
+
+
+def test_outlet_job_replaces_its_day(spark, tmp_path):
+    prepared, target, published = (str(tmp_path / n) for n in ("prepared", "target", "published"))
+    schema = ("immat string, date_service_vehic string, description_tournee string, km_realise int, no_bon string, lot string,"
+              " service int, nom_rech_lieu_de_vidage string, multiples_lignes double, cle_unique_ligne_ticket string,"
+              " year string, month string, day string")
+    sinks.append_day(spark.createDataFrame([OUTLET_ROW], schema), prepared)
+    now = F.lit("2022-01-15 13:00:00").cast("timestamp")
+    for _ in range(2):
+        waste.run_outlets(spark, prepared, target, published, "2022-01-15", now)
+    assert rows_of(spark.read.orc(published), "code_immat", "date_mesure", "month", "day") == [
+        ("T1", "2022-01-13 00:00:00", 1, 15)
+    ]
+    assert spark.read.orc(f"{target}/year=2022/month=01/day=15/orc").count() == 1
+
+
+def test_correction_of_a_day(spark):
+    from civiframe.operators import spatial
+
+    at = datetime.datetime(2022, 7, 1, 6)
+    staged = spark.createDataFrame(
+        [(at, "C1", 1, "R-1-OM", "T", 500.0, 0.0, "48.004", "3.006", "OM", "2022", "07", "01"),
+         (at, "C1", 1, "R-1-OM", "T", 9.0, 9.0, None, None, "OM", "2022", "07", "01"),
+         (at, "C1", 1, "R-1-OM", "T", 500.0, 0.0, "48.004", "3.006", "OM", "2022", "07", "02")],
+        "date_mesure timestamp, code_puce string, id_bac long, code_tournee string, code_immat string, poids double,"
+        " poids_corr double, latitude string, longitude string, type_flux string, year string, month string, day string",
+    )
+    support = spark.createDataFrame(
+        [(1, "R-1-OM", 30.0, datetime.datetime(2021, 7, 5)), (1, "R-1-OM", 90.0, datetime.datetime(2021, 8, 5))],
+        "id_bac long, code_tournee string, poids double, date_mesure timestamp",
+    )
+    bins = spark.createDataFrame([(1, "Bacs ordures ménagères", 9999)], "id_bac long, categorie_recipient string, litrage_recipient int")
+    history = spark.createDataFrame([], "id_bac long, poids double, poids_corr double, date_mesure timestamp")
+    square = [[{"x": 1_700_000.0 + a, "y": 7_200_000.0 + b} for a, b in ((0, 0), (900, 0), (900, 900), (0, 900))]]
+    areas = spatial.prepare_polygons(
+        spark.createDataFrame([(35001, 1, 7, square)], "code_insee int, commune_agglo int, nuquart int, rings array<array<struct<x:double,y:double>>>")
+    )
+    out = waste.correction_plan(staged, support, bins, history, areas, areas, "2022-07-01")
+    assert rows_of(out, "poids_corr", "code_insee", "code_quartier") == [(30.0, 35001, 7), (9.0, None, None)]
+    assert "type_flux" not in out.columns
+    untouched = waste.corrected_facts(staged, support, bins, history, "2021-07-01")
+    assert untouched.count() == 3
