@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_QUERIES
-(comma-separated names, or ``all``), BENCH_RUNS (warm runs, default 2; the median
+(comma-separated names, or ``all``), BENCH_RUNS (warm runs, default 1; the median
 counts). Every query runs once before it is timed. Results go to Spark's noop sink,
 so all rows and columns are computed.
 """
@@ -35,7 +35,7 @@ def main() -> None:
 
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "1"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = sorted(QUERIES) if chosen == "all" else chosen.split(",") if chosen else HEADLINE
 

@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from civiframe.functions.dates import back_dated_text
 from civiframe.functions.keys import measure_id
 from civiframe.functions.text import extract_number
+from civiframe.operators.joins import spread_left_join
 
 FRAME_COLUMNS = ("deveui", "timestamp", "year", "month", "day")
 
@@ -75,15 +76,20 @@ def expand_data(frames: DataFrame) -> DataFrame:
 def explode_history(frames: DataFrame, column: str, steps: DataFrame) -> DataFrame:
     """Array of past values to one row per value, element ``i`` dated ``i`` steps back.
 
-    ``steps`` has ``deveui, dataparameter, step`` (seconds), one row per sensor and
-    parameter. The other columns appear on the rows whose date equals a frame's date
-    and are null elsewhere; a frame with an empty array disappears. Sensors without
-    a step for the column pass through with the column wrapped as it was.
+    ``steps`` has ``deveui, dataparameter, step`` (seconds); the longest step counts if a
+    sensor has several. The other columns appear on the rows whose date equals a
+    frame's date and are null elsewhere; a frame with an empty array disappears.
+    Sensors without a step for the column pass through as they are.
+
+    Copies of one frame keep their own values but are one partner for the other
+    columns, so that n copies do not give n * n rows.
     """
-    own_steps = steps.where(F.col("dataparameter") == column).select(
-        "deveui", F.col("step").alias("_step")
+    own_steps = (
+        steps.where((F.col("dataparameter") == column) & F.col("step").isNotNull())
+        .groupBy(F.col("deveui").alias("_sensor"))
+        .agg(F.max("step").alias("_step"))
     )
-    stepped = frames.join(own_steps, "deveui", "left")
+    stepped = spread_left_join(frames, own_steps, [("deveui", "_sensor")])
     history, others = stepped.where("_step is not null"), stepped.where("_step is null")
     one = F.array(F.col("_value")).cast(frames.schema[column].dataType)
     values = history.select(
@@ -93,8 +99,8 @@ def explode_history(frames: DataFrame, column: str, steps: DataFrame) -> DataFra
         back_dated_text(F.col("timestamp"), F.col("_pos"), F.col("_step")).alias("timestamp"),
         one.alias(column),
     )
-    rest = history.drop(column, "_step")
-    dated = values.join(rest, ["deveui", "timestamp"], "left")
+    partners = history.drop(column, "_step").distinct()
+    dated = values.join(partners, ["deveui", "timestamp"], "left")
     return dated.select(*frames.columns).unionByName(others.select(*frames.columns))
 
 
