@@ -53,7 +53,40 @@ def work_path(spark: SparkSession, name: str) -> str:
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Materialise ``df`` in the shared folder and read it back (cuts the lineage;
     survives the loss of any executor)."""
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return Staged(df.sparkSession).put(df, name)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it lies."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Staged:
+    """Tables in the shared folder, removed after their last reader.
+
+    ``put`` writes a frame and reads it back; ``drop`` removes the folders given (all
+    if none is given). As a context manager it removes all at the end.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        path = work_path(self.spark, name)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (out, path)
+        return out
+
+    def drop(self, *frames: DataFrame) -> None:
+        for key in [id(x) for x in frames] or list(self.paths):
+            if key in self.paths:
+                remove_path(self.spark, self.paths.pop(key)[1])
+
+    def __enter__(self) -> Staged:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.drop()
