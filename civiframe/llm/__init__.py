@@ -1,5 +1,6 @@
 """Operators for training data, each registered as one query over a provided table."""
 
+from civiframe.llm import op07_embeddings, op10_topk
 from civiframe.llm.op01_language_id import op1_language_id
 from civiframe.llm.op04_simhash import op4_simhash_near_dedup
 
@@ -8,7 +9,12 @@ QUERIES = {
     for f in (
         op1_language_id,
         op4_simhash_near_dedup,
+        op07_embeddings.op7_embedding_near_dedup,
+        op10_topk.op10_topk_search,
     )
 }
 #: SQL for the queries that it can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_embedding_near_dedup": op07_embeddings.SQL,
+    "op10_topk_search": op10_topk.SQL,
+}

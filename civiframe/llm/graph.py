@@ -73,3 +73,19 @@ def local_roots(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         if (label == before).all() and not open_.any():
             break
     return label
+
+
+class Forest:
+    """Trees over ``n`` items that grow row by row."""
+
+    def __init__(self, n: int):
+        self.label = np.arange(n)
+
+    def join(self, row: int, others: np.ndarray) -> np.ndarray:
+        """Links the row with the others; returns one of them for each tree that is new to it."""
+        trees, first = np.unique(self.label[others], return_index=True)
+        new = trees != self.label[row]
+        if not new.any():
+            return others[:0]
+        self.label[np.isin(self.label, trees)] = self.label[row]
+        return others[first[new]]

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiframe.llm.graph import components, local_roots
+from civiframe.llm.graph import Forest, components, local_roots
 from civiframe.llm.tables import read
 from civiframe.session import Staged
 
@@ -109,7 +109,7 @@ def _tile_links(prints: np.ndarray, pops: np.ndarray, start: int, end: int, tile
     group = np.arange(start, end)
     left = group[tiles[group] == tiles[group].min()]
     right = group[tiles[group] == tiles[group].max()]
-    label = np.arange(end - start)
+    forest = Forest(end - start)
     for at in range(0, len(left), 256):
         rows = left[at : at + 256]
         lo = np.searchsorted(pops[right], pops[rows[0]] - RADIUS)
@@ -117,11 +117,9 @@ def _tile_links(prints: np.ndarray, pops: np.ndarray, start: int, end: int, tile
         near = np.bitwise_count(prints[rows, None] ^ prints[None, right[lo:hi]]) <= RADIUS
         for row, hits in zip(rows.tolist(), near):
             others = right[lo:hi][hits]
-            trees, first = np.unique(label[others - start], return_index=True)
-            new = trees != label[row - start]
-            if new.any():
-                yield np.full(int(new.sum()), row), others[first[new]]
-                label[np.isin(label, trees)] = label[row - start]
+            new = forest.join(row - start, others - start) + start
+            if len(new):
+                yield np.full(len(new), row), new
 
 
 def compare_cell(cell: pd.DataFrame) -> pd.DataFrame:
