@@ -3,6 +3,7 @@
 from civiframe.llm import op07_embeddings, op10_topk
 from civiframe.llm.op01_language_id import op1_language_id
 from civiframe.llm.op04_simhash import op4_simhash_near_dedup
+from civiframe.llm.op09_packing import op9_packing
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +11,7 @@ QUERIES = {
         op1_language_id,
         op4_simhash_near_dedup,
         op07_embeddings.op7_embedding_near_dedup,
+        op9_packing,
         op10_topk.op10_topk_search,
     )
 }
