@@ -2,6 +2,7 @@
 
 from civiframe.llm import op07_embeddings, op10_topk
 from civiframe.llm.op01_language_id import op1_language_id
+from civiframe.llm.op02_toxicity import op2_toxicity
 from civiframe.llm.op04_simhash import op4_simhash_near_dedup
 from civiframe.llm.op05_mixing import op5_source_mixing
 from civiframe.llm.op09_packing import op9_packing
@@ -10,6 +11,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language_id,
+        op2_toxicity,
         op4_simhash_near_dedup,
         op5_source_mixing,
         op07_embeddings.op7_embedding_near_dedup,
