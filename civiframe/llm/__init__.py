@@ -5,6 +5,7 @@ from civiframe.llm.op01_language_id import op1_language_id
 from civiframe.llm.op02_toxicity import op2_toxicity
 from civiframe.llm.op04_simhash import op4_simhash_near_dedup
 from civiframe.llm.op05_mixing import op5_source_mixing
+from civiframe.llm.op06_lines import op6_line_dedup
 from civiframe.llm.op08_licenses import op8_license_scan
 from civiframe.llm.op09_packing import op9_packing
 
@@ -15,6 +16,7 @@ QUERIES = {
         op2_toxicity,
         op4_simhash_near_dedup,
         op5_source_mixing,
+        op6_line_dedup,
         op07_embeddings.op7_embedding_near_dedup,
         op8_license_scan,
         op9_packing,
