@@ -3,6 +3,7 @@
 from civiframe.llm import op07_embeddings, op10_topk
 from civiframe.llm.op01_language_id import op1_language_id
 from civiframe.llm.op02_toxicity import op2_toxicity
+from civiframe.llm.op03_suffix_dedup import op3_suffix_dedup
 from civiframe.llm.op04_simhash import op4_simhash_near_dedup
 from civiframe.llm.op05_mixing import op5_source_mixing
 from civiframe.llm.op06_lines import op6_line_dedup
@@ -14,6 +15,7 @@ QUERIES = {
     for f in (
         op1_language_id,
         op2_toxicity,
+        op3_suffix_dedup,
         op4_simhash_near_dedup,
         op5_source_mixing,
         op6_line_dedup,
