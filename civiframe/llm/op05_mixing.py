@@ -33,7 +33,6 @@ SHARD = 1 << 21
 WORD = r"[^\x20\x09-\x0D]+"
 #: Divisors tried in one pass over the shards.
 TRIED = 64
-OWN = ("_size", "_order", "_source", "_source_size", "_target", "_parts", "_key", "_quota")
 _WORDS = re.compile(WORD)
 
 
@@ -172,8 +171,9 @@ def draw_texts(shard: pa.Table) -> pa.Table:
     shard = _seeded(shard)
     sizes = shard["_size"].to_numpy()
     edges, times, ends = drawn_blocks(sizes, shard["_quota"][0].as_py(), shard["_key"][0].as_py())
+    docs = pa.Table.from_struct_array(shard["_row"])
     rows, texts = [], []
-    for k, (text, size, end) in enumerate(zip(shard["text"].to_pylist(), sizes.tolist(), ends.tolist())):
+    for k, (text, size, end) in enumerate(zip(docs["text"].to_pylist(), sizes.tolist(), ends.tolist())):
         if not size:
             continue
         start = end - size
@@ -197,16 +197,16 @@ def draw_texts(shard: pa.Table) -> pa.Table:
                     kept.append([words[a][0], words[b - 1][1]])
                 previous = True
             texts.append("\n".join(text[a:b] for a, b in kept))
-    out = shard.take(pa.array(rows, pa.int64()))
-    out = out.set_column(out.column_names.index("text"), "text", pa.array(texts, pa.string()))
-    return out.select([c for c in out.column_names if c not in OWN])
+    out = docs.take(pa.array(rows, pa.int64()))
+    return out.set_column(out.column_names.index("text"), "text", pa.array(texts, docs.schema.field("text").type))
 
 
-def placed(docs: DataFrame, columns: list[str], work: Staged) -> DataFrame:
-    """``columns`` of ``docs`` with the size, target, shard and quota of every row."""
+def placed(docs: DataFrame, whole: bool, work: Staged) -> DataFrame:
+    """``doc_id`` and ``source`` of ``docs``, if asked the whole ``_row``, and the size, target, shard and quota."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.select(*columns, size.alias("_size"), F.xxhash64(F.lit(SEED), "doc_id").alias("_order"))
-    if "text" not in columns:
+    row = [F.struct(*docs.columns).alias("_row")] if whole else []
+    sized = docs.select("doc_id", "source", *row, size.alias("_size"), F.xxhash64(F.lit(SEED), "doc_id").alias("_order"))
+    if not whole:
         sized = work.put(sized, "sizes")
     sources, wanted = with_targets(ranked_sources(sized.select("source", F.col("_size").alias("size")), work))
     sources = work.put(
@@ -238,7 +238,7 @@ def source_mixing(docs: DataFrame) -> DataFrame:
     and the seed only.
     """
     work = Staged(docs.sparkSession)
-    rows = placed(docs, ["doc_id", "source"], work)
+    rows = placed(docs, False, work)
     schema = T.StructType([
         docs.schema["doc_id"], docs.schema["source"], T.StructField("size", T.LongType()), T.StructField("source_size", T.LongType()),
         T.StructField("target", T.DoubleType()), T.StructField("taken", T.LongType()),
@@ -250,7 +250,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents as the mix takes them, columns unchanged: the blocks drawn of a text in
     their order, and a second row for what is taken twice. Rows without words go."""
     work = Staged(docs.sparkSession)
-    rows = placed(docs, docs.columns, work)
+    rows = placed(docs, True, work)
     return rows.groupBy("_key").applyInArrow(draw_texts, docs.schema)
 
 
