@@ -17,7 +17,8 @@ from civiframe.functions.keys import measure_id
 from civiframe.functions.text import extract_number
 from civiframe.operators.joins import spread_left_join
 
-FRAME_COLUMNS = ("deveui", "timestamp", "year", "month", "day")
+DAY_COLUMNS = ("year", "month", "day")
+FRAME_COLUMNS = ("deveui", "timestamp", *DAY_COLUMNS)
 
 # Parameter table: per sensor, arrays of leaf names saying where names and values come from.
 PARAMETERS = T.StructType([T.StructField("deveui", T.StringType())] + [
@@ -67,41 +68,73 @@ def flatten_nested(df: DataFrame, keep: Iterable[str] | None = None) -> DataFram
 def expand_data(frames: DataFrame) -> DataFrame:
     """Frame keys plus the content of ``data``, nested parts flattened; missing day
     columns are null."""
-    for name in ("year", "month", "day"):
+    for name in DAY_COLUMNS:
         if name not in frames.columns:
             frames = frames.withColumn(name, F.lit(None).cast("string"))
     return flatten_nested(frames.select(*FRAME_COLUMNS, "data.*"))
 
 
-def explode_history(frames: DataFrame, column: str, steps: DataFrame) -> DataFrame:
-    """Array of past values to one row per value, element ``i`` dated ``i`` steps back.
+def explode_history(frames: DataFrame, columns: str | Iterable[str], steps: DataFrame) -> DataFrame:
+    """Arrays of past values to one row per value, element ``i`` dated ``i`` steps back.
 
     ``steps`` has ``deveui, dataparameter, step`` (seconds); the longest step counts if a
-    sensor has several. The other columns appear on the rows whose date equals a
-    frame's date and are null elsewhere; a frame with an empty array disappears.
-    Sensors without a step for the column pass through as they are.
+    sensor has several for a column. A sensor's rows carry the values of one column each
+    and the day of the frame that brought them. Columns that are no history of the sensor
+    appear on the rows whose date equals a frame's date and are null elsewhere; a
+    frame with an empty array disappears. Sensors without a step pass through as they are.
 
+    All columns are unpivoted in one pass, so their number does not repeat the frames.
     Copies of one frame keep their own values but are one partner for the other
     columns, so that n copies do not give n * n rows.
     """
+    wanted = [columns] if isinstance(columns, str) else list(columns)
+    names = [c for c in dict.fromkeys(wanted) if c in frames.columns]
+    if not names:
+        return frames
+    days = [c for c in DAY_COLUMNS if c in frames.columns]
     own_steps = (
-        steps.where((F.col("dataparameter") == column) & F.col("step").isNotNull())
-        .groupBy(F.col("deveui").alias("_sensor"))
-        .agg(F.max("step").alias("_step"))
+        steps.where(F.col("dataparameter").isin(names) & F.col("step").isNotNull())
+        .groupBy(F.col("deveui").alias("_sensor"), "dataparameter")
+        .agg(F.max("step").alias("step"))
+        .groupBy("_sensor")
+        .agg(F.map_from_entries(F.collect_list(F.struct("dataparameter", "step"))).alias("_steps"))
     )
     stepped = spread_left_join(frames, own_steps, [("deveui", "_sensor")])
-    history, others = stepped.where("_step is not null"), stepped.where("_step is null")
-    one = F.array(F.col("_value")).cast(frames.schema[column].dataType)
+    history, others = stepped.where("_steps is not null"), stepped.where("_steps is null")
+    kinds = {c: frames.schema[c].dataType for c in names}
+
+    def dated(column: str) -> Column:
+        step = F.try_element_at("_steps", F.lit(column))
+
+        def entry(value: Column, position: Column) -> Column:
+            moment = back_dated_text(F.col("timestamp"), position, step).alias("_at")
+            own = [(F.array(value) if c == column else F.lit(None)).cast(kinds[c]).alias(f"_v{i}") for i, c in enumerate(names)]
+            return F.struct(moment, *own)
+
+        return F.when(step.isNotNull(), F.transform(column, entry))
+
     values = history.select(
-        "deveui", "timestamp", "_step", F.posexplode(column).alias("_pos", "_value")
-    ).select(
-        "deveui",
-        back_dated_text(F.col("timestamp"), F.col("_pos"), F.col("_step")).alias("timestamp"),
-        one.alias(column),
+        "deveui", *days, F.col("_steps").alias("_own"), F.inline(F.flatten(F.array_compact(F.array(*map(dated, names)))))
     )
-    partners = history.drop(column, "_step").distinct()
-    dated = values.join(partners, ["deveui", "timestamp"], "left")
-    return dated.select(*frames.columns).unionByName(others.select(*frames.columns))
+    rest = [c for c in frames.columns if c not in ("deveui", "timestamp", *days)]
+    partners = history.select(
+        F.col("deveui").alias("_deveui"), F.col("timestamp").alias("_timestamp"),
+        *[
+            F.when(F.try_element_at("_steps", F.lit(c)).isNull(), F.col(c)).alias(f"_p{i}") if c in names else F.col(c).alias(f"_p{i}")
+            for i, c in enumerate(rest)
+        ],
+    ).distinct()
+    joined = values.join(partners, (F.col("deveui") == F.col("_deveui")) & (F.col("_at") == F.col("_timestamp")), "left")
+
+    def result(column: str) -> Column:
+        if column == "timestamp":
+            return F.col("_at").alias("timestamp")
+        if column not in rest:
+            return F.col(column)
+        partner = F.col(f"_p{rest.index(column)}")
+        return (F.coalesce(F.col(f"_v{names.index(column)}"), partner) if column in names else partner).alias(column)
+
+    return joined.select(*map(result, frames.columns)).unionByName(others.select(*frames.columns))
 
 
 def _as_texts(df: DataFrame, name: str) -> Column:
@@ -115,9 +148,15 @@ def _as_texts(df: DataFrame, name: str) -> Column:
 
 
 def _lookup(leaves: Column, names: Column) -> Column:
-    """Contents of the named leaves that exist, one flat array."""
-    found = F.filter(F.transform(names, lambda n: F.try_element_at(leaves, n)), lambda a: a.isNotNull())
-    return F.flatten(found)
+    """Contents of the named leaves that exist, one flat array. A null or empty leaf keeps
+    its place as one null, so that later contents stay with their names."""
+    none = F.array(F.lit(None).cast("string"))
+
+    def content(name: Column) -> Column:
+        leaf = F.try_element_at(leaves, name)
+        return F.when(F.size(leaf) > 0, leaf).otherwise(none)
+
+    return F.flatten(F.transform(F.filter(names, lambda n: F.map_contains_key(leaves, n)), content))
 
 
 def _or_empty(names: str) -> Column:
@@ -138,9 +177,11 @@ def melt_measures(flat: DataFrame, parameters: DataFrame, inserted_at: Column) -
         .join(parameters, "deveui")
         .where(F.size("value_columns") > 0)
     )
+    values = _lookup(F.col("leaves"), F.col("value_columns"))
+    # without configured names every value has the empty one
     names = F.when(F.size(_or_empty("name_keys")) > 0, F.col("name_keys")).when(
         F.size(_or_empty("name_values")) > 0, _lookup(F.col("leaves"), F.col("name_values"))
-    ).otherwise(F.array(F.lit(""), F.lit("")))
+    ).otherwise(F.transform(values, lambda _: F.lit("")))
     measured = configured.select(
         *FRAME_COLUMNS,
         "user_label",
@@ -152,7 +193,7 @@ def melt_measures(flat: DataFrame, parameters: DataFrame, inserted_at: Column) -
         ).alias("prefix"),
         F.explode(
             F.arrays_zip(
-                names.alias("name"), _lookup(F.col("leaves"), F.col("value_columns")).alias("value")
+                names.alias("name"), values.alias("value")
             )
         ).alias("m"),
     ).where(F.col("m.value").isNotNull() & (F.col("m.value") != "null"))

@@ -7,15 +7,17 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from civiframe.operators.joins import spread_left_join
-
-SPLIT_VERSIONS = 256
-BROADCAST_KEYS = 100_000
-
-
-def _join_plain(facts, versions, on, within, how):
-    return facts.join(versions, reduce(lambda a, b: a & b, [*on, within]), how)
+def _moments(*columns: tuple[DataFrame, str]) -> list[Column]:
+    """The columns as times that compare; a malformed text is null and lies in no interval.
+    Texts are wall-clock times unless another column is an instant."""
+    kinds = [df.schema[name].dataType for df, name in columns]
+    wanted = "timestamp" if any(isinstance(k, T.TimestampType) for k in kinds) else "timestamp_ntz"
+    return [
+        F.col(name).try_cast(wanted) if isinstance(kind, T.StringType) else F.col(name)
+        for (_, name), kind in zip(columns, kinds)
+    ]
 
 
 def interval_join(
@@ -29,76 +31,21 @@ def interval_join(
     how: str = "left",
     closed: bool = True,
     null_safe: bool = False,
-    bucket_days: int = 30,
-    split_versions: int = SPLIT_VERSIONS,
-    check_keys: bool = True,
 ) -> DataFrame:
     """Facts with the dimension rows valid at their time.
 
     ``keys`` pairs fact and dimension columns. The interval is ``[start, end]``
-    (``closed``) or ``[start, end)``; a null end is open. Columns of both sides are
-    returned, so their names must differ.
+    (``closed``) or ``[start, end)``; a null end is open, a malformed one is not. Columns
+    of both sides are returned, so their names must differ.
 
-    The join hashes on the keys with the interval as residual, which is cheap
-    while a key has few versions; a hot key among the facts is split by AQE. Keys
-    with more than ``split_versions`` versions would compare every fact with every
-    version: those alone are matched on (key, time bucket), their versions
-    repeated over the buckets they cover.
+    One plan for every input: the join hashes on the keys, the interval is its residual,
+    and a hot key is split by AQE. Nothing is run while the plan is built.
     """
-    fact_keys = [F.col(f) for f, _ in keys]
-    version_keys = [F.col(v) for _, v in keys]
-
-    def equal(a: Column, b: Column) -> Column:
-        return a.eqNullSafe(b) if null_safe else a == b
-
-    on = [equal(a, b) for a, b in zip(fact_keys, version_keys)]
-    upper = F.col(ts) <= F.col(end) if closed else F.col(ts) < F.col(end)
-    within = (F.col(ts) >= F.col(start)) & (F.col(end).isNull() | upper)
-
-    if not check_keys:
-        return _join_plain(facts, versions, on, within, how)
-    many = (
-        versions.groupBy(*[k.alias(f"_k{i}") for i, k in enumerate(version_keys)])
-        .agg(F.count("*").alias("_n"))
-        .where(F.col("_n") > split_versions)
-        .drop("_n")
-    )
-    n_many = many.limit(BROADCAST_KEYS + 1).count()
-    if n_many == 0:
-        return _join_plain(facts, versions, on, within, how)
-
-    many = many.withColumn("_many", F.lit(True))
-
-    def flag(df: DataFrame, columns: list[str]) -> DataFrame:
-        on = [(c, f"_k{i}") for i, c in enumerate(columns)]
-        if n_many > BROADCAST_KEYS:
-            return spread_left_join(df, many, on, null_safe=null_safe)
-        tests = [equal(F.col(c), F.col(k)) for c, k in on]
-        return df.join(F.broadcast(many), reduce(lambda a, b: a & b, tests), "left").drop(
-            *[k for _, k in on]
-        )
-
-    def bucket(moment: Column) -> Column:
-        return F.floor(F.datediff(moment.try_cast("date"), F.lit("1970-01-01").cast("date")) / bucket_days)
-
-    flagged_facts = flag(facts, [f for f, _ in keys]).withColumn(
-        "_fact_bucket", F.when(F.col("_many"), bucket(F.col(ts))).otherwise(F.lit(0).cast("long"))
-    )
-    # open versions reach the last bucket that holds a fact
-    last = facts.agg(bucket(F.max(ts)).alias("b")).scalar()
-    first_bucket, last_bucket = bucket(F.col(start)), F.coalesce(F.least(bucket(F.col(end)), last), last)
-    spread = F.when(
-        F.col("_many"),
-        F.when(last_bucket >= first_bucket, F.sequence(first_bucket, last_bucket)),
-    ).otherwise(F.array(F.lit(0).cast("long")))
-    flagged_versions = (
-        flag(versions, [v for _, v in keys])
-        .withColumn("_version_bucket", F.explode(spread))
-        .drop("_many")
-    )
-    same_bucket = F.col("_fact_bucket").eqNullSafe(F.col("_version_bucket"))
-    joined = _join_plain(flagged_facts, flagged_versions, [*on, same_bucket], within, how)
-    return joined.drop("_many", "_fact_bucket", "_version_bucket")
+    on = [F.col(f).eqNullSafe(F.col(v)) if null_safe else F.col(f) == F.col(v) for f, v in keys]
+    moment, first, last = _moments((facts, ts), (versions, start), (versions, end))
+    upper = moment <= last if closed else moment < last
+    within = (moment >= first) & (F.col(end).isNull() | upper)
+    return facts.join(versions, reduce(lambda a, b: a & b, [*on, within]), how)
 
 
 def traffic_statistics(df: DataFrame, minutes: int = 15) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiframe.functions.dates import days_between
 from civiframe.operators.clean import stamp_day, with_technical_key
@@ -16,8 +17,14 @@ from civiframe.operators.melt import (
     sensors_to_replay,
 )
 from civiframe.operators.temporal import interval_join
-from civiframe.session import stage
-from civiframe.sources.readers import between_dates, known_only, on_date, read_frames
+from civiframe.session import Staged
+from civiframe.sources.readers import (
+    between_dates,
+    day_folder,
+    known_only,
+    read_frames,
+    read_or_empty,
+)
 from civiframe.sources.sinks import (
     full_reload,
     mark_replayed,
@@ -37,10 +44,7 @@ def analyse(
 ) -> DataFrame:
     """Frames to long measures. ``history_columns`` are the leaves that may hold past
     values for some sensor; ``steps`` says for which."""
-    flat = expand_data(frames)
-    for column in history_columns:
-        if column in flat.columns:
-            flat = explode_history(flat, column, steps)
+    flat = explode_history(expand_data(frames), history_columns, steps)
     return melt_measures(flat, parameters, inserted_at)
 
 
@@ -126,14 +130,19 @@ def outside_replay(stored: DataFrame, days: DataFrame) -> DataFrame:
 
 def run_daily(
     spark: SparkSession, base: str, target: str, date: str, sensors: DataFrame,
-    parameters: DataFrame, referential: DataFrame, inserted_at: Column,
-    history_columns: Iterable[str] = (), schema=None,
+    parameters: DataFrame, referential: DataFrame, inserted_at: Column, schema: T.StructType,
+    history_columns: Iterable[str] = (), report: str | None = None,
 ) -> None:
-    frames = read_frames(spark, base, schema).where(on_date(date))
-    plan = daily_plan(
-        frames, sensors, parameters, referential, date, inserted_at, history_columns
-    )
-    replace_partition(plan, target)
+    """The day's frames (their folder alone is opened, under a given schema) to the target's
+    day. ``report`` names a table that gets the day's sensors without a measure."""
+    with Staged(spark) as work:
+        frames = read_or_empty(spark, lambda: read_frames(spark, day_folder(base, date), schema, base=base), schema)
+        plan = daily_plan(frames, sensors, parameters, referential, date, inserted_at, history_columns)
+        measures = work.put(plan, "measures")
+        replace_partition(measures, target)
+        if report:
+            silent = sensors_without_measures(known_only(frames, sensors), measures)
+            replace_partition(stamp_day(silent, date), report)
 
 
 def run_replay(
@@ -142,18 +151,20 @@ def run_replay(
     history_columns: Iterable[str] = (),
 ) -> None:
     """Replay every due sensor, replace its days in the target, then mark it. Nothing is
-    marked when the replacement fails, so the next run starts over."""
-    due = stage(sensors_to_replay(sensors), "due")
-    days = replay_days(due, run_date)
-    first, last = days.agg(F.min("day_date"), F.max("day_date")).first()
-    if first is not None:
-        measures = replay_plan(
-            frames.where(between_dates(str(first), str(last))),
-            sensors, parameters, referential, run_date, inserted_at, history_columns,
-        )
-        replace_between(
-            spark, measures, target, str(first), str(last),
-            lambda stored: outside_replay(stored, days),
-        )
-    marked = stage(mark_replayed(sensors, due, run_date), "marked")
-    full_reload(marked, sensors_target)
+    marked when the replacement fails, so the next run starts over. Frames of days that
+    lack columns come as ``union_days`` of ``fill_day_columns``."""
+    with Staged(spark) as work:
+        due = work.put(sensors_to_replay(sensors), "due")
+        days = replay_days(due, run_date)
+        first, last = days.agg(F.min("day_date"), F.max("day_date")).first()
+        if first is not None:
+            measures = replay_plan(
+                frames.where(between_dates(str(first), str(last))),
+                sensors, parameters, referential, run_date, inserted_at, history_columns,
+            )
+            replace_between(
+                spark, measures, target, str(first), str(last),
+                lambda stored: outside_replay(stored, days),
+            )
+        marked = work.put(mark_replayed(sensors, due, run_date), "marked")
+        full_reload(marked, sensors_target)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiframe.config import BIN, BIN_DIM, OUTLET, PRODUCER, PRODUCER_DIM, WEIGHING
 from civiframe.functions.dates import compact_instant
 from civiframe.functions.text import strip_accents
 from civiframe.operators.clean import (
     drop_incomplete,
+    duplicate_report,
     keep_one,
     prepare_bins,
     prepare_outlets,
@@ -42,16 +44,20 @@ from civiframe.operators.weights import (
 )
 from civiframe.sources.readers import (
     day_equals,
-    on_date,
+    day_folder,
     previous_year_window,
     read_csv_config,
     read_latest,
+    read_orc,
+    read_orc_below,
+    read_orc_day,
     read_or_empty,
     reference_month,
+    support_month,
 )
-from civiframe.session import stage
+from civiframe.session import Staged
 from civiframe.sources.sinks import (
-    append_day,
+    full_reload,
     publish_to,
     replace_partition,
     write_dual,
@@ -60,13 +66,24 @@ from civiframe.sources.sinks import (
 
 UNKNOWN_CHIP = "INCONNU"
 
+# What the correction reads of stored weighings.
+HISTORY = T.StructType([
+    T.StructField("id_bac", T.LongType()), T.StructField("poids", T.DoubleType()),
+    T.StructField("poids_corr", T.DoubleType()), T.StructField("date_mesure", T.TimestampType()),
+])
+SUPPORT = T.StructType([
+    T.StructField("id_bac", T.LongType()), T.StructField("code_tournee", T.StringType()),
+    T.StructField("poids", T.DoubleType()), T.StructField("date_mesure", T.TimestampType()),
+])
+STAGED_WEIGHING = T.StructType([*HISTORY.fields, T.StructField("type_flux", T.StringType())])
+
 
 # -- preparation ----------------------------------------------------------------------------
 
 
 def run_preparation(spark: SparkSession, sources: dict[str, str], target: str, date: str) -> dict:
-    """Prepare the raw tables of a day; returns the reason for each table that gave no
-    row, the others being written all the same."""
+    """Prepare the raw tables of a day, each from that day's folder alone; returns the reason
+    for each table that gave no row, the others replacing the day all the same."""
     steps = {
         "producer": (PRODUCER, prepare_producers),
         "bin": (BIN, prepare_bins),
@@ -78,14 +95,14 @@ def run_preparation(spark: SparkSession, sources: dict[str, str], target: str, d
         spec, prepare = steps[name]
         raw = read_or_empty(
             spark,
-            lambda base=base, spec=spec: read_csv_config(spark, base, spec).where(on_date(date)),
+            lambda base=base, spec=spec: read_csv_config(spark, day_folder(base, date), spec, base=base),
             spec.raw_schema(),
         )
         prepared = stamp_day(prepare(raw.drop("year", "month", "day")), date)
         if prepared.isEmpty():
             failures[name] = "no file, no row or rejected batch"
         else:
-            append_day(prepared, f"{target}/{name}")
+            replace_partition(prepared, f"{target}/{name}")
     return failures
 
 
@@ -124,27 +141,27 @@ def run_dimensions(
     spark: SparkSession, prepared: str, base: str, run_date: str, now: Column, moment
 ) -> None:
     """Producers, then bins against the new producers. A table without input keeps its
-    latest snapshot."""
+    latest snapshot. Rows that share a key are reported beside the snapshot."""
     day = "/".join(f"{n}={v}" for n, v in zip(("year", "month", "day"), run_date.split("-")))
 
     def incoming(spec) -> DataFrame:
-        return read_or_empty(
-            spark,
-            lambda: spark.read.orc(f"{prepared}/{spec.name}").where(on_date(run_date)),
-            spec.schema(),
-        ).select(*spec.names)
+        return read_orc_day(spark, f"{prepared}/{spec.name}", run_date, spec.schema()).select(*spec.names)
 
     def latest(spec, bootstrap) -> DataFrame:
         schema = PRODUCER_DIM if spec is PRODUCER else BIN_DIM
         stored = read_or_empty(spark, lambda: read_latest(spark, f"{base}/{spec.name}"), schema)
         return bootstrap(spark, run_date, now) if stored.isEmpty() else stored
 
+    def report(spec, batch: DataFrame) -> None:
+        full_reload(duplicate_report(batch, spec.key), f"{base}/{spec.name}/{day}/duplicates")
+
     producers = latest(PRODUCER, bootstrap_producers)
     batch = incoming(PRODUCER)
     photo = single_batch_date(batch)
     if photo:
         built = producer_dimension(producers, batch, run_date, photo, now)
         write_snapshot(built, f"{base}/producer", f"{day}/orc", moment)
+        report(PRODUCER, batch)
         producers = read_latest(spark, f"{base}/producer")
     bins = latest(BIN, bootstrap_bins)
     batch = incoming(BIN)
@@ -152,12 +169,13 @@ def run_dimensions(
     if photo:
         built = bin_dimension(bins, batch, producers, run_date, photo, now)
         write_snapshot(built, f"{base}/bin", f"{day}/orc", moment)
+        report(BIN, batch)
 
 
 # -- facts -------------------------------------------------------------------------------------
 
 
-def attach_bins(prepared: DataFrame, bins: DataFrame, check_keys: bool = True) -> DataFrame:
+def attach_bins(prepared: DataFrame, bins: DataFrame) -> DataFrame:
     """Weighings with the bin valid at their time; a chip without valid bin gets the bin
     of unknown chips, whose category it does not take."""
     timed = prepared.withColumn(
@@ -170,7 +188,7 @@ def attach_bins(prepared: DataFrame, bins: DataFrame, check_keys: bool = True) -
     )
     joined = interval_join(
         timed, versions, [("Code_puce", "_chip")], "date_mesure", "date_debut", "date_fin",
-        null_safe=True, check_keys=check_keys,
+        null_safe=True,
     )
     unknown = bins.where(F.col("code_puce") == UNKNOWN_CHIP).agg(F.min("id_bac"))
     return joined.withColumn("id_bac", F.coalesce(F.col("id_bac"), unknown.scalar()))
@@ -200,6 +218,20 @@ def weighing_facts(
     return stamp_day(weighed.distinct(), run_date)
 
 
+def run_weighings(
+    spark: SparkSession, prepared: str, dimensions: str, staging: str, run_date: str, now: Column
+) -> int:
+    """Prepared weighings of a day with the latest bins to the staging table, whose day is
+    replaced; returns the number of rows."""
+    rows = read_orc_day(spark, prepared, run_date, WEIGHING.schema())
+    bins = read_latest(spark, f"{dimensions}/bin")
+    with Staged(spark) as work:
+        facts = work.put(weighing_facts(rows, bins, run_date, now), "weighings")
+        if not facts.isEmpty():
+            replace_partition(facts, staging)
+        return facts.count()
+
+
 def corrected_facts(
     staged: DataFrame, support: DataFrame, bins: DataFrame, history: DataFrame, date: str
 ) -> DataFrame:
@@ -226,6 +258,47 @@ def correction_plan(
     return attribute_places(corrected, municipalities, districts)
 
 
+def run_correction(
+    spark: SparkSession,
+    staging: str,
+    support: str,
+    dimensions: str,
+    target: str,
+    municipalities: DataFrame,
+    districts: DataFrame,
+    date: str,
+) -> int:
+    """Weighings of a day from the staging table to the target, weights corrected and
+    places attributed; the day is replaced. Returns the number of rows.
+
+    The reference weights come from the month (and in the format) that ``support_month``
+    names below ``support``; a bin's history is what the target holds of earlier days.
+    A day without staged rows leaves the target alone.
+    """
+    with Staged(spark) as work:
+        day = read_orc_day(spark, staging, date, STAGED_WEIGHING)
+        if day.isEmpty():
+            return 0
+        month, fmt = support_month(date)
+        folder = day_folder(support, month)
+        if fmt == "csv":
+            read = lambda: read_csv_config(spark, f"{folder}/*", WEIGHING, base=support)
+        else:
+            read = lambda: read_orc_below(spark, folder)
+        found = read_or_empty(spark, read, SUPPORT)
+        weights = found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SUPPORT])
+        stored = read_or_empty(spark, lambda: spark.read.orc(target), HISTORY)
+        first = F.to_timestamp(F.lit(date))
+        history = stored.select(*HISTORY.names).where(F.col("date_mesure") < first)
+        bins = read_latest(spark, f"{dimensions}/bin")
+        year, month_, day_ = date.split("-")
+        day = day.withColumns({"year": F.lit(year), "month": F.lit(month_), "day": F.lit(day_)})
+        corrected = correction_plan(day, weights, bins, history, municipalities, districts, date)
+        result = work.put(corrected, "corrected")
+        replace_partition(result, target)
+        return result.count()
+
+
 # -- outlets and publication ----------------------------------------------------------------------
 
 
@@ -238,15 +311,24 @@ def run_outlets(
 ) -> None:
     """Outlet facts of a day: CSV and ORC copies under the day's folder, and that day
     replaced in the published table."""
-    rows = read_or_empty(
-        spark, lambda: spark.read.orc(prepared).where(on_date(run_date)), OUTLET.schema()
-    ).select(*OUTLET.names)
-    facts = stage(outlet_facts(rows, run_date, now), "outlets")
+    rows = read_orc_day(spark, prepared, run_date, OUTLET.schema()).select(*OUTLET.names)
     year, month, day = run_date.split("-")
-    write_dual(facts, f"{target}/year={year}/month={month}/day={day}", files=2, mode="overwrite")
-    replace_partition(facts, published)
-
-
-def expose(df: DataFrame, reloads: list[str], replaces: list[str]) -> None:
-    """One stored frame to its published targets."""
-    publish_to(df, reloads, replaces)
+    with Staged(spark) as work:
+        facts = work.put(outlet_facts(rows, run_date, now), "outlets")
+        write_dual(facts, f"{target}/year={year}/month={month}/day={day}", mode="overwrite")
+        replace_partition(facts, published)
+
+
+def run_exposure(
+    spark: SparkSession, source: str, date: str, reloads: list[str], replaces: list[str] = (), snapshot: bool = False
+) -> bool:
+    """A day's stored rows (or with ``snapshot`` the ORC snapshot below the day's folder) to their
+    published targets. Nothing is published, and False returned, if there is no row."""
+    day = day_folder(source, date)
+    stored = read_or_empty(
+        spark, lambda: read_orc(spark, f"{day}/orc" if snapshot else day, base=source), T.StructType()
+    )
+    if not stored.columns or stored.isEmpty():
+        return False
+    publish_to(stored, reloads, replaces)
+    return True

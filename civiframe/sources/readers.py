@@ -1,5 +1,6 @@
-"""Scans. Dates select Hive-style partitions by predicate, so Spark prunes folders
-at planning time; no path is built by hand."""
+"""Scans. A job that needs one day opens that day's folder (``day_folder``), so neither listing
+nor header nor schema depends on other days. Ranges of dates select Hive-style
+partitions by predicate, and Spark prunes folders at planning time."""
 
 from __future__ import annotations
 
@@ -19,6 +20,14 @@ def on_date(date: str) -> Column:
     return _all(tests)
 
 
+def day_folder(base: str, date: str) -> str:
+    """Glob of the folder of a day (or of a month's days): ``month=01`` as well as ``month=1``.
+    Read it with ``basePath`` so that the partition columns stay."""
+    year, *rest = date.split("-")
+    parts = [f"{name}={{{v},{int(v)}}}" if v != str(int(v)) else f"{name}={v}" for name, v in zip(("month", "day"), rest)]
+    return "/".join([base, f"year={year}", *parts])
+
+
 def in_week_of(date: str) -> Column:
     year, month, day = date.split("-")
     week = week_of_month_text(int(day))
@@ -67,20 +76,33 @@ def read_csv_schema(spark: SparkSession, path: str, spec: TableSpec) -> DataFram
     )
 
 
-def read_csv_config(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
-    """CSV as text columns, header, delimiter and encoding from the specification."""
-    return (
+def _below(reader, base: str | None):
+    return reader if base is None else reader.option("basePath", base)
+
+
+def read_csv_config(spark: SparkSession, path: str, spec: TableSpec, base: str | None = None) -> DataFrame:
+    """CSV as text columns, header, delimiter and encoding from the specification. Files
+    whose header differs from the first one's fail instead of shifting columns."""
+    reader = (
         spark.read.option("header", spec.header)
         .option("sep", spec.delimiter)
         .option("encoding", spec.encoding)
         .option("inferSchema", False)
-        .csv(path)
+        .option("enforceSchema", False)
     )
+    return _below(reader, base).csv(path)
 
 
-def read_orc(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_orc(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, base: str | None = None
+) -> DataFrame:
     reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.orc(path)
+    return _below(reader, base).orc(path)
+
+
+def read_orc_day(spark: SparkSession, base: str, date: str, schema: T.StructType) -> DataFrame:
+    """The stored rows of a day; a day without folder is empty."""
+    return read_or_empty(spark, lambda: read_orc(spark, day_folder(base, date), base=base), schema)
 
 
 def read_orc_below(spark: SparkSession, path: str) -> DataFrame:
@@ -91,13 +113,13 @@ def read_orc_below(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_frames(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True, base: str | None = None
 ) -> DataFrame:
-    """Nested JSON frames. Pass ``schema`` on large inputs to skip the inference pass."""
+    """Nested JSON frames. Jobs pass ``schema``; without one every file is read to infer it."""
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.json(path)
+    return _below(reader, base).json(path)
 
 
 def read_table(spark: SparkSession, path: str, fmt: str, spec: TableSpec | None = None) -> DataFrame:

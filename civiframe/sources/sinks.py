@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiframe.config import POINTER
-from civiframe.session import stage
-from civiframe.sources.readers import between_dates, on_date
+from civiframe.session import Staged, remove_path
+from civiframe.sources.readers import between_dates, on_date, read_or_empty
 
 DAY = ("year", "month", "day")
 WEEK = ("year", "month", "week")
@@ -35,11 +35,12 @@ def append_with_csv(df: DataFrame, base: str, csv_base: str, by: Sequence[str] =
 
 
 def write_dual(df: DataFrame, base: str, files: int | None = None, mode: str = "append") -> None:
-    """Gzip CSV and ORC copies with a bounded number of files. The frame is staged
-    once, so its plan does not run twice."""
-    staged = _balanced(stage(df, "dual"), files)
-    staged.write.mode(mode).options(header=True, sep=";", compression="gzip").csv(f"{base}/csv")
-    staged.write.mode(mode).orc(f"{base}/orc")
+    """Gzip CSV and ORC copies, rebalanced to the advisory size (or to ``files`` outputs). The
+    frame is staged once, so its plan does not run twice."""
+    with Staged(df.sparkSession) as work:
+        staged = _balanced(work.put(df, "dual"), files)
+        staged.write.mode(mode).options(header=True, sep=";", compression="gzip").csv(f"{base}/csv")
+        staged.write.mode(mode).orc(f"{base}/orc")
 
 
 def publish_pointer(spark: SparkSession, base: str, path: str, moment) -> None:
@@ -84,24 +85,26 @@ def replace_between(
 ) -> None:
     """Rewrite the days ``first`` to ``last`` as ``survivors`` of the stored rows plus ``new``.
 
-    Only those days' folders are read and written. The result is staged first, since
-    it is read from the table being written; a day left without rows loses its folder.
+    Only those days' folders are read and written. ``new`` may hold rows of these days
+    alone: another day, or none, is an error before anything is written, since its folder
+    would be replaced whole. A table that does not exist yet is empty. The result is
+    staged first, since it is read from the table being written; a day left without
+    rows loses its folder.
     """
-    stored = spark.read.orc(base).where(between_dates(first, last))
-    new = new.select(*[F.col(n).cast(stored.schema[n].dataType).alias(n) for n in stored.columns])
-    result = stage(_folder_values(survivors(stored).unionByName(new), DAY), "replace")
-    left_over = result.select(*DAY).distinct()
-    # at most one row per day of the range reaches the driver
-    emptied = _folder_values(stored.select(*DAY).distinct(), DAY).join(left_over, list(DAY), "left_anti").collect()
-    _overwrite_partitions(_balanced(result, None, DAY), base, DAY)
-    for day in emptied:
-        _drop_folder(spark, base + "".join(f"/{c}={day[c]}" for c in DAY))
-
-
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    folder.getFileSystem(conf).delete(folder, True)
+    with Staged(spark) as work:
+        new = work.put(new, "replacement")
+        inside = F.coalesce(between_dates(first, last), F.lit(False))
+        if not new.where(~inside).isEmpty():
+            raise ValueError(f"rows to store outside {first} to {last}, or without a day")
+        stored = read_or_empty(spark, lambda: spark.read.orc(base), new.schema).where(between_dates(first, last))
+        new = new.select(*[F.col(n).cast(stored.schema[n].dataType).alias(n) for n in stored.columns])
+        result = work.put(_folder_values(survivors(stored).unionByName(new), DAY), "replace")
+        left_over = result.select(*DAY).distinct()
+        # at most one row per day of the range reaches the driver
+        emptied = _folder_values(stored.select(*DAY).distinct(), DAY).join(left_over, list(DAY), "left_anti").collect()
+        _overwrite_partitions(_balanced(result, None, DAY), base, DAY)
+        for day in emptied:
+            remove_path(spark, base + "".join(f"/{c}={day[c]}" for c in DAY))
 
 
 def replace_key_range(
@@ -126,11 +129,12 @@ def full_reload(df: DataFrame, target: str, fmt: str = "orc") -> None:
 
 def publish_to(df: DataFrame, reloads: Sequence[str] = (), replaces: Sequence[str] = ()) -> None:
     """One frame to several targets: full reloads and partition replacements."""
-    staged = stage(df, "publish")
-    for target in reloads:
-        full_reload(staged, target)
-    for target in replaces:
-        replace_partition(staged, target)
+    with Staged(df.sparkSession) as work:
+        staged = work.put(df, "publish")
+        for target in reloads:
+            full_reload(staged, target)
+        for target in replaces:
+            replace_partition(staged, target)
 
 
 def publish_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:

@@ -23,8 +23,7 @@ def brute_force(facts, versions, closed, null_safe, how):
 
 
 @pytest.mark.parametrize("closed, null_safe, how", [(True, True, "left"), (False, False, "inner"), (True, False, "left")])
-@pytest.mark.parametrize("split", [3, 1000])
-def test_interval_join_equals_brute_force(spark, closed, null_safe, how, split):
+def test_interval_join_equals_brute_force(spark, closed, null_safe, how):
     rng = random.Random(7)
     keys = ["hot"] * 6 + ["a", "b", None]
     facts = [(i, rng.choice(keys), rng.randrange(0, 4000)) for i in range(400)]
@@ -43,13 +42,31 @@ def test_interval_join_equals_brute_force(spark, closed, null_safe, how, split):
     )
     joined = interval_join(
         left, right, [("key", "vkey")], "ts", "start", "end",
-        how=how, closed=closed, null_safe=null_safe, bucket_days=7, split_versions=split,
+        how=how, closed=closed, null_safe=null_safe,
     )
     got = sorted(((r.fid, r.vid) for r in joined.collect()), key=str)
     assert got == brute_force(facts, versions, closed, null_safe, how)
     assert not [c for c in joined.columns if c.startswith("_")]
 
 
+def test_many_versions_and_malformed_times(spark):
+    """A key with 1,000 versions; malformed and null times lie in no interval and disturb no other row."""
+    versions = spark.range(1000).selectExpr(
+        "'s1' as vkey", "id as vid", "cast(date_add(date'2020-01-01', cast(id as int)) as string) as start",
+        "cast(date_add(date'2020-01-01', cast(id as int) + 1) as string) as end",
+    ).unionAll(spark.createDataFrame([("s2", 5000, "2020-01-01", None), ("s2", 5001, "worse", None), ("s3", 6000, "2020-01-01", "bad")],
+                                     "vkey string, vid long, start string, end string"))
+    facts = spark.createDataFrame(
+        [(1, "s1", "2020-03-01T10:00:00"), (2, "s2", "zz bad"), (3, "s1", None), (4, "s2", "2021-01-01"), (5, "s3", "2021-01-01")],
+        "fid int, key string, ts string",
+    )
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    joined = interval_join(facts, versions, [("key", "vkey")], "ts", "start", "end", closed=False)
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == len(jobs)
+    assert sorted((r.fid, r.vid) for r in joined.collect() if r.vid is not None) == [(1, 60), (4, 5000)]
+    assert joined.count() == 5
+
+
 def test_fifteen_equal_readings_fall_into_two_windows(spark):
     rows = [(f"2021-02-25T14:{22 + m}:00+02:00", "213_D", 46, 10, 0, "freeFlow") for m in range(5)]
     rows += [(f"2021-02-25T14:{30 + m}:00+02:00", "213_D", 46, 10, 0, "freeFlow") for m in range(10)]
