@@ -131,11 +131,11 @@ def _pipe_spatial(t):
 )
 def _pipe_correction(t):
     where = positions(t.customer).select(F.col("c_custkey").alias("id_bac"), "latitude", "longitude")
-    corrected = weights.correct_weights(
-        to_correct(t).join(where, "id_bac", "left"), _support(t), _bins(t), history(t), ntz("2000-06-30 00:00:00")
-    )
+    day = to_correct(t).join(where, "id_bac", "left")
+    corrected = weights.correct_weights(day, _support(t), _bins(t), history(t), ntz("2000-06-30 00:00:00"))
     polygons = areas(t)
-    placed = spatial.attribute_places(corrected, polygons, districts(polygons))
+    # the positions are those of the uncorrected rows, found without the correction
+    placed = spatial.attribute_places(corrected, polygons, districts(polygons), where)
     return (
         placed.withColumn("poids_corr", F.round("poids_corr", 6))
         .groupBy("code_puce", "id_bac", "type_flux", "poids", "poids_corr", "code_insee", "code_quartier")

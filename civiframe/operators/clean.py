@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civiframe.operators.joins import spread_left_join
 from civiframe.config import BIN, OUTLET, PRODUCER, TableSpec
 from civiframe.functions import text as X
 from civiframe.functions.keys import technical_key
@@ -175,7 +176,7 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def duplicate_report(df: DataFrame, key: str) -> DataFrame:
     """Rows of every duplicated key with the row count; null keys form one group."""
     repeated = duplicate_keys(df, key).withColumnRenamed(key, "_key")
-    return df.join(repeated, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    return spread_left_join(df, repeated, [(key, "_key")], null_safe=True).where("n_rows is not null")
 
 
 def keep_one(df: DataFrame, key: str, order: Sequence[Column | str] | None = None) -> DataFrame:

@@ -13,18 +13,22 @@ SALTS = 16
 
 def spread_left_join(
     facts: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], *, null_safe: bool = False,
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Left join that spreads every key over ``salts`` partitions.
+    """Left join that spreads every key over ``salts`` partitions (by default an eighth of
+    the session's shuffle partitions, ``SALTS`` at least).
 
     AQE splits a hot key only where both sides come straight from a shuffle. A lookup
     that was aggregated or ranked on the join key does not, so a key with most of the
-    facts would land in one task. Here the facts carry a salt, fixed per input
-    partition so that a retried task repeats it, and the lookup, which has few rows
+    facts would land in one task. Here every fact carries a salt, from its
+    content and its input partition so that a retried task repeats it, and the lookup, which has few rows
     per key, is repeated for every salt. A small lookup is still broadcast by AQE.
     The lookup's key columns are dropped; other names must differ.
     """
-    salted = facts.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    salts = salts or max(SALTS, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    content = [F.col(f"`{name}`") for name, kind in facts.dtypes if "map<" not in kind and "variant" not in kind]
+    salt = F.pmod(F.shiftright(F.xxhash64(*content), 8) + F.spark_partition_id(), F.lit(salts)).cast("int")
+    salted = facts.withColumn("_salt", salt)
     keys = [F.col(name).alias(f"_key{i}") for i, (_, name) in enumerate(on)]
     others = [c for c in lookup.columns if c not in {name for _, name in on}]
     repeated = lookup.select(

@@ -114,22 +114,34 @@ def nearest_of(
     )
 
 
-def attribute_places(
-    facts: DataFrame, municipalities: DataFrame, districts: DataFrame
-) -> DataFrame:
+def place_positions(positions: DataFrame, municipalities: DataFrame, districts: DataFrame) -> DataFrame:
     """Municipality (containing, else nearest, of the agglomeration) and district of
-    each fact, from its latitude and longitude. Nothing is sorted; order at the sink."""
+    distinct positions ``latitude, longitude``."""
     own = municipalities.where(F.col("commune_agglo") == 1).select("code_insee", "edges", *BOX)
-    located = attach_containing(with_projection(facts), own, ["code_insee"])
+    located = attach_containing(with_projection(positions), own, ["code_insee"])
     nearest = nearest_of(located.where(F.col("code_insee").isNull()), own, "code_insee").select(
         F.col("px").alias("_px"), F.col("py").alias("_py"), F.col("code_insee").alias("_nearest")
     )
-    # many facts may share one position outside (a default of the device)
+    # many positions may share one point outside
     unplaced = F.when(F.col("code_insee").isNull(), F.col("px")).alias("_ux")
     placed = spread_left_join(
         located.select("*", unplaced), nearest, [("_ux", "_px"), ("py", "_py")]
     ).withColumn("code_insee", F.coalesce("code_insee", "_nearest"))
     quarter = districts.select(F.col("nuquart").alias("code_quartier"), "edges", *BOX)
-    return attach_containing(placed.drop("_ux", "_nearest"), quarter, ["code_quartier"]).drop(
-        "px", "py"
+    return attach_containing(placed.drop("_ux", "_nearest"), quarter, ["code_quartier"]).select(
+        "latitude", "longitude", "code_insee", "code_quartier"
+    )
+
+
+def attribute_places(
+    facts: DataFrame, municipalities: DataFrame, districts: DataFrame, positions: DataFrame | None = None
+) -> DataFrame:
+    """``facts`` with the municipality and district of their latitude and longitude. Every
+    position is placed once; ``positions`` may name a cheaper frame that holds all of
+    them. Nothing is sorted; order at the sink."""
+    distinct = (facts if positions is None else positions).select("latitude", "longitude").distinct()
+    places = place_positions(distinct, municipalities, districts).withColumnsRenamed(
+        {"latitude": "_latitude", "longitude": "_longitude"}
     )
+    on = [("latitude", "_latitude"), ("longitude", "_longitude")]
+    return spread_left_join(facts, places, on, null_safe=True)

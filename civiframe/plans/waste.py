@@ -255,7 +255,7 @@ def correction_plan(
     date: str,
 ) -> DataFrame:
     corrected = corrected_facts(staged, support, bins, history, date)
-    return attribute_places(corrected, municipalities, districts)
+    return attribute_places(corrected, municipalities, districts, staged.where(day_equals(date)))
 
 
 def run_correction(
