@@ -61,6 +61,37 @@ def _history_explode(t):
     )
 
 
+@query(
+    "history_columns",
+    f"""with {S.FRAMES}, stepped as (select * from frames where user_id % 2 = 0),
+  dated as (
+    select deveui, day, strftime(ts - to_seconds(cast(p * 3600 as integer)), '%Y-%m-%dT%H:%M:%S') || '+01:00' as "timestamp",
+           case p when 0 then value when 1 then value / 2 else cast(k as double) end as past, cast(null as double) as older
+    from stepped, range(3) r(p)
+    union all
+    select deveui, day, strftime(ts - to_seconds(cast(p * 1800 as integer)), '%Y-%m-%dT%H:%M:%S') || '+01:00', null,
+           case p when 0 then value * 3 else cast(k as double) end
+    from stepped, range(2) r(p)),
+  partners as (select distinct deveui, "timestamp", kind from stepped)
+    select d.deveui, d."timestamp", d.day, p.kind, round(d.past, 3) as past, round(d.older, 3) as older
+    from dated d left join partners p using (deveui, "timestamp")
+    union all
+    select deveui, "timestamp", day, kind, round(value, 3), round(value * 3, 3) from frames where user_id % 2 = 1""",
+)
+def _history_columns(t):
+    """Two history columns with steps of their own, and the day of the frame that brought each value."""
+    own = S.sensor_ids(t).where(F.col("user_id") % 2 == 0).select("deveui")
+    steps = own.select("deveui", F.lit("past").alias("dataparameter"), F.lit(3600).alias("step")).unionAll(
+        own.select("deveui", F.lit("older"), F.lit(1800))
+    )
+    older = F.array(F.col("past")[0] * 3, F.col("past")[2])
+    flat = melt.expand_data(S.frames(t)).select("deveui", "timestamp", "year", "month", "day", "kind", "past", older.alias("older"))
+    exploded = melt.explode_history(flat, ["past", "older"], steps)
+    return exploded.select(
+        "deveui", "timestamp", "day", "kind", F.round(F.col("past")[0], 3).alias("past"), F.round(F.col("older")[0], 3).alias("older")
+    )
+
+
 _MELTED_COLUMNS = """deveui, tramedate, name, round(cast(cast(v as float) as double), 3) as value, year, month, day,
   deveui || ' | ' || tramedate || ' | ' || name as id"""
 
