@@ -1,27 +1,30 @@
 """Operators for training data, each registered as one query over a provided table."""
 
-from civiframe.llm import op07_embeddings, op10_topk
-from civiframe.llm.op01_language_id import op1_language_id
-from civiframe.llm.op02_toxicity import op2_toxicity
-from civiframe.llm.op03_suffix_dedup import op3_suffix_dedup
-from civiframe.llm.op04_simhash import op4_simhash_near_dedup
-from civiframe.llm.op05_mixing import op5_source_mixing
-from civiframe.llm.op06_lines import op6_line_dedup
-from civiframe.llm.op08_licenses import op8_license_scan
-from civiframe.llm.op09_packing import op9_packing
+from civiframe.llm import (
+    op01_language_id,
+    op02_toxicity,
+    op03_suffix_dedup,
+    op04_simhash,
+    op05_mixing,
+    op06_lines,
+    op07_embeddings,
+    op08_licenses,
+    op09_packing,
+    op10_topk,
+)
 
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_language_id,
-        op2_toxicity,
-        op3_suffix_dedup,
-        op4_simhash_near_dedup,
-        op5_source_mixing,
-        op6_line_dedup,
+        op01_language_id.op1_language_id,
+        op02_toxicity.op2_toxicity,
+        op03_suffix_dedup.op3_suffix_dedup,
+        op04_simhash.op4_simhash_near_dedup,
+        op05_mixing.op5_source_mixing,
+        op06_lines.op6_line_dedup,
         op07_embeddings.op7_embedding_near_dedup,
-        op8_license_scan,
-        op9_packing,
+        op08_licenses.op8_license_scan,
+        op09_packing.op9_packing,
         op10_topk.op10_topk_search,
     )
 }
