@@ -247,6 +247,12 @@ def training_sample(docs: DataFrame, labels: DataFrame, work: Staged) -> DataFra
     hash of the id, whose crc32 remainder modulo 4 is not 2. Only ids and labels are ranked."""
     usable = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     usable = usable.where(remainder("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    # a share of each class that holds about twice the bound, so that the rank meets few rows at any size
+    numbers = {r.toxic: r.n for r in usable.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    share = {y: int(min(1.0, 2 * SAMPLE_ROWS / n) * (1 << 30)) for y, n in numbers.items()}
+    usable = usable.where(
+        F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, share.get(1, 0)).otherwise(share.get(0, 0))
+    )
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = usable.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE_ROWS).drop("_n")
     return work.put(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null"), "toxicity-sample")
