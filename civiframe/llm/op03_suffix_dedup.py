@@ -36,11 +36,11 @@ LENGTH = 400
 GRAM = 32
 #: Strings that have an anchor at all their distances: 0 .. REACH - 1.
 REACH = LENGTH - GRAM + 1
-#: Distances of a range, level by level; a core beyond ``HOT`` contexts goes to the next.
+#: Distances of a range, level by level; a core beyond ``HOT`` contexts (3 MB to sort) goes to the next.
 WIDTHS = (93, 24, 6, 1)
-HOT = 2048
+HOT = 16_384
 #: Bytes of text that are hashed at once, and that a shard holds on average.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 SHARD_BYTES = 2 << 20
 #: Memory of a shard's queues; entries beyond it wait on disk.
 QUEUE_BYTES = 64 << 20
@@ -48,6 +48,9 @@ QUEUE_BYTES = 64 << 20
 FILTER_BITS = 1 << 25
 _BASE = 0x9E3779B97F4A7C15 | 1
 _MARGIN = 2 * LENGTH
+#: Bytes that stand for a core in what is sorted.
+TOKEN = 10
+_SEVENS = np.arange(0, 7 * TOKEN, 7, dtype=np.uint64)
 
 
 @functools.cache
@@ -128,12 +131,19 @@ def _chunk(data: np.ndarray, parts: list[tuple[int, int, int, int, int, int]]) -
     powers, inverse = _powers(_reserve())
     n = len(joined)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((joined + np.uint64(1)) * powers[:n], out=sums[1:])
+    np.multiply(joined, powers[:n], out=sums[1:])
+    sums[1:] += powers[:n]  # a byte counts one more, so that zeros count
+    np.cumsum(sums[1:], out=sums[1:])
     ends = np.cumsum(high - low)
     starts = ends - (high - low)
-    hashes = _mixed((sums[GRAM:] - sums[:-GRAM]) * inverse[: n - GRAM + 1])
+    hashes = sums[GRAM:] - sums[:-GRAM]
+    hashes *= inverse[: n - GRAM + 1]
     bits = np.uint64(max(1, (n - 1).bit_length()))
-    keyed = (hashes >> bits << bits) | np.arange(n - GRAM + 1, dtype=np.uint64)
+    keyed = hashes ^ (hashes >> np.uint64(29))  # in place, as most of a pass is spent here
+    keyed *= np.uint64(0x7FB5D329728EA185)
+    keyed >>= bits
+    keyed <<= bits
+    keyed |= np.arange(n - GRAM + 1, dtype=np.uint64)
     least = sliding_least(keyed, REACH)
     window = np.zeros(n + 1, np.int32)  # windows that lie within a part
     full = ends - starts >= LENGTH
@@ -146,7 +156,7 @@ def _chunk(data: np.ndarray, parts: list[tuple[int, int, int, int, int, int]]) -
     base = starts[part] - low[part]
     own = (anchors - base >= at[part]) & (anchors - base < at[part] + CHUNK)
     anchors, part = anchors[own], part[own]
-    return Chunk(joined, sums, anchors, hashes[anchors], row[part], base[own], size[part])
+    return Chunk(joined, sums, anchors, _mixed(hashes[anchors]), row[part], base[own], size[part])
 
 
 class Filter:
@@ -193,7 +203,10 @@ def ranges(chunk: Chunk, keep: np.ndarray, level: int, filters: list[Filter]) ->
             go = filters[depth].has(core)
             index, low, high = index[go], low[go], high[go]
     start, end = anchor - farthest, anchor - nearest + LENGTH
-    return {"index": index, "core": core, "context": chunk.hash(start, end), "start": start, "end": end}
+    return {
+        "index": index, "core": core, "context": chunk.hash(start, end), "start": start, "end": end,
+        "core_start": anchor - low, "core_end": anchor - high + LENGTH,
+    }
 
 
 def gram_hashes(docs: DataFrame) -> DataFrame:
@@ -230,7 +243,11 @@ def range_rows(docs: DataFrame, grams, level: int, hot: list) -> DataFrame:
 
 
 def context_texts(docs: DataFrame, grams, levels: int, hot: list, wanted) -> DataFrame:
-    """``core, context, ref, start, body``: bytes of the contexts in the filter ``wanted``."""
+    """``core, context, ref, start, need, body`` of the contexts in the filter ``wanted``.
+
+    All contexts of a core share its bytes, so ``body`` has the core's number in their place
+    (in seven bits a byte), and a string of ``LENGTH`` bytes has ``need`` bytes there.
+    """
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
@@ -242,7 +259,9 @@ def context_texts(docs: DataFrame, grams, levels: int, hot: list, wanted) -> Dat
                     found = ranges(chunk, keep, level, [f.value for f in hot])
                     some = wanted.value.has(found["context"])
                     core, context = found["core"][some].view(np.int64), found["context"][some].view(np.int64)
-                    index, start, end = (found[k][some] for k in ("index", "start", "end"))
+                    index, start, end, core_start, core_end = (
+                        found[k][some] for k in ("index", "start", "end", "core_start", "core_end")
+                    )
                     rows = []
                     for k, key in enumerate(zip(core.tolist(), context.tolist())):
                         if key not in seen:
@@ -251,33 +270,42 @@ def context_texts(docs: DataFrame, grams, levels: int, hot: list, wanted) -> Dat
                             seen.add(key)
                             rows.append(k)
                     rows = np.array(rows, np.int64)
+                    tokens = (core[rows].view(np.uint64)[:, None] >> _SEVENS & np.uint64(127)).astype(np.uint8)
+                    places = zip(*(x[rows].tolist() for x in (start, core_start, core_end, end)))
+                    bodies = [
+                        chunk.data[a:b].tobytes() + token.tobytes() + chunk.data[c:d].tobytes()
+                        for (a, b, c, d), token in zip(places, tokens)
+                    ]
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(core[rows]), pa.array(context[rows]), pa.array(refs[chunk.row[index[rows]]]),
                             pa.array((start - chunk.base[index])[rows]),
-                            pa.array([chunk.data[a:b].tobytes() for a, b in zip(start[rows].tolist(), end[rows].tolist())], pa.binary()),
+                            pa.array((LENGTH - (core_end - core_start) + TOKEN)[rows].astype(np.int32)),
+                            pa.array(bodies, pa.binary()),
                         ],
-                        ["core", "context", "ref", "start", "body"],
+                        ["core", "context", "ref", "start", "need", "body"],
                     )
 
-    return docs.mapInArrow(texts, "core long, context long, ref long, start long, body binary")
+    return docs.mapInArrow(texts, "core long, context long, ref long, start long, need int, body binary")
 
 
 def sort_shard(shard: pd.DataFrame) -> pd.DataFrame:
-    """``core, context, first, last``: runs of strings of each context that start elsewhere too."""
+    """``core, context, first, last``: runs of strings of each context that start elsewhere too.
+    All rows have one ``need``."""
+    need = int(shard.need.iloc[0])
     sizes = shard.body.map(len).to_numpy(np.int64)
     text = np.frombuffer(b"".join(b + b"\xff" for b in shard.body), np.uint8) + np.uint8(1)  # 0 ends a context
-    place, share = suffix_array(text, LENGTH, QUEUE_BYTES)
+    place, share = suffix_array(text, need, QUEUE_BYTES)
     ends = np.cumsum(sizes + 1) - 1
     begins = ends - sizes
-    # suffixes in order fall into groups that share LENGTH bytes; ends of contexts cut them off
-    group = np.cumsum(share < LENGTH)
+    # suffixes in order fall into groups that share such a string; ends of contexts cut them off
+    group = np.cumsum(share < need)
     counts = np.bincount(group)
     several = counts[group] > 1
     place, group = place[several].astype(np.int64), group[several]
     owner = np.searchsorted(ends, place, side="right")
     offset = place - begins[owner]
-    fits = (offset >= 0) & (offset + LENGTH <= sizes[owner])  # the 0 before a context is none of it
+    fits = (offset >= 0) & (offset + need <= sizes[owner])  # the 0 before a context is none of it
     owner, offset, group = owner[fits], offset[fits], group[fits]
     # one place may stand in several contexts; it repeats if another place shares its bytes
     refs = np.unique(shard.ref.to_numpy(), return_inverse=True)[1].astype(np.int64)
@@ -331,10 +359,10 @@ def repeated_ranges(docs: DataFrame, work: Staged) -> DataFrame:
             .join(tosort_all, ["core", "context"], "left_semi")
             .dropDuplicates(["core", "context"])
         )
-        shards = max(1, n * LENGTH * 5 // 4 // SHARD_BYTES)
+        shards = max(1, n * (2 * WIDTHS[0] + TOKEN) // SHARD_BYTES)
         sorted_runs = (
             bodies.withColumn("shard", F.expr(f"pmod(xxhash64(core), {shards})"))
-            .groupBy("shard")
+            .groupBy("need", "shard")
             .applyInPandas(sort_shard, "core long, context long, first int, last int")
         )
         found_runs = found_runs.unionAll(work.put(sorted_runs, "sorted-runs"))
