@@ -28,8 +28,8 @@ SHARE = 1.5
 CAP = 2.0
 BLOCK = 64
 SEED = 11
-#: Words (and one for each document) of a shard; one task holds a shard's sizes.
-SHARD = 1 << 21
+#: Words (and one for each document) of a shard; one task holds a shard's sizes or texts.
+SHARD = 1 << 18
 WORD = r"[^\x20\x09-\x0D]+"
 #: Divisors tried in one pass over the shards.
 TRIED = 64
