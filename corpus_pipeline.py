@@ -17,8 +17,17 @@ from civiframe.llm.tables import read
 from civiframe.session import Staged
 
 
+#: Documents handed to a Python worker at once, so that workers stay small beside the executor's heap.
+BATCH_ROWS = 1000
+
+
+def bounded(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; texts without letters go."""
+    bounded(spark)
     return keep_identified(docs)
 
 
@@ -29,16 +38,19 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    bounded(spark)
     return keep_one_of_group(docs)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts as the mixture takes them: parts, whole, or repeated."""
+    bounded(spark)
     return mixed_documents(docs)
 
 
 def sequence_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the texts in sequences of at most 2048 tokens."""
+    bounded(spark)
     return packing(docs)
 
 
