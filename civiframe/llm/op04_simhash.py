@@ -14,12 +14,12 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiframe.llm.graph import Forest, components, local_roots
-from civiframe.llm.tables import read
+from civiframe.llm.tables import fresh, read
 from civiframe.session import Staged
 
 SEED = 42
@@ -181,16 +181,16 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
     )
 
 
-def simhash_groups(docs: DataFrame, work: Staged) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row; staged tables belong to ``work``."""
-    prints = work.put(docs.select("doc_id", simhash("text").alias("fp")), "fingerprints")
+def simhash_groups(docs: DataFrame, work: Staged, *extra: Column) -> DataFrame:
+    """``(doc_id, fp, component_id)`` and ``extra`` for every row; staged tables belong to ``work``."""
+    prints = work.put(docs.select("doc_id", simhash("text").alias("fp"), *extra), "fingerprints")
     distinct = work.put(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     links = work.put(fingerprint_links(distinct), "fingerprint-links")
     roots = components(links, work)
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = named.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select(*prints.columns, "component_id")
 
 
 def simhash_near_dedup(docs: DataFrame) -> DataFrame:
@@ -209,14 +209,17 @@ def simhash_near_dedup(docs: DataFrame) -> DataFrame:
 def keep_one_of_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of their group, columns unchanged.
 
-    Rows that share that id all stay, as do groups without any id.
+    Rows that share that id all stay, as do groups without any id. A row goes by its id and
+    text, so other texts with that id, or without one, stay or go with their own group.
     """
     work = Staged(docs.sparkSession)
-    groups = simhash_groups(docs, work)
-    dropped = groups.where("doc_id <> component_id or (doc_id is null and component_id is not null)").select("doc_id")
-    # few columns cross: the ids that go; null ids go when their group has an id
-    gone = work.put(dropped.distinct(), "dropped-ids")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    doc, content = fresh("doc"), fresh("content")
+    groups = simhash_groups(docs, work, F.xxhash64("text").alias(content))
+    dropped = groups.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
+    # few columns cross: ids and texts that go; null ids go when their group has an id
+    gone = work.put(dropped.select(F.col("doc_id").alias(doc), content).distinct(), "dropped-rows")
+    same = docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(content))
+    return docs.join(gone, same, "left_anti")
 
 
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

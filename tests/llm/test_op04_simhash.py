@@ -103,6 +103,15 @@ def test_keep_one(frame):
     assert kept.schema == docs.schema and sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
 
 
+def test_keep_one_decides_by_row(frame):
+    """Of two null ids only the near copy goes; an id on two texts goes only where its group has a smaller one."""
+    rows = [(3, "a b c d e"), (None, "a b c d e"), (None, "wholly unlike words stand here"), (9, "A B c d e"), (9, "quite another text here"), (None, None)]
+    kept = op.keep_one_of_group(frame(rows)).select("doc_id", "text").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept) == [
+        (0, ""), (0, "wholly unlike words stand here"), (3, "a b c d e"), (9, "quite another text here")
+    ]
+
+
 def test_provided_table(spark, sf):
     rows = sorted(op.op4_simhash_near_dedup(spark, sf).collect())
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
