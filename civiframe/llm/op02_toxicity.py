@@ -199,13 +199,13 @@ def _inputs(features: np.ndarray) -> np.ndarray:
     return np.column_stack([np.ones(len(features)), np.log1p(features[:, 0]), features[:, 1]])
 
 
-def fit_curve(features: np.ndarray, labels: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression by Newton steps, with a small penalty."""
-    x, w = _inputs(features), np.zeros(3)
+def fit_curve(features: np.ndarray, labels: np.ndarray, stands_for: np.ndarray | float = 1.0) -> tuple[float, ...]:
+    """Logistic regression by Newton steps, with a small penalty; row k counts as ``stands_for[k]`` rows."""
+    x, w, n = _inputs(features), np.zeros(3), np.broadcast_to(stands_for, len(features))
     for _ in range(25):
         p = 1 / (1 + np.exp(-x @ w))
-        gradient = x.T @ (p - labels) + 0.05 * w
-        w = w - np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(3), gradient)
+        gradient = x.T @ (n * (p - labels)) + 0.05 * w
+        w = w - np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + 0.05 * np.eye(3), gradient)
     return tuple(w.tolist())
 
 
@@ -242,9 +242,10 @@ def choose_terms(counts: list[tuple[str, int, int]], toxic: int, clean: int) ->
     return chosen
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, work: Staged) -> DataFrame:
+def training_sample(docs: DataFrame, labels: DataFrame, work: Staged) -> tuple[DataFrame, dict[int, float]]:
     """``(doc_id, text, toxic)``: at most ``SAMPLE_ROWS`` labelled rows of each class, drawn by a
-    hash of the id, whose crc32 remainder modulo 4 is not 2. Only ids and labels are ranked."""
+    hash of the id, whose crc32 remainder modulo 4 is not 2; and how many rows of its class
+    each stands for. Only ids and labels are ranked."""
     usable = labels.where("toxic in (0, 1)").select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     usable = usable.where(remainder("doc_id", 4) != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     # a share of each class that holds about twice the bound, so that the rank meets few rows at any size
@@ -254,16 +255,20 @@ def training_sample(docs: DataFrame, labels: DataFrame, work: Staged) -> DataFra
         F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < F.when(F.col("toxic") == 1, share.get(1, 0)).otherwise(share.get(0, 0))
     )
     order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE_ROWS).drop("_n")
-    return work.put(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null"), "toxicity-sample")
+    chosen = work.put(usable.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= SAMPLE_ROWS).drop("_n"), "toxicity-ids")
+    stands_for = {r.toxic: numbers[r.toxic] / r.n for r in chosen.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null")
+    return work.put(sample, "toxicity-sample"), stands_for
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Scorer:
     with Staged(docs.sparkSession) as work:
-        sample = training_sample(docs, labels, work)
+        sample, stands_for = training_sample(docs, labels, work)
         n = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
         toxic, clean = n.get(1, 0), n.get(0, 0)
-        rate = (toxic + 0.5) / (toxic + clean + 1) if toxic + clean else 0.0
+        # the sample holds the classes in other shares than the table: its rows count as the rows they stand for
+        all_toxic, all_clean = toxic * stands_for.get(1, 1.0), clean * stands_for.get(0, 1.0)
+        rate = (all_toxic + 0.5) / (all_toxic + all_clean + 1) if toxic + clean else 0.0
         flat = (math.log(rate / (1 - rate)) if rate else -20.0, 0.0, 0.0)
         if not toxic or not clean:
             return Scorer([], [], [], frozenset(), flat)
@@ -286,7 +291,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Scorer:
         edits, innocent = _check_misspellings(sample, first, toxic, clean)
         second = Scorer(terms, weights, edits, innocent, flat)
         rows = sample.select("toxic", _features(second)("text").alias("f")).select("toxic", "f.*").toPandas()
-        curve = fit_curve(rows[["total", "largest"]].to_numpy(), rows.toxic.to_numpy())
+        each = rows.toxic.map(stands_for).to_numpy(float)
+        curve = fit_curve(rows[["total", "largest"]].to_numpy(), rows.toxic.to_numpy(), each / each.mean())
         return Scorer(terms, weights, edits, innocent, curve)
 
 

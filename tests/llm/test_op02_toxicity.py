@@ -77,6 +77,28 @@ def test_without_labels(frame, spark):
     assert op.toxicity(frame([]), none).count() == 0
 
 
+def test_scores_do_not_depend_on_the_sample_bound(frame, spark, monkeypatch):
+    """A table and the same table repeated past the bound give the same scores, with terms and without."""
+    monkeypatch.setattr(op, "SAMPLE_ROWS", 400)
+    rng = random.Random(4)
+    for term in ("idiot", "word"):  # the second tells nothing
+        base = []
+        for k in range(400):
+            toxic = k % 10 == 0
+            said = term if rng.random() < (0.7 if toxic else 0.03) else "word"
+            base.append((int(toxic), f"some {said} and another {said if rng.random() < 0.5 else 'word'}"))
+        texts = ["you idiot", "nothing at all"]
+        found = []
+        for times in (1, 20):
+            rows = [(k, text) for k, (_, text) in enumerate(base * times)]
+            labels = [(k, 1, toxic) for k, (toxic, _) in enumerate(base * times)]
+            asked = frame(rows + [(-1 - k, t) for k, t in enumerate(texts)])
+            out = op.toxicity(asked, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).where("doc_id < 0").collect()
+            found.append([(r.score, r.predicted) for r in sorted(out, key=lambda r: -r.doc_id)])
+        assert [p for _, p in found[0]] == [p for _, p in found[1]], found
+        assert max(abs(a - b) for (a, _), (b, _) in zip(*found)) < 0.1, found
+
+
 def test_held_out_quality(spark):
     folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic")
