@@ -44,6 +44,8 @@ REPORTING = frozenset(
     " dit dijo sagte schrieb escribió écrit citado zitiert".split()
 )
 QUOTES = re.compile("[\"“”„«»‹›]")
+#: What training counts as words.
+WORDS = re.compile(r"[^\W_]+")
 THRESHOLD = 0.3
 #: Words whose matches are remembered by a worker.
 REMEMBERED = 400_000
@@ -135,7 +137,9 @@ class Scorer:
 
     def _prepare(self) -> None:
         self.automaton = LexiconAutomaton(self.terms, self.edits)
-        self.known: dict[str, tuple[int, int, str] | None] = {}
+        #: Characters of a word that can matter.
+        self.reach = max(map(len, self.terms), default=0) + max(self.edits, default=0)
+        self.known: dict[str, tuple[tuple[int, int, str, bool], ...]] = {}
 
     def __getstate__(self) -> tuple:
         return self.terms, self.weights, self.edits, self.innocent, self.curve
@@ -144,28 +148,38 @@ class Scorer:
         self.terms, self.weights, self.edits, self.innocent, self.curve = state
         self._prepare()
 
-    def lookup(self, token: str) -> tuple[int, int, str] | None:
-        """``(edits, term, word)`` of a token, its outer punctuation left out."""
-        a, b = 0, len(token)
-        while a < b and not token[a].isalnum():
-            a += 1
-        while b > a and not token[b - 1].isalnum():
-            b -= 1
-        word = token[a:b]
+    def _read(self, word: str) -> tuple[int, int, str] | None:
         found = self.automaton.match(word)
-        if found is not None and found[0] and word in self.innocent:
-            found = None
+        return None if found is None or (found[0] and word in self.innocent) else (*found, word)
+
+    def lookup(self, token: str) -> tuple[tuple[int, int, str, bool], ...]:
+        """``(edits, term, word, reported)`` of every hit in a token, in order.
+
+        The words are its runs of letters and digits, as in training. One that is no hit is
+        read on through the signs behind it, up to the next hit: that finds ``id*ot``.
+        ``reported``: a reporting word stands before it in the token.
+        """
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        out = self.known[token] = None if found is None else (*found, word)
+        runs = [(m.start(), m.end()) for m in WORDS.finditer(token)]
+        hits: list[tuple[int, tuple[int, int, str]]] = []
+        stop = runs[-1][1] if runs else 0
+        for start, end in reversed(runs):
+            found = self._read(token[start:end])
+            if found is None and end < stop:
+                found = self._read(token[start : min(stop, start + self.reach)])
+            if found is not None:
+                hits.append((start, found))
+                stop = start
+        first = next((end for start, end in runs if token[start:end] in REPORTING), None) if hits else None
+        out = self.known[token] = tuple((*found, first is not None and start >= first) for start, found in reversed(hits))
         return out
 
-    def hits(self, text: str | None) -> tuple[list[str], list[tuple[int, tuple[int, int, str]]]]:
+    def hits(self, text: str | None) -> tuple[list[str], list[tuple[int, tuple[int, int, str, bool]]]]:
         tokens = text.lower().split() if text else []
         known, lookup, out = self.known, self.lookup, []
         for place, token in enumerate(tokens):
-            found = known[token] if token in known else lookup(token)
-            if found is not None:
+            for found in known[token] if token in known else lookup(token):
                 out.append((place, found))
         return tokens, out
 
@@ -174,7 +188,7 @@ class Scorer:
         tokens, hits = self.hits(text)
         total = largest = 0.0
         places = [p for p, _ in hits]
-        for k, (place, (edits, term, _)) in enumerate(hits):
+        for k, (place, (edits, term, _, reported)) in enumerate(hits):
             before, after = tokens[max(0, place - WINDOW) : place], tokens[place + 1 : place + 1 + WINDOW]
             score = self.weights[term] * MISSPELLED**edits
             quoted = QUOTES.search(tokens[place]) or (
@@ -182,7 +196,7 @@ class Scorer:
             )
             if quoted:
                 score *= QUOTED
-            if any(w.strip(".,:;!?") in REPORTING for w in before):
+            if reported or any(p in REPORTING for w in before for p in WORDS.findall(w)):
                 score *= REPORTED
             near = sum(abs(p - place) <= WINDOW for p in places[max(0, k - WINDOW) : k + WINDOW + 1]) - 1
             score *= 1 + COMPANY * min(near, 2)
@@ -304,7 +318,7 @@ def _check_misspellings(sample: DataFrame, scorer: Scorer, toxic: int, clean: in
     @F.pandas_udf(T.ArrayType(HIT))
     def misspelled(texts: pd.Series) -> pd.Series:
         own = _loaded(state)
-        return pd.Series([[(w, t, e) for w, t, e in {(w, t, e) for _, (e, t, w) in own.hits(x)[1]} if e] for x in texts])
+        return pd.Series([[(w, t, e) for w, t, e in {(w, t, e) for _, (e, t, w, _) in own.hits(x)[1]} if e] for x in texts])
 
     hits = sample.select("toxic", F.explode(misspelled("text")).alias("h")).select("toxic", "h.*")
     found = hits.groupBy("word", "term").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))

@@ -43,6 +43,18 @@ def test_misspelling_and_quotation():
     assert s.features(None) == s.features("") == (0.0, 0.0)
 
 
+def test_words_behind_inner_marks_are_read():
+    s = scorer()
+    plain = s.features("idiot")
+    for text in ("you,idiot", "fool/idiot", "so...idiot", "<b>idiot</b>", "那,idiot。", "_idiot_", "idiot's", "x-idiot-like"):
+        assert s.features(text) == plain, text
+    assert s.features("said—idiot") == s.features("said idiot") and s.features("said—idiot") < plain
+    assert s.features("you,id*ot") == s.features("id*ot") == s.features("idi0t") > (0.0, 0.0)
+    assert len(s.hits("idiot,loser/l0ser")[1]) == 3 and s.features("idiot,loser")[0] > 2 * plain[0]
+    for clean in ("you,closer", "and/or", "...", "a,b;c" * 1000):
+        assert s.features(clean) == (0.0, 0.0), clean
+
+
 def test_terms_are_chosen_by_evidence():
     counts = [("los", 60, 40), ("lose", 50, 9), ("loser", 50, 0), ("losers", 20, 0), ("the", 90, 900), ("idi", 40, 0), ("idiot", 40, 0)]
     assert [t for t, _, _ in op.choose_terms(counts, 100, 1000)] == ["loser", "idiot"]
