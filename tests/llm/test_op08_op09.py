@@ -42,6 +42,31 @@ def test_notices():
         assert scan(clean) == []
 
 
+def test_licences_are_told_apart():
+    scan = lic.Scanner(lic.TEMPLATES, lic.REQUIRED).scan
+    names = lambda text: [n for n, *_ in scan(text)]
+    for name, text in lic.TEMPLATES.items():
+        assert [(n, c) for n, c, _, _ in scan(f"Before it. {text} And after it.")] == [(name, 1.0)], name
+    assert names("Licensed under CC BY-SA 4.0") == ["CC-BY-SA-4.0"] and names("Licensed under CC BY SA 4.0") == []
+    assert names("Licensed under the Apache License, Version 1.1") == ["Apache-1.1-licensed"]
+    assert names("Licensed under the Apache License, Version 1.0. See part 2.0") == [] == names("Released under the Foo License.")
+    assert names("This work is licensed under the GNU Lesser General Public License, version 2") == []
+    gpl = lic.TEMPLATES["GPL-3.0-notice"]
+    assert names(gpl.replace("program", "file")) == ["GPL-3.0-notice"] and names(gpl.replace("version 3", "version 4")) == []
+
+
+def test_whole_licences_with_changes():
+    """Coverage is that of the whole text: a tenth of the words changed is found, half of the text is not."""
+    scan, rng = lic.Scanner(lic.TEMPLATES, lic.REQUIRED).scan, random.Random(6)
+    for name in ("MIT-whole", "BSD-2-Clause-text", "BSD-3-Clause-text", "ISC-text", "MPL-2.0-text", "GPL-3.0-text"):
+        words = lic.TEMPLATES[name].split()
+        kept = {w for p in lic.REQUIRED[name] for w in p.split()}
+        changed = [w if rng.random() < 0.9 or w.lower().strip(",.") in kept else "other" for w in words]
+        found = scan("x " * 300 + " ".join(changed) + " y" * 300)
+        assert [n for n, *_ in found] == [name] and 0.85 < found[0][1] < 1, (name, [f[:2] for f in found])
+        assert name not in [n for n, *_ in scan(" ".join(words[: len(words) // 2]))]
+
+
 def test_license_rows(frame):
     notice = lic.TEMPLATES["MIT"]
     rows = [(1, f"a {notice} b"), (2, None), (3, ""), (None, notice), (1, f"a {notice} b"), (4, "word " * 5000 + notice)]
