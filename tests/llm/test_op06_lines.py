@@ -103,6 +103,16 @@ def test_edges(frame):
     assert kept.schema == docs.schema and {(r.doc_id, r.text, r.n_chars) for r in kept.collect()} == {(1, text, 30), (2, "b", 1)}
 
 
+def test_short_lines_repeat_exactly(frame):
+    """Lines without blanks are grouped by default, other short lines with ``short``; blank lines stay."""
+    han, thai = "这是一行没有空格的很长的文字它在两个文件里都出现", "นี่คือบรรทัดยาวที่ไม่มีช่องว่าง"
+    rows = [(1, f"Share this\n\n{han}\nb\n{thai}"), (2, f"share  THIS!\n\n{han}。\nshare that"), (3, f"share this\nb\nB\n{thai}"), (None, "---\n---")]
+    default = {r.doc_id: r.text for r in op.dedup_lines(frame(rows)).collect()}
+    assert default == dict(rows) | {2: "share  THIS!\n\nshare that", 3: "share this\nb\nB"}
+    short = {r.doc_id: r.text for r in op.dedup_lines(frame(rows), short=True).collect()}
+    assert short == dict(rows) | {2: "\nshare that", 3: ""}
+
+
 @pytest.mark.parametrize("folder", ["/root/testdata/sf0.001"])
 def test_provided_table(spark, folder):
     table = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
