@@ -11,6 +11,7 @@ from civiframe.llm import (
     op08_licenses,
     op09_packing,
     op10_topk,
+    op13_token_counts,
 )
 
 QUERIES = {
@@ -26,6 +27,7 @@ QUERIES = {
         op08_licenses.op8_license_scan,
         op09_packing.op9_packing,
         op10_topk.op10_topk_search,
+        op13_token_counts.op13_token_counts,
     )
 }
 #: SQL for the queries that it can express.
