@@ -11,6 +11,8 @@ from civiframe.llm import (
     op08_licenses,
     op09_packing,
     op10_topk,
+    op11_lexical_search,
+    op12_spelling,
     op13_token_counts,
 )
 
@@ -27,6 +29,8 @@ QUERIES = {
         op08_licenses.op8_license_scan,
         op09_packing.op9_packing,
         op10_topk.op10_topk_search,
+        op11_lexical_search.op11_lexical_search,
+        op12_spelling.op12_spelling_variants,
         op13_token_counts.op13_token_counts,
     )
 }
@@ -34,4 +38,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op7_embedding_near_dedup": op07_embeddings.SQL,
     "op10_topk_search": op10_topk.SQL,
+    "op11_lexical_search": op11_lexical_search.SQL,
 }
