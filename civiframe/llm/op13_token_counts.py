@@ -103,6 +103,22 @@ def vocabulary(docs: DataFrame, path: str) -> DataFrame:
     return totals.mapInPandas(count, "token string, n long, pieces long")
 
 
+def frequent(words: DataFrame) -> dict[str, int]:
+    """Piece counts of the most frequent pre-tokens, ``HEAD`` at most.
+
+    They are chosen by a threshold from the counts of classes of frequencies, so that no more
+    than these rows leave the executors.
+    """
+    short = words.where(F.length("token") <= HEAD_CHARS).withColumn("class", F.floor(16 * F.log2("n")))
+    room, least = HEAD, None
+    for row in short.groupBy("class").count().orderBy(F.desc("class")).collect():
+        room -= row["count"]
+        if room < 0:
+            break
+        least = row["class"]
+    return {} if least is None else {r.token: r.pieces for r in short.where(F.col("class") >= least).select("token", "pieces").collect()}
+
+
 def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT) -> DataFrame:
     """``(doc_id, n_bytes, n_tokens, over_limit)``, one row for each row of ``docs``.
 
@@ -115,27 +131,23 @@ def token_counts(docs: DataFrame, model: str | None = None, limit: int = LIMIT)
     path = model or public_tokenizers.path(MODEL)
     spark, work = docs.sparkSession, Staged(docs.sparkSession)
     words = work.put(vocabulary(docs, path), "pre-tokens")
-    top = words.where(F.length("token") <= HEAD_CHARS).orderBy(F.desc("n"), "token").limit(HEAD).select("token", "pieces")
-    head = spark.sparkContext.broadcast({r.token: r.pieces for r in top.collect()})
+    head = spark.sparkContext.broadcast(frequent(words))
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("n_head long, tokens array<string>, times array<long>")
+    def split(texts: pd.Series) -> pd.DataFrame:
         known, numbers = pre_tokens(path), head.value
-        for batch in batches:
-            sums, tokens, times = [], [], []
-            for text in batch["text"]:
-                found = known.frequencies(text)
-                left = [t for t in found if t not in numbers]
-                tokens.append(left)
-                times.append([found.pop(t) for t in left])
-                sums.append(sum(n * numbers[t] for t, n in found.items()))
-            yield pd.DataFrame({"row": batch["row"], "doc_id": batch["doc_id"].astype("Int64"), "n_bytes": batch["n_bytes"], "n_head": sums, "tokens": tokens, "times": times})
-
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text",
-        F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
-    )
-    schema = "row long, doc_id long, n_bytes long, n_head long, tokens array<string>, times array<long>"
-    parts = work.put(rows.mapInPandas(split, schema), "frequencies")
+        sums, tokens, times = [], [], []
+        for text in texts:
+            found = known.frequencies(text)
+            left = [t for t in found if t not in numbers]
+            tokens.append(left)
+            times.append([found.pop(t) for t in left])
+            sums.append(sum(n * numbers[t] for t, n in found.items()))
+        return pd.DataFrame({"n_head": sums, "tokens": tokens, "times": times})
+
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), n_bytes, split("text").alias("found"))
+    parts = work.put(rows.select("row", "doc_id", "n_bytes", "found.*"), "frequencies")
     rare = parts.select("row", F.explode(F.arrays_zip("tokens", "times")).alias("t")).select("row", F.col("t.tokens").alias("token"), "t.times")
     tail = rare.join(words.select("token", "pieces"), "token").groupBy("row").agg(F.sum(F.col("times") * F.col("pieces")).alias("n_tail"))
     n_tokens = F.col("n_head") + F.coalesce("n_tail", F.lit(0))
