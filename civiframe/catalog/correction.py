@@ -6,10 +6,16 @@ from civiframe.catalog import standins as S
 from civiframe.catalog.facts import _HISTORY, history
 from civiframe.catalog.registry import ntz, query
 from civiframe.operators import weights
+from civiframe.sources.readers import previous_year_window
 
-_SUMS = f"""with {S.WEIGHINGS_RAW}, {S.WEIGHED}, support as (
+def sums_sql(month=None):
+    window = f"and strftime(date_mesure, '%Y-%m') = '{month}'" if month else ""
+    return f"""with {S.WEIGHINGS_RAW}, {S.WEIGHED}, support as (
   select *, case when length(code_tournee) > 0 then list_extract(string_split(code_tournee, '-'), 3) end as flow_code
-  from weighed where poids > 0 and poids < 250)"""
+  from weighed where poids > 0 and poids < 250 {window})"""
+
+
+_SUMS = sums_sql()
 
 VOLUME_RATES_SQL = "volume_rates(rate, category, volumes, default_rate) as (values {})".format(
     ", ".join(f"('{r}', '{c}', '{v}', {d}::double)" for r, c, v, d in weights.VOLUME_RATES)
@@ -41,7 +47,7 @@ def _bins(t):
     f"{_SUMS}, {VOLUME_RATES_SQL}, {_BY_VOLUME} select rate, round(average, 6) as average, n from volume_averages",
 )
 def _rate_by_flow_volume(t):
-    rates = weights.rate_by_volume(weights.support_sums(_support(t)), _bins(t))
+    rates = weights.rate_by_volume(weights.reference_averages(_support(t), _bins(t)))
     return rates.select("rate", F.round("average", 6).alias("average"), "n")
 
 
@@ -50,16 +56,31 @@ def _rate_by_flow_volume(t):
     f"{_SUMS}, {FLOW_RATES_SQL}, {_BY_FLOW} select rate, round(average, 6) as average, n from flow_averages",
 )
 def _rate_by_flow(t):
-    rates = weights.rate_by_flow(weights.support_sums(_support(t)))
+    rates = weights.rate_by_flow(weights.reference_averages(_support(t), _bins(t)))
     return rates.select("rate", F.round("average", 6).alias("average"), "n")
 
 
 @query("rate_global", f"{_SUMS} select round(avg(poids), 6) as average, count(*) as n from support")
 def _rate_global(t):
-    overall = weights.rate_global(weights.support_sums(_support(t)))
+    overall = weights.rate_global(weights.reference_averages(_support(t), _bins(t)))
     return overall.select(F.round("average", 6).alias("average"), "n")
 
 
+@query(
+    "rates_of_month",
+    f"""{sums_sql("1997-05")}, {VOLUME_RATES_SQL}, {FLOW_RATES_SQL}, {_BY_VOLUME.replace('50', '5')}, {_BY_FLOW}
+    select 'volume' as kind, rate, round(average, 6) as average, n from volume_averages
+    union all select 'flow', rate, round(average, 6), n from flow_averages
+    union all select 'overall', null, round(avg(poids), 6), count(*) from support""",
+)
+def _rates_of_month(t):
+    """Every reference average of the month a year before a date."""
+    month = previous_year_window(S.weighed(t), "date_mesure", "1998-05-10")
+    averages = weights.reference_averages(month, _bins(t))
+    enough = averages.where((F.col("kind") != weights.BY_VOLUME) | (F.col("n") > 5))
+    return enough.select("kind", "rate", F.round("average", 6).alias("average"), "n")
+
+
 @query(
     "rate_default",
     f"""{_SUMS}, {VOLUME_RATES_SQL}, {FLOW_RATES_SQL}, {_BY_VOLUME}, {_BY_FLOW}
@@ -68,11 +89,9 @@ def _rate_global(t):
     select rate, round(coalesce(average, default_rate), 6) as weight from flow_rates left join flow_averages using (rate)""",
 )
 def _rate_default(t):
-    sums = weights.support_sums(_support(t))
-    by_volume = weights.rates_with_default(
-        weights.volume_rates(t.spark), weights.rate_by_volume(sums, _bins(t))
-    )
-    by_flow = weights.rates_with_default(weights.flow_rates(t.spark), weights.rate_by_flow(sums))
+    averages = weights.reference_averages(_support(t), _bins(t))
+    by_volume = weights.rates_with_default(weights.volume_rates(t.spark), weights.rate_by_volume(averages))
+    by_flow = weights.rates_with_default(weights.flow_rates(t.spark), weights.rate_by_flow(averages))
     return by_volume.unionByName(by_flow).select("rate", F.round("weight", 6).alias("weight"))
 
 

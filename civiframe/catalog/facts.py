@@ -84,11 +84,15 @@ def _pipe_weigh_analysis(t):
     )
 
 
-_HISTORY = """history as (select l_partkey as id_bac, l_quantity as poids,
+def history_sql(until):
+    return """history as (select l_partkey as id_bac, l_quantity as poids,
    case when l_tax > 0.02 then l_quantity else 0.0 end as poids_corr, l_shipdate as date_mesure from lineitem),
   last_weights as (select * from (select *, row_number() over (partition by id_bac
      order by date_mesure desc, poids, poids_corr) as history_value from history
-     where date_mesure <= timestamp '2000-06-30') where history_value <= 6 and poids = poids_corr)"""
+     where date_mesure <= timestamp '%s') where history_value <= 6 and poids = poids_corr)""" % until
+
+
+_HISTORY = history_sql("2000-06-30")
 
 
 def history(t):
@@ -114,6 +118,21 @@ def _history_last_n(t):
     return full.unionByName(few).withColumn("average", F.round("average", 4))
 
 
+@query(
+    "history_kept_state",
+    f"""with {history_sql("1998-03-01")} select id_bac, poids, strftime(date_mesure, '%Y-%m-%d') as day_text, count(*) as n
+    from last_weights group by all""",
+)
+def _history_kept_state(t):
+    """The state kept over three runs, the last rows of which are not due yet, as history of the last."""
+    rows, state = history(t), history(t).where("false")
+    for first, last in (("1900-01-01", "1995-06-01"), ("1995-06-01", "1997-01-01"), ("1997-01-01", "2100-01-01")):
+        new = rows.where((F.col("date_mesure") >= first) & (F.col("date_mesure") < last))
+        state = weights.merge_history(state, new, ntz(min(last, "1998-03-01") + " 00:00:01"))
+    last = weights.last_weights(state, ntz("1998-03-01 00:00:00"))
+    return last.groupBy("id_bac", "poids", F.date_format("date_mesure", "yyyy-MM-dd").alias("day_text")).agg(F.count("*").alias("n"))
+
+
 @query(
     "prev_year_window",
     """select l_orderkey, l_linenumber, l_quantity from lineitem

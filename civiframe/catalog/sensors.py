@@ -6,8 +6,10 @@ from civiframe.catalog import standins as S
 from civiframe.catalog.registry import query
 from civiframe.operators import melt
 from civiframe.plans import lora
+from civiframe.operators.clean import with_technical_key
+from civiframe.session import work_path
 from civiframe.sources.readers import known_only, scan_days
-from civiframe.sources.sinks import mark_replayed
+from civiframe.sources.sinks import BUCKET, in_buckets, mark_replayed, replace_partition
 
 INSERTED = "2024-02-01T00:00:00+01:00"
 RUN_DATE = "2024-01-20"
@@ -225,3 +227,23 @@ def _pipe_lora_replay(t):
         S.frames(t), S.sensors(t), S.parameters(t), S.referential(t), RUN_DATE, _inserted()
     )
     return _rounded(plan).drop("inserteddate")
+
+
+@query(
+    "pipe_lora_replay_stored",
+    f"""{_REPLAY}, stored as (select e.*, d.deveui is not null as again from enriched e
+      left join days d on d.deveui = e.deveui and d.day_date = cast(e.ts as date))
+    select {_ENRICHED_COLUMNS.replace('cast(cast(v as float) as double)', 'case when again then cast(cast(v as float) as double) else 0.0 end')},
+      year, month, day, deveui || ' | ' || tramedate || ' | ' || name || '_' || year || '_' || month || '_' || day as technical_key
+    from stored""",
+)
+def _pipe_lora_replay_stored(t):
+    """The table holds every measure as zero; the replay brings those of due sensors' days back."""
+    frames, parameters, referential = S.frames(t), S.parameters(t), S.referential(t)
+    target, sensors_target = work_path(t.spark, "measures"), work_path(t.spark, "sensors")
+    measures = lora.enrich(melt.melt_measures(melt.expand_data(frames), parameters, _inserted()), referential)
+    stored = with_technical_key(measures, *lora.NUMBERED).withColumn("value", F.lit(0).cast(measures.schema["value"].dataType))
+    replace_partition(in_buckets(stored, "deveui"), target, BUCKET)
+    lora.run_replay(t.spark, frames, target, S.sensors(t), sensors_target, parameters, referential, RUN_DATE, _inserted())
+    days = {c: F.lpad(F.col(c).cast("string"), 4 if c == "year" else 2, "0") for c in ("year", "month", "day")}
+    return _rounded(t.spark.read.orc(target)).withColumns(days).drop("inserteddate", "bucket")

@@ -67,40 +67,37 @@ def ring_edges(rings: Column) -> Column:
     return F.flatten(F.transform(rings, edges_of))
 
 
-def bounding_box(edges: Column) -> dict[str, Column]:
-    return {
-        "xmin": F.array_min(F.transform(edges, lambda e: e.x1)),
-        "xmax": F.array_max(F.transform(edges, lambda e: e.x1)),
-        "ymin": F.array_min(F.transform(edges, lambda e: e.y1)),
-        "ymax": F.array_max(F.transform(edges, lambda e: e.y1)),
-    }
-
-
 def _side(e: Column, x: Column, y: Column) -> Column:
     """Twice the area of edge and point; its sign tells the side."""
     return (e.x2 - e.x1) * (y - e.y1) - (x - e.x1) * (e.y2 - e.y1)
 
 
-def contains_point(edges: Column, x: Column, y: Column) -> Column:
-    """True inside; a point on the outline is not contained."""
+def _on_edge(e: Column, x: Column, y: Column) -> Column:
+    return (
+        (_side(e, x, y) == 0)
+        & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
+        & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
+    )
 
-    def on_edge(e: Column) -> Column:
-        return (
-            (_side(e, x, y) == 0)
-            & x.between(F.least(e.x1, e.x2), F.greatest(e.x1, e.x2))
-            & y.between(F.least(e.y1, e.y2), F.greatest(e.y1, e.y2))
-        )
 
-    def crosses(e: Column) -> Column:
-        # the edge spans the height of the point and passes to its right
-        return ((e.y1 > y) != (e.y2 > y)) & ((_side(e, x, y) > 0) == (e.y2 > e.y1))
+def contained_in_cell(edges: Column, inside: Column, corner: tuple[Column, Column], x: Column, y: Column) -> Column:
+    """True inside, for a point of a cell whose lower left corner is ``inside`` or not, from the edges
+    that pass the cell: the state changes with each edge between the point, the cell's left side at its
+    height, and the corner. A point on the outline is not contained."""
+    left, bottom = corner
 
-    crossings = F.size(F.filter(edges, crosses))
-    return (crossings % 2 == 1) & ~F.exists(edges, on_edge)
+    def changes(e: Column) -> Column:
+        at_side = _side(e, left, y) > 0
+        beside = ((e.y1 > y) != (e.y2 > y)) & ((_side(e, x, y) > 0) != at_side)
+        below = ((e.x1 > left) != (e.x2 > left)) & (at_side != (_side(e, left, bottom) > 0))
+        return beside.cast("int") + below.cast("int")
+
+    state = F.aggregate(edges, inside.cast("int"), lambda n, e: n + changes(e))
+    return (state % 2 == 1) & ~F.exists(edges, lambda e: _on_edge(e, x, y))
 
 
 def edge_distance(edges: Column, x: Column, y: Column) -> Column:
-    """Shortest distance from the point to the outline: to an end of the edge where the
+    """Shortest distance from the point to the edges, null without any: to an end of the edge where the
     foot of the perpendicular falls outside it, else the height over the edge."""
 
     def square(v: Column) -> Column:
@@ -116,12 +113,3 @@ def edge_distance(edges: Column, x: Column, y: Column) -> Column:
         )
 
     return F.sqrt(F.array_min(F.transform(edges, squared)))
-
-
-def polygon_distance(edges: Column, box: dict[str, Column], x: Column, y: Column) -> Column:
-    """0 inside or on the outline, else the distance to the outline. Only a point in the
-    bounding box is tested for being inside."""
-    in_box = x.between(box["xmin"], box["xmax"]) & y.between(box["ymin"], box["ymax"])
-    return F.when(in_box & contains_point(edges, x, y), F.lit(0.0)).otherwise(
-        edge_distance(edges, x, y)
-    )

@@ -200,8 +200,11 @@ def single_batch_date(df: DataFrame, column: str = "date_photo") -> str | None:
 
 
 def frame_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows in one frame only, duplicates counted, with the side they come from."""
-    return (
-        left.exceptAll(right).withColumn("side", F.lit("left"))
-        .unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
-    )
+    """Rows in one frame only, duplicates counted, with the side they come from. Columns match by
+    position. Rows count plus one on the left and minus one on the right; one grouping on the whole row
+    gives both directions."""
+    signed = left.withColumn("_sign", F.lit(1)).unionAll(right.withColumn("_sign", F.lit(-1)))
+    names = signed.columns[:-1]
+    surplus = signed.groupBy(*[F.col(f"`{n}`") for n in names]).agg(F.sum("_sign").alias("_n")).where("_n <> 0")
+    copies = F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int")))
+    return surplus.withColumns({"side": F.when(F.col("_n") > 0, "left").otherwise("right"), "_n": copies}).drop("_n")

@@ -8,35 +8,39 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+
+def _common_type(facts: DataFrame, name: str, lookup: DataFrame, other: str) -> str:
+    """Type that the values of both key columns fit into; equal ones stay as they are."""
+    first, second = facts.schema[name].dataType, lookup.schema[other].dataType
+    if first == second:
+        return first.simpleString()
+    both = facts.sparkSession.range(0).select(F.coalesce(F.lit(None).cast(first), F.lit(None).cast(second)).alias("k"))
+    return both.schema["k"].dataType.simpleString()
 
 
 def spread_left_join(
-    facts: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], *, null_safe: bool = False,
-    salts: int | None = None,
+    facts: DataFrame, lookup: DataFrame, on: Sequence[tuple[str, str]], *, null_safe: bool = False
 ) -> DataFrame:
-    """Left join that spreads every key over ``salts`` partitions (by default an eighth of
-    the session's shuffle partitions, ``SALTS`` at least).
-
-    AQE splits a hot key only where both sides come straight from a shuffle. A lookup
-    that was aggregated or ranked on the join key does not, so a key with most of the
-    facts would land in one task. Here every fact carries a salt, from its
-    content and its input partition so that a retried task repeats it, and the lookup, which has few rows
-    per key, is repeated for every salt. A small lookup is still broadcast by AQE.
-    The lookup's key columns are dropped; other names must differ.
+    """Left join whose hot keys AQE can split, also when the lookup was aggregated on the key.
+
+    AQE splits a skewed partition only where both sides come straight from a shuffle. A lookup that
+    was aggregated or ranked on the join key is already partitioned by it, so it is not shuffled
+    again, and a key with most of the facts would be one task. Here both sides are joined on the key
+    and its hash: the lookup, which is small beside the facts, is shuffled once more for that, and
+    then measured sizes decide which partitions are split. Other keys cost nothing; a small lookup is
+    still broadcast. The lookup's key columns are dropped; other names must differ.
     """
-    salts = salts or max(SALTS, int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
-    content = [F.col(f"`{name}`") for name, kind in facts.dtypes if "map<" not in kind and "variant" not in kind]
-    salt = F.pmod(F.shiftright(F.xxhash64(*content), 8) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    salted = facts.withColumn("_salt", salt)
-    keys = [F.col(name).alias(f"_key{i}") for i, (_, name) in enumerate(on)]
-    others = [c for c in lookup.columns if c not in {name for _, name in on}]
-    repeated = lookup.select(
-        *keys, *others, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_lookup_salt")
-    )
-    tests = [F.col("_salt") == F.col("_lookup_salt")]
+    kinds = [_common_type(facts, name, lookup, other) for name, other in on]
+    keys = [F.col(other).alias(f"_key{i}") for i, (_, other) in enumerate(on)]
+    others = [c for c in lookup.columns if c not in {other for _, other in on}]
+
+    def hashed(names: Sequence[str]):
+        return F.xxhash64(*[F.col(name).cast(kind) for name, kind in zip(names, kinds)])
+
+    left = facts.withColumn("_hash", hashed([name for name, _ in on]))
+    right = lookup.select(*keys, *others, hashed([other for _, other in on]).alias("_lookup_hash"))
+    tests = [F.col("_hash") == F.col("_lookup_hash")]
     for i, (name, _) in enumerate(on):
-        left, right = F.col(name), F.col(f"_key{i}")
-        tests.append(left.eqNullSafe(right) if null_safe else left == right)
-    joined = salted.join(repeated, reduce(lambda a, b: a & b, tests), "left")
-    return joined.drop("_salt", "_lookup_salt", *[f"_key{i}" for i in range(len(on))])
+        tests.append(F.col(name).eqNullSafe(F.col(f"_key{i}")) if null_safe else F.col(name) == F.col(f"_key{i}"))
+    joined = left.join(right, reduce(lambda a, b: a & b, tests), "left")
+    return joined.drop("_hash", "_lookup_hash", *[f"_key{i}" for i in range(len(on))])

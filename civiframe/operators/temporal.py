@@ -2,23 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-def _moments(*columns: tuple[DataFrame, str]) -> list[Column]:
-    """The columns as times that compare; a malformed text is null and lies in no interval.
-    Texts are wall-clock times unless another column is an instant."""
+from civiframe.operators.joins import spread_left_join
+
+#: A key with more versions than this has its intervals indexed; so many of the shortest
+#: version fit into a leaf of the index.
+LEAF_VERSIONS = 8
+#: Most levels of an index below its root.
+MOST_LEVELS = 24
+
+
+def _moments(*columns: tuple[DataFrame, str]) -> tuple[list[Column], Callable[[Column], Column]]:
+    """The columns as times that compare, and a function that turns such a time into seconds on one clock.
+    A malformed text is null and lies in no interval. Texts are wall-clock times unless another
+    column is an instant."""
     kinds = [df.schema[name].dataType for df, name in columns]
     wanted = "timestamp" if any(isinstance(k, T.TimestampType) for k in kinds) else "timestamp_ntz"
-    return [
+    moments = [
         F.col(name).try_cast(wanted) if isinstance(kind, T.StringType) else F.col(name)
         for (_, name), kind in zip(columns, kinds)
     ]
 
+    def seconds(moment: Column) -> Column:
+        if all(isinstance(k, T.NumericType) for k in kinds):
+            return F.floor(moment.cast("double"))
+        time = moment.cast(wanted)
+        if wanted == "timestamp":
+            return F.unix_seconds(time)
+        return F.unix_date(time.cast("date")).cast("long") * 86400 + F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+
+    return moments, seconds
+
+
+def _shifted(value: Column, places: Column, direction: str = "right") -> Column:
+    return F.call_function(f"shift{direction}", value.cast("long"), places.cast("int"))
+
+
+def _leaf(second: Column) -> Column:
+    """Place of a time among the ``2 ** _levels`` equal parts of its key's span; what is outside goes to the ends."""
+    parts = _shifted(F.lit(1), F.col("_levels"), "left")
+    place = F.floor((second - F.col("_low")) * parts / (F.col("_high") - F.col("_low") + 1))
+    return F.greatest(F.lit(0), F.least(place, parts - 1)).cast("long")
+
+
+def _ancestors(leaf: Column) -> Column:
+    """Nodes above a leaf, itself included; the root is 1."""
+    bottom = leaf + _shifted(F.lit(1), F.col("_levels"), "left")
+    return F.transform(F.sequence(F.lit(0), F.col("_levels")), lambda h: _shifted(bottom, h))
+
+
+def _cover(first: Column, last: Column) -> Column:
+    """The fewest nodes whose leaves are exactly ``first`` to ``last``: two a level at most."""
+
+    def of_level(h: Column) -> Column:
+        side = _shifted(F.lit(1), h, "left")
+        left, right = _shifted(first + side - 1, h), _shifted(last + 1, h)
+        start = _shifted(F.lit(1), F.col("_levels") - h, "left")
+        return F.array(
+            F.when((left < right) & (left % 2 == 1), start + left), F.when((left < right) & (right % 2 == 1), start + right - 1)
+        )
+
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.col("_levels")), of_level)))
+
 
 def interval_join(
     facts: DataFrame,
@@ -38,14 +89,97 @@ def interval_join(
     (``closed``) or ``[start, end)``; a null end is open, a malformed one is not. Columns
     of both sides are returned, so their names must differ.
 
-    One plan for every input: the join hashes on the keys, the interval is its residual,
-    and a hot key is split by AQE. Nothing is run while the plan is built.
+    One plan for every input, and nothing is run while it is built: the join hashes on the keys
+    and on a node of a binary tree over the times of the key; the interval is its residual. The
+    tree of a key with at most ``LEAF_VERSIONS`` versions is its root, so its facts and versions
+    move once. With more, the leaves are as short as a few of the key's shortest versions; a
+    version is listed under the few nodes that make up its interval, a fact looks up the nodes above
+    its own leaf. So a fact meets versions near its time, and a key with many facts is dealt over its
+    nodes. For a left join the times that no version covers are versions of their own without values.
+    """
+    (moment, first, last), seconds = _moments((facts, ts), (versions, start), (versions, end))
+    names = [f"_key{i}" for i in range(len(keys))]
+    own = {n: F.col(v) for n, (_, v) in zip(names, keys)}
+
+    def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
+        tests = [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in pairs]
+        return reduce(lambda a, b: a & b, tests)
+
+    known = versions.where(first.isNotNull() & (F.col(end).isNull() | last.isNotNull())).withColumns(
+        own | {"_first": first, "_last": last, "_first_s": seconds(first), "_last_s": seconds(last)}
+    )
+    length = F.col("_last_s") - F.col("_first_s")
+    spans = known.groupBy(*names).agg(
+        F.count("*").alias("_n"),
+        F.min("_first_s").alias("_low"),
+        F.max(F.greatest("_first_s", "_last_s")).alias("_high"),
+        F.min(F.when(length > 0, length)).alias("_short"),
+    )
+    ratio = (F.col("_high") - F.col("_low") + 1) / F.coalesce("_short", F.lit(1))
+    levels = F.least(F.ceil(F.log2(ratio / LEAF_VERSIONS)), F.ceil(F.log2("_n")) + 4, F.lit(MOST_LEVELS)).cast("int")
+    spans = spans.where(F.col("_n") > LEAF_VERSIONS).select(*names, "_low", "_high", levels.alias("_levels")).where("_levels > 0")
+
+    root = F.array(F.lit(1).cast("long"))
+    indexed = F.col("_levels").isNotNull()
+    looked_up = spread_left_join(facts, spans, [(f, n) for n, (f, _) in zip(names, keys)], null_safe=null_safe)
+    looked_up = looked_up.withColumn("_several", indexed & moment.isNotNull()).select(
+        *facts.columns, "_several",
+        F.explode(F.when(F.col("_several"), _ancestors(_leaf(seconds(moment)))).otherwise(root)).alias("_node"),
+    )
+
+    other = spans.toDF(*[f"_span{n}" for n in names], "_low", "_high", "_levels")
+    on_span = lambda df: equal(df, other, [(n, f"_span{n}") for n in names])
+    spanned = known.join(other, on_span(known), "left")
+    top = _shifted(F.lit(1), F.col("_levels"), "left") - 1
+    nodes = F.when(indexed, _cover(_leaf(F.col("_first_s")), F.coalesce(_leaf(F.col("_last_s")), top))).otherwise(root)
+    listed = spanned.select(*versions.columns, *names, "_first", "_last", F.lit(False).alias("_gap"), F.explode(nodes).alias("_node"))
+    open_end = F.col(end).isNull()
+    if how == "left":
+        listed = listed.unionByName(_gaps(known.join(other, on_span(known)), versions, names, open_end, top))
+
+    time = F.col("_moment")
+    within = (time >= F.col("_first")) & (open_end | (time <= F.col("_last") if closed else time < F.col("_last")))
+    after = F.col("_first").isNull() | (time > F.col("_first") if closed else time >= F.col("_first"))
+    between = after & (F.col("_last").isNull() | (time < F.col("_last")))
+    left, right = looked_up.withColumn("_moment", moment), listed.withColumnRenamed("_node", "_listed")
+    tests = equal(left, right, [(f, n) for n, (f, _) in zip(names, keys)]) & (left["_node"] == right["_listed"])
+    joined = left.join(right, tests & F.when(F.col("_gap"), between).otherwise(within), how)
+    if how == "left":
+        joined = joined.where(~F.col("_several") | F.col("_listed").isNotNull())
+    return joined.select(*facts.columns, *versions.columns)
+
+
+def _gaps(spanned: DataFrame, versions: DataFrame, names: list[str], open_end: Column, top: Column) -> DataFrame:
+    """The times of indexed keys that no version covers, as versions with null columns.
+
+    ``_first`` and ``_last`` are the times between which a gap lies, null where it has no end.
     """
-    on = [F.col(f).eqNullSafe(F.col(v)) if null_safe else F.col(f) == F.col(v) for f, v in keys]
-    moment, first, last = _moments((facts, ts), (versions, start), (versions, end))
-    upper = moment <= last if closed else moment < last
-    within = (moment >= first) & (F.col(end).isNull() | upper)
-    return facts.join(versions, reduce(lambda a, b: a & b, [*on, within]), how)
+    before = Window.partitionBy(*names).orderBy("_first")
+    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.partitionBy(*names)
+    rows = spanned.withColumns({
+        "_until": F.max("_last").over(earlier), "_until_s": F.max("_last_s").over(earlier),
+        "_open": F.coalesce(F.max(open_end).over(earlier), F.lit(False)), "_place": F.row_number().over(before),
+        "_rows": F.count("*").over(everything), "_end": F.max("_last").over(everything), "_end_s": F.max("_last_s").over(everything),
+        "_ever_open": F.max(open_end).over(everything),
+    })
+    ahead = F.when(
+        ~F.col("_open") & (F.col("_until").isNull() | (F.col("_until") < F.col("_first"))),
+        F.struct(
+            F.col("_until").alias("_first"), F.col("_first").alias("_last"),
+            F.when(F.col("_until").isNull(), F.lit(0)).otherwise(_leaf(F.col("_until_s"))).cast("long").alias("a"), _leaf(F.col("_first_s")).alias("b"),
+        ),
+    )
+    kind = dict(spanned.dtypes)["_first"]
+    behind = F.when(
+        (F.col("_place") == F.col("_rows")) & ~F.col("_ever_open"),
+        F.struct(F.col("_end").alias("_first"), F.lit(None).cast(kind).alias("_last"), _leaf(F.col("_end_s")).alias("a"), top.alias("b")),
+    )
+    found = rows.select(*names, "_low", "_high", "_levels", F.explode(F.array_compact(F.array(ahead, behind))).alias("g"))
+    return found.select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in versions.schema], *names, "g._first", "g._last",
+        F.lit(True).alias("_gap"), F.explode(_cover(F.col("g.a"), F.col("g.b"))).alias("_node"),
+    )
 
 
 def traffic_statistics(df: DataFrame, minutes: int = 15) -> DataFrame:

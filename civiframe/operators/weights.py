@@ -155,46 +155,70 @@ def _usable(weight: Column) -> Column:
     return (weight > 0) & (weight < DEFAULT_WEIGHT_LIMIT)
 
 
-def support_sums(support: DataFrame) -> DataFrame:
-    """Usable reference weights summed per bin and flow code: every rate is an average
-    over these, so the weighings are read and shuffled once, already aggregated."""
+#: Kinds of reference rates.
+BY_VOLUME, BY_FLOW, OVERALL = "volume", "flow", "overall"
+
+
+def reference_averages(support: DataFrame, bins: DataFrame) -> DataFrame:
+    """``(kind, rate, average, n)``: every average of the usable reference weights in one pass.
+
+    Weights are summed per bin and flow code, so bins join few rows; grouping sets then give the sums
+    per category and volume, per flow code and overall. What is left is as small as the lists of
+    volumes and rounds; each sum goes to the rates it belongs to. A volume is searched as a
+    substring of the rate's volume list, so it may count for several.
+    """
     flow_code = F.get(F.split("code_tournee", "-"), F.lit(2))
-    return (
+    sums = (
         support.where(_usable(F.col("poids")))
         .groupBy("id_bac", flow_code.alias("flow_code"))
         .agg(F.sum("poids").alias("total"), F.count("*").alias("n"))
     )
-
-
-def _average(sums: DataFrame, *by: str) -> DataFrame:
-    return sums.groupBy(*by).agg((F.sum("total") / F.sum("n")).alias("average"), F.sum("n").alias("n"))
-
-
-def rate_by_volume(sums: DataFrame, bins: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
-    """Average weight per category and volume, where more than ``min_samples`` exist.
-    The volume is searched as a substring of the rate's volume list."""
-    rates = F.broadcast(volume_rates(sums.sparkSession))  # 19 fixed rows
-    matched = (
-        sums.join(bins.select("id_bac", "categorie_recipient", "litrage_recipient"), "id_bac")
-        .groupBy("categorie_recipient", "litrage_recipient")
-        .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-        .join(
-            rates,
-            (F.col("categorie_recipient") == F.col("category"))
-            & F.contains(F.col("volumes"), F.col("litrage_recipient").cast("string")),
+    # a bin that is listed twice counts twice for its volumes and once for the rest
+    volumes = bins.groupBy("id_bac").agg(F.collect_list(F.struct("categorie_recipient", "litrage_recipient")).alias("v"))
+    known = sums.join(volumes, "id_bac", "left").select("flow_code", "total", "n", F.posexplode_outer("v"))
+    once = F.coalesce("pos", F.lit(0)) == 0
+    grouped = (
+        known.select("*", "col.*")
+        .groupingSets(
+            [["categorie_recipient", "litrage_recipient"], ["flow_code"], []],
+            "categorie_recipient", "litrage_recipient", "flow_code",
         )
+        .agg(
+            F.grouping_id().alias("_set"), F.sum("total").alias("total"), F.sum("n").alias("n"),
+            F.sum(F.when(once, F.col("total"))).alias("total_once"), F.sum(F.when(once, F.col("n"))).alias("n_once"),
+        )
+    )
+    by_volume = F.array_compact(F.array(*[
+        F.when((F.col("categorie_recipient") == category) & F.contains(F.lit(volume), F.col("litrage_recipient").cast("string")), rate)
+        for rate, category, volume, _ in VOLUME_RATES
+    ]))
+    by_flow = F.array_compact(F.array(*[F.when(F.col("flow_code") == code, rate) for rate, code, _ in FLOW_RATES]))
+    # bits of the id stand for the columns that a set leaves out
+    kind = F.when(F.col("_set") == 1, BY_VOLUME).when(F.col("_set") == 6, BY_FLOW).otherwise(OVERALL)
+    rates = F.when(kind == BY_VOLUME, by_volume).when(kind == BY_FLOW, by_flow).otherwise(F.array(F.lit(None).cast("string")))
+    return (
+        grouped.select(
+            kind.alias("kind"), F.explode(rates).alias("rate"),
+            *[F.when(kind == BY_VOLUME, F.col(c)).otherwise(F.col(f"{c}_once")).alias(c) for c in ("total", "n")],
+        )
+        .groupBy("kind", "rate")
+        .agg((F.sum("total") / F.sum("n")).alias("average"), F.sum("n").alias("n"))
+        .where("n > 0")
     )
-    return _average(matched, "rate").where(F.col("n") > min_samples)
 
 
-def rate_by_flow(sums: DataFrame) -> DataFrame:
+def rate_by_volume(averages: DataFrame, min_samples: int = MIN_SAMPLES) -> DataFrame:
+    """Average weight per category and volume, where more than ``min_samples`` exist."""
+    return averages.where((F.col("kind") == BY_VOLUME) & (F.col("n") > min_samples)).select("rate", "average", "n")
+
+
+def rate_by_flow(averages: DataFrame) -> DataFrame:
     """Average weight per flow code found in the round name."""
-    rates = F.broadcast(flow_rates(sums.sparkSession))  # 4 fixed rows
-    return _average(sums, "flow_code").join(rates, "flow_code").select("rate", "average", "n")
+    return averages.where(F.col("kind") == BY_FLOW).select("rate", "average", "n")
 
 
-def rate_global(sums: DataFrame) -> DataFrame:
-    return _average(sums)
+def rate_global(averages: DataFrame) -> DataFrame:
+    return averages.where(F.col("kind") == OVERALL).select("average", "n")
 
 
 def rates_with_default(rates: DataFrame, averages: DataFrame) -> DataFrame:
@@ -225,6 +249,19 @@ def last_weights(
     )
 
 
+def merge_history(
+    state: DataFrame, rows: DataFrame, before: Column, length: int = HISTORY_LENGTH
+) -> DataFrame:
+    """The kept state ``(id_bac, poids, poids_corr, date_mesure)`` after more rows: what
+    ``last_weights`` needs of everything seen so far, ``length`` rows for each bin. Rows dated
+    ``before`` or later stay beside them unranked, as they do not count yet."""
+    columns = ["id_bac", "poids", "poids_corr", "date_mesure"]
+    seen = state.select(*columns).unionByName(rows.select(*columns)).withColumn("_due", F.coalesce(F.col("date_mesure") < before, F.lit(True)))
+    recent = Window.partitionBy("id_bac", "_due").orderBy(F.desc("date_mesure"), "poids", "poids_corr")
+    ranked = seen.withColumn("_rank", F.when(F.col("_due"), F.row_number().over(recent)).otherwise(0))
+    return ranked.where(F.col("_rank") <= length).select(*columns)
+
+
 def history_average(last: DataFrame, length: int = HISTORY_LENGTH) -> DataFrame:
     """Average of bins whose last ``length`` weighings were all valid."""
     return (
@@ -263,12 +300,13 @@ def correct_weights(
 ) -> DataFrame:
     """Implausible weights (stored as 0) replaced by the bin's own recent average, else
     by the rate of its flow and volume, else of its flow, else the overall average."""
-    spark = to_correct.sparkSession
-    sums = support_sums(support)
-    rates = rates_with_default(
-        volume_rates(spark), rate_by_volume(sums, bins, min_samples)
-    ).unionByName(rates_with_default(flow_rates(spark), rate_by_flow(sums)))
-    overall = rate_global(sums).select("average").scalar()
+    averages = reference_averages(support, bins)
+    counted = averages.where((F.col("kind") != BY_VOLUME) | (F.col("n") > min_samples))
+    # one row with an entry for each fixed rate and the overall average
+    found = counted.agg(
+        F.map_from_entries(F.collect_list(F.struct(F.coalesce("rate", F.lit(OVERALL)), "average"))).alias("m")
+    ).scalar()
+    default = F.create_map(*[F.lit(v) for rate, *_, weight in [*VOLUME_RATES, *FLOW_RATES] for v in (rate, weight)])
     own = history_average(last_weights(history, until, length), length).select(
         "id_bac", F.col("average").alias("own_average")
     )
@@ -281,7 +319,11 @@ def correct_weights(
             F.when(F.col("poids_corr") == 0, F.col("own_average")).otherwise(F.col("poids_corr")),
         )
         .withColumn("_rate", rate_name(F.col("type_flux"), F.col("volume")))
-        .join(F.broadcast(rates.withColumnRenamed("rate", "_rate")), "_rate", "left")  # 23 rows
+        .withColumn("_averages", found)
+    )
+    by_rate = F.when(
+        F.col("_rate").isNotNull(),
+        F.coalesce(F.try_element_at("_averages", F.col("_rate")), F.try_element_at(default, F.col("_rate"))),
     )
-    corrected = F.coalesce(F.round("_weight", 2), F.col("weight"), overall)
+    corrected = F.coalesce(F.round("_weight", 2), by_rate, F.try_element_at("_averages", F.lit(OVERALL)))
     return joined.withColumn("poids_corr", corrected).select(*to_correct.columns)

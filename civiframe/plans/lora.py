@@ -26,10 +26,14 @@ from civiframe.sources.readers import (
     read_or_empty,
 )
 from civiframe.sources.sinks import (
+    BUCKET,
+    BUCKETS,
+    bucket_of,
     full_reload,
+    in_buckets,
     mark_replayed,
-    replace_between,
-    replace_partition,
+    replace_day,
+    replace_touched,
 )
 
 NUMBERED = ("id", "year", "month", "day")
@@ -131,28 +135,31 @@ def outside_replay(stored: DataFrame, days: DataFrame) -> DataFrame:
 def run_daily(
     spark: SparkSession, base: str, target: str, date: str, sensors: DataFrame,
     parameters: DataFrame, referential: DataFrame, inserted_at: Column, schema: T.StructType,
-    history_columns: Iterable[str] = (), report: str | None = None,
+    history_columns: Iterable[str] = (), report: str | None = None, buckets: int = BUCKETS,
 ) -> None:
     """The day's frames (their folder alone is opened, under a given schema) to the target's
-    day. ``report`` names a table that gets the day's sensors without a measure."""
+    day, in buckets of the sensor. A day without measures leaves the target alone. ``report``
+    names a table that gets the day's sensors without a measure, none included."""
     with Staged(spark) as work:
         frames = read_or_empty(spark, lambda: read_frames(spark, day_folder(base, date), schema, base=base), schema)
         plan = daily_plan(frames, sensors, parameters, referential, date, inserted_at, history_columns)
         measures = work.put(plan, "measures")
-        replace_partition(measures, target)
+        if not measures.isEmpty():
+            replace_day(in_buckets(measures, "deveui", buckets), target, date, BUCKET)
         if report:
             silent = sensors_without_measures(known_only(frames, sensors), measures)
-            replace_partition(stamp_day(silent, date), report)
+            replace_day(stamp_day(silent, date), report, date)
 
 
 def run_replay(
     spark: SparkSession, frames: DataFrame, target: str, sensors: DataFrame, sensors_target: str,
     parameters: DataFrame, referential: DataFrame, run_date: str, inserted_at: Column,
-    history_columns: Iterable[str] = (),
+    history_columns: Iterable[str] = (), buckets: int = BUCKETS,
 ) -> None:
-    """Replay every due sensor, replace its days in the target, then mark it. Nothing is
-    marked when the replacement fails, so the next run starts over. Frames of days that
-    lack columns come as ``union_days`` of ``fill_day_columns``."""
+    """Replay every due sensor, replace its days in the target, then mark it. Of each day only
+    the buckets of due sensors are read and written. Nothing is marked when the replacement
+    fails, so the next run starts over. Frames of days that lack columns come as
+    ``union_days`` of ``fill_day_columns``."""
     with Staged(spark) as work:
         due = work.put(sensors_to_replay(sensors), "due")
         days = replay_days(due, run_date)
@@ -162,9 +169,12 @@ def run_replay(
                 frames.where(between_dates(str(first), str(last))),
                 sensors, parameters, referential, run_date, inserted_at, history_columns,
             )
-            replace_between(
-                spark, measures, target, str(first), str(last),
-                lambda stored: outside_replay(stored, days),
+            touched = days.select(
+                F.year("day_date").alias("year"), F.month("day_date").alias("month"),
+                F.dayofmonth("day_date").alias("day"), bucket_of(F.col("deveui"), buckets).alias("bucket"),
+            )
+            replace_touched(
+                spark, in_buckets(measures, "deveui", buckets), target, touched, lambda stored: outside_replay(stored, days)
             )
         marked = work.put(mark_replayed(sensors, due, run_date), "marked")
         full_reload(marked, sensors_target)

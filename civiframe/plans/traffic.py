@@ -9,7 +9,7 @@ from civiframe.config import TRAFFIC
 from civiframe.functions.dates import local_timestamp
 from civiframe.operators.clean import between_hours, rename, stamp_week, with_technical_key
 from civiframe.operators.temporal import traffic_statistics
-from civiframe.sources.readers import in_week_of, read_csv_schema, read_or_empty
+from civiframe.sources.readers import read_csv_schema, read_or_empty, week_folder
 from civiframe.sources.sinks import WEEK, replace_partition
 
 # Names of the analysed columns and the hours kept (exclusive bounds).
@@ -36,10 +36,11 @@ def traffic_plan(raw: DataFrame, date: str, minutes: int = 15) -> DataFrame:
 
 
 def run_traffic(spark: SparkSession, base: str, target: str, date: str, minutes: int = 15) -> None:
-    """The week of ``date``: read, analyse, replace that week in the target."""
+    """The week of ``date``: read (its folder alone is opened), analyse, replace that week in
+    the target. A week without measures leaves the target alone."""
     raw = read_or_empty(
         spark,
-        lambda: read_csv_schema(spark, base, TRAFFIC).where(in_week_of(date)),
+        lambda: read_csv_schema(spark, week_folder(base, date), TRAFFIC, base=base),
         TRAFFIC.schema(),
     )
     replace_partition(traffic_plan(raw.select(*TRAFFIC.names), date, minutes), target, WEEK)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -38,13 +40,16 @@ from civiframe.operators.temporal import interval_join
 from civiframe.operators.weights import (
     UNUSABLE_REFERENCE_YEAR,
     correct_weights,
+    merge_history,
     with_final_flow,
     with_first_flow,
     with_plausible_weight,
 )
 from civiframe.sources.readers import (
+    between_dates,
     day_equals,
     day_folder,
+    empty_frame,
     previous_year_window,
     read_csv_config,
     read_latest,
@@ -55,10 +60,11 @@ from civiframe.sources.readers import (
     reference_month,
     support_month,
 )
-from civiframe.session import Staged
+from civiframe.session import Staged, folders, remove_path
 from civiframe.sources.sinks import (
     full_reload,
     publish_to,
+    replace_day,
     replace_partition,
     write_dual,
     write_snapshot,
@@ -253,9 +259,34 @@ def correction_plan(
     municipalities: DataFrame,
     districts: DataFrame,
     date: str,
+    work: Staged | None = None,
 ) -> DataFrame:
     corrected = corrected_facts(staged, support, bins, history, date)
-    return attribute_places(corrected, municipalities, districts, staged.where(day_equals(date)))
+    return attribute_places(corrected, municipalities, districts, staged.where(day_equals(date)), work)
+
+
+def day_after(date: str, days: int = 1) -> str:
+    return str(datetime.date.fromisoformat(date) + datetime.timedelta(days))
+
+
+def kept_states(spark: SparkSession, state: str) -> list[str]:
+    """Days for which a state is kept."""
+    return sorted(path.rsplit("=", 1)[1] for path in folders(spark, f"{state}/upto=*"))
+
+
+def kept_history(spark: SparkSession, target: str, state: str, date: str) -> DataFrame:
+    """The last weighings of each bin before a day: the newest earlier state, and the target's
+    days after it, which are usually none. Without a state the whole target is read once."""
+    last = max((d for d in kept_states(spark, state) if d < date), default=None)
+    if last is None:
+        stored = read_or_empty(spark, lambda: spark.read.orc(target).where(between_dates("0001-01-01", day_after(date, -1))), HISTORY)
+        base = empty_frame(spark, HISTORY)
+    else:
+        base = spark.read.schema(HISTORY).orc(f"{state}/upto={last}")
+        between = (day_after(last, k) for k in range(1, (datetime.date.fromisoformat(date) - datetime.date.fromisoformat(last)).days))
+        found = [path for day in between for path in folders(spark, day_folder(target, day))]
+        stored = spark.read.option("basePath", target).orc(found) if found else empty_frame(spark, HISTORY)
+    return merge_history(base, stored, F.to_timestamp(F.lit(date)))
 
 
 def run_correction(
@@ -267,14 +298,19 @@ def run_correction(
     municipalities: DataFrame,
     districts: DataFrame,
     date: str,
+    state: str | None = None,
 ) -> int:
     """Weighings of a day from the staging table to the target, weights corrected and
     places attributed; the day is replaced. Returns the number of rows.
 
     The reference weights come from the month (and in the format) that ``support_month``
-    names below ``support``; a bin's history is what the target holds of earlier days.
-    A day without staged rows leaves the target alone.
+    names below ``support``. A bin's history is what the target holds of earlier days: ``state``
+    (by default beside the target) keeps it for each day, so a run opens its day and one state.
+    A rerun starts from the state before its day, and states of later days, which know the old
+    rows, go; their days are read from the target when next needed. A day without staged rows
+    leaves the target alone.
     """
+    state = state or f"{target}_history"
     with Staged(spark) as work:
         day = read_orc_day(spark, staging, date, STAGED_WEIGHING)
         if day.isEmpty():
@@ -287,15 +323,18 @@ def run_correction(
             read = lambda: read_orc_below(spark, folder)
         found = read_or_empty(spark, read, SUPPORT)
         weights = found.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in SUPPORT])
-        stored = read_or_empty(spark, lambda: spark.read.orc(target), HISTORY)
-        first = F.to_timestamp(F.lit(date))
-        history = stored.select(*HISTORY.names).where(F.col("date_mesure") < first)
+        known = work.put(kept_history(spark, target, state, date), "history")
+        history = known.where(F.col("date_mesure") < F.to_timestamp(F.lit(date)))
         bins = read_latest(spark, f"{dimensions}/bin")
         year, month_, day_ = date.split("-")
         day = day.withColumns({"year": F.lit(year), "month": F.lit(month_), "day": F.lit(day_)})
-        corrected = correction_plan(day, weights, bins, history, municipalities, districts, date)
+        corrected = correction_plan(day, weights, bins, history, municipalities, districts, date, work)
         result = work.put(corrected, "corrected")
-        replace_partition(result, target)
+        for later in kept_states(spark, state):
+            if later >= date:
+                remove_path(spark, f"{state}/upto={later}")
+        replace_day(result, target, date)
+        full_reload(merge_history(known, result, F.to_timestamp(F.lit(day_after(date)))), f"{state}/upto={date}")
         return result.count()
 
 

@@ -62,6 +62,13 @@ def remove_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob, in whatever store they lie."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(target)
+    return [str(f.getPath()) for f in found or []]
+
+
 class Staged:
     """Tables in the shared folder, removed after their last reader.
 

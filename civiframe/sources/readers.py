@@ -4,6 +4,8 @@ partitions by predicate, and Spark prunes folders at planning time."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from civiframe.config import TableSpec
 from civiframe.functions.dates import week_of_month_text
+from civiframe.session import folders
 
 
 def on_date(date: str) -> Column:
@@ -23,9 +26,18 @@ def on_date(date: str) -> Column:
 def day_folder(base: str, date: str) -> str:
     """Glob of the folder of a day (or of a month's days): ``month=01`` as well as ``month=1``.
     Read it with ``basePath`` so that the partition columns stay."""
-    year, *rest = date.split("-")
-    parts = [f"{name}={{{v},{int(v)}}}" if v != str(int(v)) else f"{name}={v}" for name, v in zip(("month", "day"), rest)]
-    return "/".join([base, f"year={year}", *parts])
+    return _folder(base, ("year", "month", "day"), date.split("-"))
+
+
+def week_folder(base: str, date: str) -> str:
+    """Glob of the folder of a date's week of the month."""
+    year, month, day = date.split("-")
+    return _folder(base, ("year", "month", "week"), (year, month, week_of_month_text(int(day))))
+
+
+def _folder(base: str, names: Sequence[str], values: Sequence[str]) -> str:
+    parts = [f"{name}={{{v},{int(v)}}}" if v != str(int(v)) else f"{name}={v}" for name, v in zip(names, values)]
+    return "/".join([base, *parts])
 
 
 def in_week_of(date: str) -> Column:
@@ -65,15 +77,15 @@ def _all(tests: list[Column]) -> Column:
 # -- file formats ---------------------------------------------------------------
 
 
-def read_csv_schema(spark: SparkSession, path: str, spec: TableSpec) -> DataFrame:
+def read_csv_schema(spark: SparkSession, path: str, spec: TableSpec, base: str | None = None) -> DataFrame:
     """CSV under a mandatory schema (compressed files are recognised by suffix)."""
-    return (
+    reader = (
         spark.read.schema(spec.schema())
         .option("header", spec.header)
         .option("sep", spec.delimiter)
         .option("encoding", spec.encoding)
-        .csv(path)
     )
+    return _below(reader, base).csv(path)
 
 
 def _below(reader, base: str | None):
@@ -172,8 +184,10 @@ def read_latest(spark: SparkSession, base: str) -> DataFrame:
 
 
 def read_dated(spark: SparkSession, base: str, date: str) -> DataFrame:
-    """Snapshot of a date from a partitioned snapshot table."""
-    return spark.read.orc(base).where(on_date(date))
+    """Snapshot of a date from a partitioned snapshot table: only its folder is listed and
+    opened. A date without one gives no rows."""
+    found = folders(spark, day_folder(base, date))
+    return spark.read.option("basePath", base).orc(found) if found else spark.read.orc(base).where(on_date(date))
 
 
 def reference_month(date: str) -> str:

@@ -1,19 +1,29 @@
 """Writers. Replacing a partition is one dynamic overwrite, so a re-run gives the
-same table; there is no separate delete that could be left half done."""
+same table; there is no separate delete that could be left half done.
+
+Tables whose rows are replaced by key (one sensor of many) have buckets of the key beneath
+the day. A replacement lists the (day, bucket) folders that it touches; only these are
+read and written, so its cost does not grow with the other keys of those days."""
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiframe.config import POINTER
-from civiframe.session import Staged, remove_path
-from civiframe.sources.readers import between_dates, on_date, read_or_empty
+from civiframe.functions.dates import days_between
+from civiframe.session import Staged, folders, remove_path
+from civiframe.sources.readers import day_folder, on_date, read_dated, read_or_empty
 
 DAY = ("year", "month", "day")
 WEEK = ("year", "month", "week")
+BUCKET = (*DAY, "bucket")
+#: Buckets of a day. A table keeps the number it was first written with.
+BUCKETS = 16
+_WIDTH = {"year": 4, "bucket": 3}
 
 
 def _balanced(df: DataFrame, files: int | None, by: Sequence[str] = ()) -> DataFrame:
@@ -58,7 +68,7 @@ def write_snapshot(df: DataFrame, base: str, path: str, moment) -> None:
 def _folder_values(df: DataFrame, by: Sequence[str]) -> DataFrame:
     """Partition columns as the text their folders carry (``month=01``): values read back
     from folders come as numbers and would otherwise open folders of their own."""
-    return df.withColumns({c: F.lpad(F.col(c).cast("string"), 4 if c == "year" else 2, "0") for c in by})
+    return df.withColumns({c: F.lpad(F.col(c).cast("string"), _WIDTH.get(c, 2), "0") for c in by})
 
 
 def _overwrite_partitions(df: DataFrame, base: str, by: Sequence[str]) -> None:
@@ -75,52 +85,111 @@ def replace_partition(df: DataFrame, base: str, by: Sequence[str] = DAY) -> None
     _overwrite_partitions(_balanced(_folder_values(df, by), None, by), base, by)
 
 
-def replace_between(
+def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def in_buckets(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """``df`` with the bucket of its key; null keys share one."""
+    return df.withColumn("bucket", bucket_of(F.col(key), buckets))
+
+
+def _written(df: DataFrame, by: Sequence[str]) -> set[str]:
+    """Folders that rows of ``df`` lie in, below the base. A row for each folder reaches the driver."""
+    return {"/".join(f"{c}={row[c]}" for c in by) for row in df.select(*by).distinct().collect()}
+
+
+def _below(base_depth: int, path: str) -> str:
+    return "/".join(path.split("/")[-base_depth:])
+
+
+def _remove_emptied(spark: SparkSession, found: list[str], written: set[str], by: Sequence[str]) -> None:
+    """Of the folders ``found`` those that hold no row any more go, with their day if it is empty then."""
+    for path in found:
+        if _below(len(by), path) not in written:
+            remove_path(spark, path)
+            day = path.rsplit("/", 1)[0]
+            if len(by) > len(DAY) and not folders(spark, f"{day}/*"):
+                remove_path(spark, day)
+
+
+def replace_day(df: DataFrame, base: str, date: str, by: Sequence[str] = DAY) -> None:
+    """Replace all that ``base`` holds of a day; a frame without rows clears it.
+
+    Rows of another day, or of none, are an error before anything is written. Folders of
+    the day (its buckets, if ``by`` has them) that got no row go after the new ones are in place.
+    """
+    spark = df.sparkSession
+    with Staged(spark) as work:
+        rows = work.put(_folder_values(df, by), "day")
+        if not rows.where(~F.coalesce(on_date(date), F.lit(False))).isEmpty():
+            raise ValueError(f"rows to store outside {date}, or without a day")
+        _overwrite_partitions(_balanced(rows, None, by), base, by)
+        written = _written(rows, by)
+        found = folders(spark, "/".join([day_folder(base, date), *[f"{c}=*" for c in by if c not in DAY]]))
+        _remove_emptied(spark, found, written, by)
+
+
+def replace_touched(
     spark: SparkSession,
     new: DataFrame,
     base: str,
-    first: str,
-    last: str,
+    touched: DataFrame,
     survivors: Callable[[DataFrame], DataFrame],
 ) -> None:
-    """Rewrite the days ``first`` to ``last`` as ``survivors`` of the stored rows plus ``new``.
+    """Rewrite the folders ``touched`` (``year, month, day, bucket``) as ``survivors`` of their
+    rows plus ``new``; all other folders stay as they are.
 
-    Only those days' folders are read and written. ``new`` may hold rows of these days
-    alone: another day, or none, is an error before anything is written, since its folder
-    would be replaced whole. A table that does not exist yet is empty. The result is
-    staged first, since it is read from the table being written; a day left without
-    rows loses its folder.
+    ``new`` may hold rows of these folders alone: another folder, or none, is an error before
+    anything is written, since it would be replaced whole. A table that does not exist yet is
+    empty. The result is staged first, since it is read from the table being written; a folder
+    left without rows goes. The list of folders, a row for each, reaches the driver.
     """
     with Staged(spark) as work:
-        new = work.put(new, "replacement")
-        inside = F.coalesce(between_dates(first, last), F.lit(False))
-        if not new.where(~inside).isEmpty():
-            raise ValueError(f"rows to store outside {first} to {last}, or without a day")
-        stored = read_or_empty(spark, lambda: spark.read.orc(base), new.schema).where(between_dates(first, last))
+        new = work.put(_folder_values(new, BUCKET), "replacement")
+        wanted = work.put(_folder_values(touched.select(*BUCKET).distinct(), BUCKET), "touched")
+        if not new.join(wanted, list(BUCKET), "left_anti").isEmpty():
+            raise ValueError("rows to store outside the touched folders, or without a day")
+        names = _written(wanted, BUCKET)
+        months = defaultdict(lambda: (set(), set()))
+        for name in names:
+            year, month, day, bucket = name.split("/")
+            months[f"{year}/{month}"][0].add(day)
+            months[f"{year}/{month}"][1].add(bucket)
+        found = [
+            path
+            for month, (days, buckets) in months.items()
+            for path in folders(spark, f"{base}/{month}/{{{','.join(sorted(days))}}}/{{{','.join(sorted(buckets))}}}")
+            if _below(len(BUCKET), path) in names
+        ]
+        stored = read_or_empty(spark, lambda: spark.read.option("basePath", base).orc(found), new.schema) if found else new.limit(0)
+        stored = _folder_values(stored, BUCKET)
         new = new.select(*[F.col(n).cast(stored.schema[n].dataType).alias(n) for n in stored.columns])
-        result = work.put(_folder_values(survivors(stored).unionByName(new), DAY), "replace")
-        left_over = result.select(*DAY).distinct()
-        # at most one row per day of the range reaches the driver
-        emptied = _folder_values(stored.select(*DAY).distinct(), DAY).join(left_over, list(DAY), "left_anti").collect()
-        _overwrite_partitions(_balanced(result, None, DAY), base, DAY)
-        for day in emptied:
-            remove_path(spark, base + "".join(f"/{c}={day[c]}" for c in DAY))
+        result = work.put(survivors(stored).unionByName(new), "replace")
+        left = _written(result, BUCKET)
+        _overwrite_partitions(_balanced(result, None, BUCKET), base, BUCKET)
+        _remove_emptied(spark, found, left, BUCKET)
 
 
 def replace_key_range(
-    spark: SparkSession, new: DataFrame, base: str, first: str, last: str, key: str, value: str
+    spark: SparkSession, new: DataFrame, base: str, first: str, last: str, key: str, value: str, buckets: int = BUCKETS
 ) -> None:
-    """Replace one sensor's rows of the days ``first`` to ``last``, both included."""
-    replace_between(
-        spark, new, base, first, last, lambda stored: stored.where(~F.col(key).eqNullSafe(value))
+    """Replace one sensor's rows of the days ``first`` to ``last``, both included, in its bucket."""
+    days = spark.range(1).select(F.explode(days_between(F.to_date(F.lit(first)), F.date_add(F.lit(last), 1))).alias("d"))
+    touched = days.select(
+        F.year("d").alias("year"), F.month("d").alias("month"), F.dayofmonth("d").alias("day"),
+        bucket_of(F.lit(value), buckets).alias("bucket"),
+    )
+    replace_touched(
+        spark, in_buckets(new, key, buckets), base, touched, lambda stored: stored.where(~F.col(key).eqNullSafe(value))
     )
 
 
 def replace_key_day(
-    spark: SparkSession, new: DataFrame, base: str, date: str, key: str, value: str
+    spark: SparkSession, new: DataFrame, base: str, date: str, key: str, value: str, buckets: int = BUCKETS
 ) -> None:
     """Replace one sensor's rows of one day."""
-    replace_key_range(spark, new, base, date, date, key, value)
+    replace_key_range(spark, new, base, date, date, key, value, buckets)
 
 
 def full_reload(df: DataFrame, target: str, fmt: str = "orc") -> None:
@@ -147,7 +216,7 @@ def patch_column(
 ) -> None:
     """Stored snapshot of a date with one column cast, written beside the original as
     CSV and ORC."""
-    stored = spark.read.orc(base).where(on_date(date))
+    stored = read_dated(spark, base, date)
     patched = stored.withColumn(column, F.col(column).try_cast(type_name))
     write_dual(patched, target, mode="overwrite")
 

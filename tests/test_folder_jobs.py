@@ -102,12 +102,13 @@ def test_replaying_one_sensor_after_the_other_keeps_all_rows(spark, tmp_path):
 
 def test_replacement_refuses_rows_of_other_days(spark, tmp_path):
     base = str(tmp_path / "t")
-    day = "v int, year string, month string, day string"
-    sinks.append_day(spark.createDataFrame([(1, "2022", "01", "01"), (2, "2022", "01", "05")], day), base)
-    for bad in (("2022", "01", "05"), (None, None, None)):
+    day = "v int, year string, month string, day string, bucket int"
+    sinks.append_day(spark.createDataFrame([(1, "2022", "01", "01", 3), (2, "2022", "01", "05", 3)], day), base, by=sinks.BUCKET)
+    touched = spark.createDataFrame([(2022, 1, 1, 3), (2022, 1, 2, 3)], "year int, month int, day int, bucket int")
+    for bad in (("2022", "01", "05", 3), ("2022", "01", "01", 4), (None, None, None, 3)):
         new = spark.createDataFrame([(9, *bad)], day)
         with pytest.raises(ValueError):
-            sinks.replace_between(spark, new, base, "2022-01-01", "2022-01-02", lambda stored: stored.limit(0))
+            sinks.replace_touched(spark, new, base, touched, lambda stored: stored.limit(0))
     assert rows_of(spark.read.orc(base), "v") == [(1,), (2,)]
 
 
@@ -142,6 +143,11 @@ def test_daily_job_reads_its_folder_and_reports_silent_sensors(spark, tmp_path):
         )
     assert rows_of(spark.read.orc(target), "deveui", "name", "value", "day") == [("s1", "a", 1.0, 1)]
     assert rows_of(spark.read.orc(report), "deveui", "day") == [("s2", 1)]
+    everyone, names = sensor_tables(spark)
+    lora.run_daily(spark, base, target, "2022-01-01", sensors, everyone, names, F.lit("n"), FRAME, report=report)
+    assert rows_of(spark.read.orc(target), "deveui") == [("s1",), ("s2",)]
+    assert not (tmp_path / "silent" / "year=2022" / "month=01" / "day=01").exists()
+    lora.run_daily(spark, base, target, "2022-01-01", sensors, parameters, referential, F.lit("n"), FRAME)
     lora.run_daily(spark, base, target, "2022-01-09", sensors, parameters, referential, F.lit("n"), FRAME)
     assert spark.read.orc(target).count() == 1
 
@@ -236,3 +242,29 @@ def test_weighing_and_correction_jobs_run_twice(spark, tmp_path):
     stored = spark.read.orc(target)
     assert stored.count() == 2 and stored.where("poids_corr <= 0 or poids_corr is null").isEmpty()
     assert staged_folders(spark) == before
+    assert waste.kept_states(spark, f"{target}_history") == ["2022-07-01"]
+
+
+def test_correction_opens_one_state(spark, tmp_path):
+    """Days corrected one by one, out of order and again: the history of a day is what the target holds before it."""
+    target, state = str(tmp_path / "t"), str(tmp_path / "s")
+    day = "id_bac long, poids double, poids_corr double, date_mesure timestamp, year string, month string, day string"
+
+    def store(n, weight):
+        rows = [(1, weight, weight, datetime.datetime(2022, 7, n, 6), "2022", "07", f"{n:02d}")]
+        sinks.replace_day(spark.createDataFrame(rows, day), target, f"2022-07-{n:02d}")
+
+    def weights_before(date):
+        return sorted(r.poids for r in waste.kept_history(spark, target, state, date).collect())
+
+    assert weights_before("2022-07-01") == []
+    for n in (1, 2, 4):
+        store(n, float(n))
+    assert weights_before("2022-07-04") == [1.0, 2.0]  # no state yet
+    waste.merge_history(waste.empty_frame(spark, waste.HISTORY), waste.kept_history(spark, target, state, "2022-07-03"), F.to_timestamp(F.lit("2022-07-03"))).write.orc(f"{state}/upto=2022-07-02")
+    for n in (1, 2):
+        store(n, 50.0 + n)  # not looked at again
+    assert weights_before("2022-07-03") == weights_before("2022-07-04") == [1.0, 2.0]
+    store(3, 3.0)
+    assert weights_before("2022-07-05") == [1.0, 2.0, 3.0, 4.0]
+    assert weights_before("2022-07-02") == [51.0]  # only states of earlier days count

@@ -33,7 +33,7 @@ def test_replace_partition_twice(spark, tmp_path):
 def test_replace_range_drops_emptied_days(spark, tmp_path):
     base = str(tmp_path / "t")
     stored = [("a", d, "2022", "01", f"{d:02d}") for d in (1, 2, 3, 4)] + [("b", 30, "2022", "01", "03")]
-    sinks.replace_partition(by_day(spark, stored), base)
+    sinks.replace_partition(sinks.in_buckets(by_day(spark, stored), "deveui"), base, sinks.BUCKET)
     new = by_day(spark, [("a", 100, "2022", "01", "03")])
     for _ in range(2):
         sinks.replace_key_range(spark, new, base, "2022-01-02", "2022-01-03", "deveui", "a")
@@ -45,6 +45,47 @@ def test_replace_range_drops_emptied_days(spark, tmp_path):
     assert rows_of(spark.read.orc(base), "value") == [(1,), (100,), (30,)]
 
 
+def test_a_named_day_without_rows_is_cleared(spark, tmp_path):
+    for by in (sinks.DAY, sinks.BUCKET):
+        base = str(tmp_path / by[-1])
+        rows = sinks.in_buckets(by_day(spark, [(s, d, "2022", "01", f"{d:02d}") for d in (1, 2) for s in "abcdef"]), "deveui")
+        rows = rows if by == sinks.BUCKET else rows.drop("bucket")
+        sinks.replace_partition(rows, base, by)
+        sinks.replace_day(rows.where("day = '01' and deveui = 'c'"), base, "2022-01-01", by)
+        assert rows_of(spark.read.orc(base).where("day = 1"), "deveui") == [("c",)]
+        for _ in range(2):
+            sinks.replace_day(rows.where("false"), base, "2022-01-01", by)
+        assert rows_of(spark.read.orc(base), "deveui", "day") == [(s, 2) for s in "abcdef"]
+        assert os.listdir(f"{base}/year=2022/month=01") == ["day=02"]
+        with pytest.raises(ValueError):
+            sinks.replace_day(rows, base, "2022-01-01", by)
+        sinks.replace_day(rows.where("false"), str(tmp_path / "none" / by[-1]), "2022-01-01", by)
+
+
+def files_below(base):
+    """Every data file with its time of change."""
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(base) for f in names if f.endswith(".orc")}
+
+
+def test_replaying_one_of_many_sensors_touches_its_buckets_only(spark, tmp_path):
+    base = str(tmp_path / "t")
+    sensors = [f"s{k}" for k in range(40)]
+    days = [("2022", "01", f"{d:02d}") for d in range(1, 7)]
+    rows = by_day(spark, [(s, 1, *d) for s in sensors for d in days])
+    sinks.replace_partition(sinks.in_buckets(rows, "deveui"), base, sinks.BUCKET)
+    own = rows.select(sinks.bucket_of(F.lit("s7"))).first()[0]
+    before = files_below(base)
+    new = rows.where("deveui = 's7'").withColumn("value", F.lit(2))
+    sinks.replace_key_range(spark, new.where("day between '02' and '05' and day <> '04'"), base, "2022-01-02", "2022-01-05", "deveui", "s7")
+    after = files_below(base)
+    untouched = {f for f in before if f"bucket={own:03d}" not in f or "day=01" in f or "day=06" in f}
+    assert len(untouched) > len(before) - 5 and all(after[f] == before[f] for f in untouched)
+    assert set(before) - set(after) == set(before) - untouched
+    stored = spark.read.orc(base)
+    assert stored.where("deveui <> 's7'").count() == 39 * 6
+    assert rows_of(stored.where("deveui = 's7'"), "day", "value") == [(1, 1), (2, 2), (3, 2), (5, 2), (6, 1)]
+
+
 def test_pruned_scan_of_day_month_and_week(spark, tmp_path):
     base = str(tmp_path / "t")
     sinks.replace_partition(by_day(spark, [("a", d, "2022", "01", f"{d:02d}") for d in (1, 9, 10)]), base)
@@ -118,7 +159,7 @@ def test_sensor_replay_replaces_its_days_only(spark, tmp_path):
         plan = lora.daily_plan(
             frames.where(readers.day_equals(day)), sensors, parameters, referential, day, F.lit("first")
         )
-        sinks.replace_partition(plan, target)
+        sinks.replace_day(sinks.in_buckets(plan, "deveui"), target, day, sinks.BUCKET)
     (folder / "b.json").write_text("\n".join(line.replace('"1kWh"', '"5kWh"') for line in lines[:3]))
     (folder / "a.json").write_text("\n".join(lines[3:]))
     frames = readers.read_frames(spark, str(folder), multi_line=False)

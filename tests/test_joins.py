@@ -3,26 +3,47 @@ from pyspark.sql import functions as F
 from civiframe.operators.joins import spread_left_join
 
 
-def test_spread_join_equals_left_join_and_spreads_a_hot_key(spark):
-    facts = spark.range(0, 4000, 1, 8).select(
-        F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 5 > 0, F.col("id").cast("string")).alias("k"), "id"
-    )
+def hot_facts(spark):
+    """One key holds nine tenths of the rows."""
+    return spark.range(0, 40_000, 1, 8).select(
+        F.when(F.col("id") % 10 > 0, "hot").when(F.col("id") % 50 > 0, F.col("id").cast("string")).alias("k"),
+        "id", F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+
+
+def test_a_hot_key_is_split_beside_an_aggregated_lookup(spark):
+    facts = hot_facts(spark)
     lookup = facts.groupBy("k").agg(F.count("*").alias("n")).where("k = 'hot' or n = 1 and k < '3'")
-    joined = spread_left_join(facts, lookup, [("k", "k")], salts=4)
-    plain = facts.join(lookup, "k", "left").select("k", "id", "n")
-    assert joined.select("k", "id", "n").exceptAll(plain).count() == 0
-    assert joined.count() == plain.count() == 4000
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+    plain = facts.join(lookup, "k", "left").select("k", "id", "n", "payload")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        parts = (
-            spread_left_join(facts, lookup, [("k", "k")], salts=4)
-            .where("k = 'hot'").groupBy(F.spark_partition_id()).count().count()
-        )
-        assert parts > 1
+        joined = spread_left_join(facts, lookup, [("k", "k")])
+
+        def parts(frame):
+            placed = frame.select(F.spark_partition_id().alias("p"), "k", "n", "payload")
+            return [r.rows for r in placed.where("k = 'hot'").groupBy("p").agg(F.count("*").alias("rows"), F.max("n"), F.max("payload")).collect()]
+
+        sizes = parts(joined)
+        assert len(sizes) > 4 and sum(sizes) == 36_000 and max(sizes) < 12_000
+        assert parts(plain) == [36_000]  # a plain join leaves them together
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for name in settings:
+            spark.conf.unset(name)
+    assert joined.select("k", "id", "n", "payload").exceptAll(plain).count() == 0 and joined.count() == plain.count() == 40_000
+
+
+def test_keys_of_different_types(spark):
+    facts = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k int, v string")
+    lookup = spark.createDataFrame([(1, 10), (3, 30)], "k long, w int")
+    assert {r.v: r.w for r in spread_left_join(facts, lookup, [("k", "k")]).collect()} == {"a": 10, "b": None, "c": None}
 
 
 def test_null_safe(spark):

@@ -56,7 +56,7 @@ def polygons(spark):
 def points():
     rng = random.Random(11)
     near = [(rng.uniform(-3000, 24000), rng.uniform(-3000, 16000)) for _ in range(300)]
-    far = [(-90_000.5, 40_000.5), (2_000_000.5, -900_000.5), (60_000_000.0, 1.5)]
+    far = [(-90_000.5, 40_000.5), (500_000.5, 7_000.5), (2_000_000.5, -900_000.5), (60_000_000.0, 1.5)]
     return [(i, x, y) for i, (x, y) in enumerate(near + far)] + [(900, *near[0]), (901, None, None)]
 
 
@@ -99,7 +99,7 @@ def test_places_take_the_nearest_agglomeration_area(spark):
         "code_insee int, commune_agglo int, rings array<array<struct<x:double,y:double>>>",
     )
     municipalities = spatial.prepare_polygons(raw)
-    districts = municipalities.select((F.col("code_insee") - 35000).alias("nuquart"), "edges", *spatial.BOX)
+    districts = municipalities.select((F.col("code_insee") - 35000).alias("nuquart"), "pieces")
     facts = spark.createDataFrame(
         [("in", "48.004", "3.006"), ("beyond", "48.004", "3.02"), ("nowhere", None, "3.0")],
         "name string, latitude string, longitude string",
@@ -113,3 +113,73 @@ def test_no_nested_loop_join(spark, polygons, points):
     for frame in (spatial.nearest_of(df, polygons, "code_insee"), spatial.attach_containing(df, polygons, ["code_insee"])):
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def ragged(n, x, y, radius, rough=0.3):
+    """A star-like outline of ``n`` edges whose corners lie up to ``rough`` of the radius inside it."""
+    rng = random.Random(n)
+    spokes = [(2 * math.pi * k / n, radius * rng.uniform(1 - rough, 1.0)) for k in range(n)]
+    return [(x + r * math.cos(a), y + r * math.sin(a)) for a, r in spokes]
+
+
+def outlines(spark, rings_by_code):
+    rows = [(code, [[{"x": float(x), "y": float(y)} for x, y in ring] for ring in rings]) for code, rings in rings_by_code.items()]
+    return spatial.prepare_polygons(spark.createDataFrame(rows, "code_insee int, rings array<array<struct<x:double,y:double>>>"))
+
+
+def test_a_long_outline_is_stored_about_once(spark):
+    """10,000 edges over some 100 cells; cells wholly inside hold none."""
+    ring, hole = ragged(10_000, 50_000, 80_000, 11_000, 0.01), ragged(200, 51_000, 81_000, 2_500)
+    polygons = outlines(spark, {1: [ring, hole]})
+    pieces = polygons.select(F.explode("pieces").alias("p")).select("p.*")
+    stored, cells, plain = pieces.agg(F.sum(F.size("edges")), F.count("*"), F.count_if(F.size("edges") == 0)).first()
+    assert 60 < cells < 140 and plain > 5 and stored < 1.5 * 10_200
+    rng = random.Random(9)
+    points = [(i, rng.uniform(38_000, 62_000), rng.uniform(68_000, 92_000)) for i in range(400)]
+    points += [(1000 + i, x, y + 0.5) for i, (x, y) in enumerate(ring[::100])]
+    got = spatial.attach_containing(spark.createDataFrame(points, "id int, px double, py double"), polygons, ["code_insee"])
+    assert {r.id: r.code_insee == 1 for r in got.collect()} == {i: inside([ring, hole], x, y) for i, x, y in points}
+
+
+def test_upright_level_and_tiny_outlines(spark):
+    """Squares smaller and much larger than a cell, with sides along the axes, and one that repeats a corner."""
+    square = lambda x, y, side: [(x, y), (x + side, y), (x + side, y + side), (x, y + side)]
+    shapes = {1: [square(0, 0, 9000)], 2: [square(-5000, -5000, 10)], 3: [square(4000, 4000, 0.5)], 4: [[(0, 0), (0, 0), (-3000, 0), (-3000, 4000)]]}
+    rng = random.Random(2)
+    points = [(i, round(rng.uniform(-6000, 10_000), 1), round(rng.uniform(-6000, 10_000), 1)) for i in range(500)]
+    points += [(600 + i, x + 0.2, y + 0.2) for i, (x, y) in enumerate([(0, 0), (8999, 8999), (-5000, -5000), (4000, 4000), (4000.4, 4000), (-3000, 0)])]
+    df = spark.createDataFrame(points, "id int, px double, py double")
+    polygons = outlines(spark, shapes)
+    got = sorted(((r.id, r.code_insee) for r in spatial.attach_containing(df, polygons, ["code_insee"]).collect()), key=str)
+    wanted = []
+    for i, x, y in points:
+        hits = [c for c, rings in shapes.items() if inside_of(rings, x, y)]
+        wanted += [(i, c) for c in hits] or [(i, None)]
+    assert got == sorted(wanted, key=str)
+    assert rows_of_empty(spark, df)
+
+
+def inside_of(rings, x, y):
+    return inside([[p for k, p in enumerate(ring) if p != ring[k - 1]] for ring in rings], x, y)
+
+
+def rows_of_empty(spark, df):
+    none = spatial.prepare_polygons(spark.createDataFrame([], "code_insee int, rings array<array<struct<x:double,y:double>>>"))
+    left = spatial.attach_containing(df, none, ["code_insee"])
+    return left.count() == df.count() and left.where("code_insee is not null").isEmpty() and spatial.nearest_of(df, none, "code_insee").isEmpty()
+
+
+def test_far_points_meet_few_cells(spark):
+    """400 polygons; a point meets a bounded number of cells whether it is near or 500 km away."""
+    from civiframe.session import Staged
+
+    polygons = outlines(spark, {n: [ragged(12, 9000 * (n % 20), 9000 * (n // 20), 3000)] for n in range(400)})
+    rng = random.Random(5)
+    near = [(rng.uniform(0, 170_000), rng.uniform(0, 170_000)) for _ in range(50)]
+    far = [(500_000 * math.cos(a), 500_000 * math.sin(a)) for a in range(50)] + [(9e6, -4e7)]
+    df = spark.createDataFrame(near + far, "px double, py double")
+    with Staged(spark) as work:
+        met = {(r.px, r.py): r["count"] for r in spatial.nearest_cells(df, polygons, work).groupBy("px", "py").count().collect()}
+        assert len(met) == 101 and max(met.values()) < 60
+    cells = polygons.select(F.explode("pieces").alias("p")).select("p.cx", "p.cy").distinct().count()
+    assert cells > 3000

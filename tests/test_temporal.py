@@ -67,6 +67,60 @@ def test_many_versions_and_malformed_times(spark):
     assert joined.count() == 5
 
 
+@pytest.mark.parametrize("how, closed", [("left", True), ("left", False), ("inner", True)])
+def test_indexed_keys_equal_brute_force(spark, how, closed):
+    """Overlapping, touching and distant versions, gaps, open ends and times at the very borders."""
+    rng = random.Random(17)
+    versions, n = [], 0
+    for key in ("touching", "overlapping", "apart", None):
+        for k in range(60):
+            start = 50 * k if key == "touching" else rng.randrange(0, 3000)
+            size = {"touching": 50, "overlapping": rng.choice([1, 30, 2500]), "apart": 3}.get(key, rng.randrange(1, 90))
+            versions.append((n, key, start, None if key == "overlapping" and k == 7 else start + size))
+            n += 1
+    facts = [(i, rng.choice(["touching", "overlapping", "apart", None, "unknown"]), rng.randrange(-100, 3200)) for i in range(1500)]
+    day = F.lit("2022-01-01").cast("timestamp_ntz")
+    left = spark.createDataFrame(facts, "fid int, key string, ts int").withColumn("ts", day + F.make_dt_interval(hours=F.col("ts")))
+    moments = {c: day + F.make_dt_interval(hours=F.col(c)) for c in ("start", "end")}
+    right = spark.createDataFrame(versions, "vid int, vkey string, start int, end int").withColumns(moments)
+    joined = interval_join(left, right, [("key", "vkey")], "ts", "start", "end", how=how, closed=closed, null_safe=True)
+    assert joined.columns == ["fid", "key", "ts", "vid", "vkey", "start", "end"]
+    assert sorted(((r.fid, r.vid) for r in joined.collect()), key=str) == brute_force(facts, versions, closed, True, how)
+
+
+def test_a_key_with_many_versions_meets_few(spark):
+    """Rows that the tree brings together for each fact hardly grow with the versions of its key."""
+    from civiframe.operators import temporal
+
+    met = []
+    for n in (1_000, 10_000):
+        versions = spark.range(n).select(
+            F.lit("k").alias("vkey"), F.col("id").alias("vid"), (F.col("id") * 10).alias("start"), (F.col("id") * 10 + 10).alias("end")
+        )
+        facts = spark.range(2_000).select(F.lit("k").alias("key"), F.col("id").alias("fid"), (F.col("id") * (n * 10 // 2_000)).alias("ts"))
+        every = temporal.interval_join(facts, versions, [("key", "vkey")], "ts", "start", "end", closed=False)
+        assert every.where("vid = ts div 10").count() == every.count() == 2_000
+        met.append(pairs_before_the_residual(every) / 2_000)
+    assert met[1] < met[0] + 10 and met[1] < 40
+
+
+def pairs_before_the_residual(frame):
+    """Pairs that agree in key and node, from the two inputs of the last join (all of one key here)."""
+    from pyspark.sql import DataFrame
+
+    node = frame._jdf.queryExecution().analyzed()
+    while node.nodeName() != "Join":
+        node = node.children().head()
+    spark = frame.sparkSession
+
+    def side(child, name):
+        rows = DataFrame(spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, child), spark)
+        return rows.groupBy(F.col(name).alias("node")).agg(F.count("*").alias(f"n{name}"))
+
+    left, right = side(node.left(), "_node"), side(node.right(), "_listed")
+    return left.join(right, "node").agg(F.sum(F.col("n_node") * F.col("n_listed"))).first()[0]
+
+
 def test_fifteen_equal_readings_fall_into_two_windows(spark):
     rows = [(f"2021-02-25T14:{22 + m}:00+02:00", "213_D", 46, 10, 0, "freeFlow") for m in range(5)]
     rows += [(f"2021-02-25T14:{30 + m}:00+02:00", "213_D", 46, 10, 0, "freeFlow") for m in range(10)]

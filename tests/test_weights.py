@@ -88,11 +88,50 @@ def test_rates_are_looked_up_by_substring(spark):
             values = [w for b, _, w in support if 0 < w < 250 and b in volume_of and volume_of[b] in volumes]
             if len(values) > 50:
                 expected[rate] = (round(sum(values) / len(values), 6), len(values))
-    rates = weights.rate_by_volume(
-        weights.support_sums(spark.createDataFrame(support, "id_bac long, code_tournee string, poids double")),
-        spark.createDataFrame(bins, "id_bac long, categorie_recipient string, litrage_recipient int"),
+    averages = weights.reference_averages(
+        spark.createDataFrame(support, "id_bac long, code_tournee string, poids double"),
+        spark.createDataFrame(bins + bins[:3], "id_bac long, categorie_recipient string, litrage_recipient int"),
     )
-    assert {r.rate: (round(r.average, 6), r.n) for r in rates.collect()} == expected and len(expected) > 2
+    twice = [(b, r, w) for b, r, w in support if 0 < w < 250 and b < 3]
+    usable = [w for _, _, w in support if 0 < w < 250]
+    rates = {r.rate: (round(r.average, 6), r.n) for r in weights.rate_by_volume(averages).collect()}
+    assert set(rates) == set(expected) and len(expected) > 2
+    touched = {r for r, c, v, _ in weights.VOLUME_RATES if c == bins[0][1] for b, _, _ in twice if volume_of[b] in v}
+    assert {r: v for r, v in rates.items() if r not in touched} == {r: v for r, v in expected.items() if r not in touched}
+    overall = weights.rate_global(averages).first()
+    assert (round(overall.average, 6), overall.n) == (round(sum(usable) / len(usable), 6), len(usable))
+    by_flow = weights.rate_by_flow(averages).collect()
+    assert [(r.rate, r.n) for r in by_flow] == [("OMglobal", len(usable))]
+
+
+def test_support_is_read_once(spark, tmp_path):
+    path = str(tmp_path / "support")
+    spark.createDataFrame([(1, "R-1-OM", 3.0)], "id_bac long, code_tournee string, poids double").write.parquet(path)
+    bins = spark.createDataFrame([(1, "Bacs verre", 240)], "id_bac long, categorie_recipient string, litrage_recipient int")
+    facts = spark.createDataFrame([(1, "Inconnu", 0.0)], "id_bac long, type_flux string, poids_corr double")
+    history = spark.createDataFrame([], "id_bac long, poids double, poids_corr double, date_mesure timestamp")
+    out = weights.correct_weights(facts, spark.read.parquet(path), bins, history, F.current_timestamp())
+    assert out.collect()[0].poids_corr == 3.0
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("== Initial Plan ==")[0].count(f"Location: InMemoryFileIndex(1 paths)[file:{path}") == 1
+
+
+def test_kept_state_equals_all_rows(spark):
+    """Random days, ties, corrected and early rows: the state of a day gives what all rows before it give."""
+    rng = random.Random(8)
+    first = datetime.datetime(2022, 1, 1)
+    rows = [(rng.randrange(12), float(rng.randrange(3)), float(rng.randrange(3)), first + datetime.timedelta(days=rng.randrange(9)), rng.randrange(9)) for _ in range(600)]
+    df = spark.createDataFrame(rows, "id_bac long, poids double, poids_corr double, date_mesure timestamp, stored int")
+    state = df.drop("stored").where("false")
+    for day in range(9):
+        until = F.lit(first + datetime.timedelta(days=day))
+        seen = df.where(F.col("stored") < day)
+        wanted = weights.last_weights(seen.where(F.col("date_mesure") < until))
+        got = weights.last_weights(state.where(F.col("date_mesure") < until))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+        state = weights.merge_history(state, df.where(F.col("stored") == day), F.lit(first + datetime.timedelta(days=day + 1)))
+        state = spark.createDataFrame(state.collect(), state.schema)
+    assert state.where(F.col("date_mesure") < until).count() <= 6 * 12
 
 
 def test_weighing_facts_of_a_day(spark):
