@@ -415,7 +415,8 @@ def suffix_dedup(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
     docs = docs.select("doc_id", F.xxhash64("text").alias("content"), F.col("text").cast("binary").alias("body")).withColumn(
         "ref", F.xxhash64("doc_id", "content")
     )
-    low_high = work.put(repeated_ranges(docs, work), "repeated-ranges")
+    # copies of a row have the same ranges; they are listed once
+    low_high = work.put(repeated_ranges(docs, work).distinct(), "repeated-ranges")
     spans = low_high.groupBy(F.col("doc_id").alias("_doc"), F.col("content").alias("_content")).agg(
         F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")
     )
@@ -424,4 +425,6 @@ def suffix_dedup(docs: DataFrame, keep_bytes: bool = True) -> DataFrame:
 
 
 def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return suffix_dedup(read(spark, folder, "documents"), keep_bytes=False).drop("kept")
+    """Digests per document, and what stays of its ``text`` (a character cut in two reads as a sign for that)."""
+    out = suffix_dedup(read(spark, folder, "documents"))
+    return out.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
