@@ -182,15 +182,16 @@ def fingerprint_links(distinct: DataFrame) -> DataFrame:
 
 
 def simhash_groups(docs: DataFrame, work: Staged, *extra: Column) -> DataFrame:
-    """``(doc_id, fp, component_id)`` and ``extra`` for every row; staged tables belong to ``work``."""
+    """``(doc_id, fp, component_id, root)`` and ``extra`` for every row: the smallest id of the group and
+    its smallest fingerprint; staged tables belong to ``work``."""
     prints = work.put(docs.select("doc_id", simhash("text").alias("fp"), *extra), "fingerprints")
     distinct = work.put(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     links = work.put(fingerprint_links(distinct), "fingerprint-links")
     roots = components(links, work)
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = named.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(*prints.columns, "component_id")
+    named = named.join(least, "root").select("fp", "component_id", "root")
+    return prints.join(named, "fp").select(*prints.columns, "component_id", "root")
 
 
 def simhash_near_dedup(docs: DataFrame) -> DataFrame:
@@ -207,19 +208,28 @@ def simhash_near_dedup(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of their group, columns unchanged.
+    """One row of ``docs`` for each group, columns unchanged: of its smallest id (null last) the
+    text with the smallest hash.
 
-    Rows that share that id all stay, as do groups without any id. A row goes by its id and
-    text, so other texts with that id, or without one, stay or go with their own group.
+    A row goes by its id and text, so other texts with that id, or without one, stay or go with
+    their own group. Of rows equal in both, one stays.
     """
     work = Staged(docs.sparkSession)
-    doc, content = fresh("doc"), fresh("content")
+    doc, content, several = fresh("doc"), fresh("content"), fresh("several")
     groups = simhash_groups(docs, work, F.xxhash64("text").alias(content))
-    dropped = groups.where("doc_id <> component_id or (doc_id is null and component_id is not null)")
-    # few columns cross: ids and texts that go; null ids go when their group has an id
-    gone = work.put(dropped.select(F.col("doc_id").alias(doc), content).distinct(), "dropped-rows")
+    rows = groups.groupBy("root", F.col("doc_id").alias(doc), content).agg(F.count("*").alias("n"))
+    rows = work.put(rows, "group-rows")
+    order = F.struct(F.col(doc).isNull().alias("no_id"), F.col(doc).alias("id"), F.col(content).alias("content"), F.col("n").alias("n"))
+    best = rows.groupBy("root").agg(F.min(order).alias("best")).select("best.*")
+    # few columns cross: ids and texts that stay, and how many rows have them
+    kept = work.put(best.select(F.col("id").alias(doc), F.col("content").alias(content), (F.col("n") > 1).alias(several)), "kept-rows")
     same = docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(content))
-    return docs.join(gone, same, "left_anti")
+    single = docs.join(kept.where(~F.col(several)), same, "left_semi")
+    repeated = kept.where(several)
+    if repeated.isEmpty():
+        return single
+    copies = docs.join(repeated, same).drop(several)
+    return single.unionByName(copies.dropDuplicates([doc, content]).drop(doc, content))
 
 
 def op4_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

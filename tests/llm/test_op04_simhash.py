@@ -112,6 +112,15 @@ def test_keep_one_decides_by_row(frame):
     ]
 
 
+def test_keep_one_of_equal_rows(frame):
+    """Of rows equal in id and text one stays, with an id and without one; so does one of a group without ids."""
+    texts = {"a": "a b c d e", "b": "quite another text here", "c": "wholly unlike words stand here"}
+    rows = [(1, texts["a"])] * 3 + [(None, texts["b"])] * 3 + [(None, texts["c"]), (None, texts["c"].upper()), (4, "one more text that is alone")]
+    kept = op.keep_one_of_group(frame(rows)).select("doc_id", "text").collect()
+    assert sorted(r.text.lower() for r in kept) == sorted([*texts.values(), "one more text that is alone"])
+    assert op.keep_one_of_group(frame([])).count() == 0
+
+
 def test_provided_table(spark, sf):
     rows = sorted(op.op4_simhash_near_dedup(spark, sf).collect())
     texts = dict(spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
