@@ -3,7 +3,9 @@
 The mixture is a number of equal blocks of words. Sources are cut into shards of bounded
 size; every shard has its part of its source's target. Seats (blocks) go to the shards
 with the highest quotients target / (2 * seats + 1), which is the same as rounding
-target / divisor for the divisor at which the seats add up. Within a shard the documents
+target / divisor for the divisor at which the seats add up. Sources whose target is few
+blocks would be rounded away, so blocks are smaller there: sources are apportioned in classes,
+each with blocks of its own size, and each class gets what its targets add up to. Within a shard the documents
 are laid end to end in a seeded order, cut into blocks, and its quota of blocks is drawn.
 """
 
@@ -26,7 +28,9 @@ WEIGHTS = (3, 1, 2)
 #: Words of the mixture as a share of all words, and the most a source may give of its own.
 SHARE = 1.5
 CAP = 2.0
-BLOCK = 64
+#: Words of a block, and the most that a block may be of its source's target.
+BLOCKS = (64, 16, 4, 1)
+BLOCK_SHARE = 1 / 64
 SEED = 11
 #: Words (and one for each document) of a shard; one task holds a shard's sizes or texts.
 SHARD = 1 << 18
@@ -57,7 +61,7 @@ def ranked_sources(sizes: DataFrame, work: Staged) -> DataFrame:
     return ordered.select("source", "source_size", "bulk", weight.cast("double").alias("weight"))
 
 
-def with_targets(sources: DataFrame) -> tuple[DataFrame, float]:
+def with_targets(sources: DataFrame) -> DataFrame:
     """Adds ``target``: by weight, but no more than ``CAP`` times the source; the excess is
     shared again by weight among the others until none is above. One aggregate a round."""
     cap = F.col("source_size") * F.lit(CAP)
@@ -77,7 +81,7 @@ def with_targets(sources: DataFrame) -> tuple[DataFrame, float]:
             break
         rate = after
     target = F.least(F.col("weight") * F.lit(rate or 0.0), cap) if row.free else cap
-    return sources.withColumn("target", target), wanted
+    return sources.withColumn("target", target)
 
 
 def apportion(shards: DataFrame, seats: int, work: Staged) -> DataFrame:
@@ -119,7 +123,23 @@ def apportion(shards: DataFrame, seats: int, work: Staged) -> DataFrame:
     return base.join(more, "key", "left").withColumn("quota", F.expr("quota + coalesce(_more, 0L)")).drop("_next", "_more")
 
 
-def drawn_blocks(sizes: np.ndarray, quota: int, key: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def apportion_classes(shards: DataFrame, work: Staged) -> DataFrame:
+    """Adds ``quota`` to shards with ``key, target, block``: seats of each block size by themselves."""
+    parts = []
+    for block in BLOCKS:
+        own = shards.where(F.col("block") == block)
+        total = own.agg(F.sum("target")).first()[0]
+        if total is not None:
+            parts.append(apportion(own, round(total / block), work))
+    if not parts:
+        return shards.withColumn("quota", F.lit(0).cast("long"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def drawn_blocks(sizes: np.ndarray, quota: int, key: str, block: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Block edges, how often each block is taken, and document ends of a shard laid end to end.
 
     Whole rounds over all blocks come first; the rest of the quota is drawn by a seed that
@@ -127,41 +147,45 @@ def drawn_blocks(sizes: np.ndarray, quota: int, key: str) -> tuple[np.ndarray, n
     """
     ends = np.cumsum(sizes)
     words = int(ends[-1]) if len(ends) else 0
-    blocks = -(-words // BLOCK)
+    blocks = -(-words // block)
     times = np.zeros(blocks, np.int64)
     if blocks:
         seed = hashlib.sha256(f"{SEED}:{key}".encode()).digest()[:8]
         rounds, rest = divmod(min(quota, int(CAP) * blocks), blocks)
         times += rounds
         times[np.random.default_rng(int.from_bytes(seed, "big")).permutation(blocks)[:rest]] += 1
-    return np.minimum(np.arange(blocks + 1) * BLOCK, words), times, ends
+    return np.minimum(np.arange(blocks + 1) * block, words), times, ends
 
 
-def words_taken(edges: np.ndarray, times: np.ndarray, ends: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+def words_taken(edges: np.ndarray, times: np.ndarray, ends: np.ndarray, sizes: np.ndarray, block_size: int) -> np.ndarray:
     """Words that the drawn blocks take of each document."""
     if not len(times):
         return np.zeros(len(sizes), np.int64)
     before = np.concatenate([[0], np.cumsum(times * np.diff(edges))])
 
     def up_to(at: np.ndarray) -> np.ndarray:
-        block = np.minimum(at // BLOCK, len(times) - 1)
+        block = np.minimum(at // block_size, len(times) - 1)
         return before[block] + times[block] * (at - edges[block])
 
     return up_to(ends) - up_to(ends - sizes)
 
 
 def _seeded(shard: pa.Table) -> pa.Table:
-    return shard.sort_by([("_order", "ascending"), ("doc_id", "ascending"), ("_size", "ascending")])
+    return shard.sort_by([("_order", "ascending"), ("doc_id", "ascending"), ("_size", "ascending"), ("_content", "ascending")])
+
+
+def _drawn(shard: pa.Table) -> tuple:
+    sizes, block = shard["_size"].to_numpy(), shard["_block"][0].as_py()
+    return sizes, block, *drawn_blocks(sizes, shard["_quota"][0].as_py(), shard["_key"][0].as_py(), block)
 
 
 def draw_counts(shard: pa.Table) -> pa.Table:
     """``taken`` for the rows of a shard."""
     shard = _seeded(shard)
-    sizes = shard["_size"].to_numpy()
-    edges, times, ends = drawn_blocks(sizes, shard["_quota"][0].as_py(), shard["_key"][0].as_py())
+    sizes, block, edges, times, ends = _drawn(shard)
     return pa.table({
         "doc_id": shard["doc_id"], "source": shard["source"], "size": shard["_size"], "source_size": shard["_source_size"],
-        "target": shard["_target"], "taken": pa.array(words_taken(edges, times, ends, sizes)),
+        "target": shard["_target"], "taken": pa.array(words_taken(edges, times, ends, sizes, block)),
     })
 
 
@@ -169,15 +193,14 @@ def draw_texts(shard: pa.Table) -> pa.Table:
     """The rows of a shard with the words that the mix takes of them: a row for what is taken
     at least once, and another for what is taken twice."""
     shard = _seeded(shard)
-    sizes = shard["_size"].to_numpy()
-    edges, times, ends = drawn_blocks(sizes, shard["_quota"][0].as_py(), shard["_key"][0].as_py())
+    sizes, size_of_block, edges, times, ends = _drawn(shard)
     docs = pa.Table.from_struct_array(shard["_row"])
     rows, texts = [], []
     for k, (text, size, end) in enumerate(zip(docs["text"].to_pylist(), sizes.tolist(), ends.tolist())):
         if not size:
             continue
         start = end - size
-        first, last = start // BLOCK, (end - 1) // BLOCK
+        first, last = start // size_of_block, (end - 1) // size_of_block
         own = times[first : last + 1]
         for copy in range(1, int(own.max()) + 1):
             rows.append(k)
@@ -190,7 +213,7 @@ def draw_texts(shard: pa.Table) -> pa.Table:
                 if n < copy:
                     previous = False
                     continue
-                a, b = max(start, block * BLOCK) - start, min(end, (block + 1) * BLOCK) - start
+                a, b = max(start, block * size_of_block) - start, min(end, (block + 1) * size_of_block) - start
                 if previous:
                     kept[-1][1] = words[b - 1][1]
                 else:
@@ -205,35 +228,42 @@ def placed(docs: DataFrame, whole: bool, work: Staged) -> DataFrame:
     """``doc_id`` and ``source`` of ``docs``, if asked the whole ``_row``, and the size, target, shard and quota."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
     row = [F.struct(*docs.columns).alias("_row")] if whole else []
-    sized = docs.select("doc_id", "source", *row, size.alias("_size"), F.xxhash64(F.lit(SEED), "doc_id").alias("_order"))
+    sized = docs.select(
+        "doc_id", "source", *row, size.alias("_size"), F.xxhash64(F.lit(SEED), "doc_id").alias("_order"), F.xxhash64("text").alias("_content")
+    )
     if not whole:
         sized = work.put(sized, "sizes")
-    sources, wanted = with_targets(ranked_sources(sized.select("source", F.col("_size").alias("size")), work))
+    sources = with_targets(ranked_sources(sized.select("source", F.col("_size").alias("size")), work))
     sources = work.put(
         sources.select(
             F.col("source").alias("_source"),
             F.col("source_size").alias("_source_size"),
             F.col("target").alias("_target"),
             F.greatest(F.ceil(F.col("bulk") / SHARD), F.lit(1)).cast("long").alias("_parts"),
+            F.coalesce(
+                *[F.when(F.col("target") * BLOCK_SHARE >= b, b) for b in BLOCKS], F.lit(BLOCKS[-1])
+            ).alias("_block"),
         ),
         "targets",
     )
     rows = sized.join(sources, F.col("source").eqNullSafe(F.col("_source"))).withColumn(
-        "_key", F.to_json(F.struct("source", F.expr("pmod(xxhash64(_order, _size), _parts)").alias("shard")))
+        "_key", F.to_json(F.struct("source", F.expr("pmod(xxhash64(_order, _size, _content), _parts)").alias("shard")))
     )
     shards = rows.groupBy("_key").agg(
-        (F.first("_target") * F.sum("_size") / F.greatest(F.first("_source_size"), F.lit(1))).alias("target")
+        (F.first("_target") * F.sum("_size") / F.greatest(F.first("_source_size"), F.lit(1))).alias("target"),
+        F.first("_block").alias("block"),
     )
     shards = work.put(shards.withColumnRenamed("_key", "key"), "shards")
-    quotas = work.put(apportion(shards, round(wanted / BLOCK), work), "quotas")
+    quotas = work.put(apportion_classes(shards, work), "quotas")
     return rows.join(quotas.select(F.col("key").alias("_key"), F.col("quota").alias("_quota")), "_key")
 
 
 def source_mixing(docs: DataFrame) -> DataFrame:
     """``(doc_id, source, size, source_size, target, taken)`` for every row of ``docs``.
 
-    Null texts have size 0. A null source is a source and comes last; rows without id are
-    ordered first in their shard, repeated rows are drawn one by one. Extra columns are not
+    Null texts have size 0. A null source is a source and comes last; rows of one id, or without,
+    are dealt and ordered by their texts, repeated rows are drawn one by one. A source's words come
+    within a block of each of its shards of its target, 1/64 of it at most, or a word. Extra columns are not
     read. Empty tables give no rows. Reruns agree: order and draws depend on ids, sizes
     and the seed only.
     """

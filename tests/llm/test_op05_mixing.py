@@ -58,7 +58,7 @@ def test_targets_and_words(frame):
     for r in out:
         assert r.source_size == sizes[r.source] and r.target == pytest.approx(wanted[r.source])
     for s, t in wanted.items():
-        assert abs(taken[s] - t) <= 2 * op.BLOCK + 0.01 * t
+        assert abs(taken[s] - t) <= 2 * op.BLOCKS[0] + 0.01 * t
 
 
 def test_reruns_agree_and_shards_add_up(frame, monkeypatch):
@@ -81,12 +81,35 @@ def test_texts_hold_the_words_taken(frame):
 
 def test_block_arithmetic():
     sizes = np.array([0, 100, 3, 64, 0, 200])
-    edges, times, ends = op.drawn_blocks(sizes, 8, "k")
+    edges, times, ends = op.drawn_blocks(sizes, 8, "k", 64)
     each = np.repeat(times, np.diff(edges))
     parts = np.split(each, ends[:-1])
-    assert op.words_taken(edges, times, ends, sizes).tolist() == [int(p.sum()) for p in parts] and times.sum() == 8
+    assert op.words_taken(edges, times, ends, sizes, 64).tolist() == [int(p.sum()) for p in parts] and times.sum() == 8
 
 
 def test_empty(frame):
     assert op.source_mixing(frame([])).count() == 0 and op.mixed_documents(frame([])).count() == 0
     assert [r.taken for r in op.source_mixing(frame([(1, None), (2, "")])).collect()] == [0, 0]
+
+
+def test_small_sources_come_near_their_targets(spark, frame):
+    """300 sources of ten words beside one of 20,000: each within a word of its target or a hundredth."""
+    docs = [(k, "w " * 10, None, f"s{k:03d}") for k in range(300)] + [(1000 + k, "w " * 500, None, "large") for k in range(40)]
+    rows = op.source_mixing(frame(docs)).collect()
+    taken, target = {}, {}
+    for r in rows:
+        taken[r.source], target[r.source] = taken.get(r.source, 0) + r.taken, r.target
+        assert r.taken <= 2 * r.size
+    assert len(taken) == 301 and all(abs(taken[s] - t) <= max(1, 0.01 * t) for s, t in target.items())
+    assert min(taken.values()) >= 8
+
+
+def test_rows_without_id_are_dealt_by_their_texts(frame, monkeypatch):
+    monkeypatch.setattr(op, "SHARD", 64)
+    docs = [(None, f"{k} b c d", None, "s") for k in range(100)]
+    from civiframe.session import Staged
+
+    table = frame(docs)
+    shards = op.placed(table, False, Staged(table.sparkSession)).groupBy("_key").count().collect()
+    assert len(shards) > 3 and max(r["count"] for r in shards) < 50
+    assert sum(r.taken for r in op.source_mixing(table).collect()) == 600
