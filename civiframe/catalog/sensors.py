@@ -8,6 +8,7 @@ from civiframe.operators import melt
 from civiframe.plans import lora
 from civiframe.operators.clean import with_technical_key
 from civiframe.session import work_path
+from civiframe.sources import readers
 from civiframe.sources.readers import known_only, scan_days
 from civiframe.sources.sinks import BUCKET, in_buckets, mark_replayed, replace_partition
 
@@ -108,6 +109,27 @@ def _measure_melt(t):
     return _rounded(melt.melt_measures(flat, S.parameters(t), _inserted())).drop("insertedDate")
 
 
+@query("variant_melt", f"with {S.FRAMES}, {S.MEASURES} select {_MELTED_COLUMNS} from measures")
+def _variant_melt(t):
+    """Days of two structures in multi-line files, read by one plan without inference or schema: on odd days
+    numbers stand for texts, a text for an object, a leaf is missing and another is deeper than all others."""
+    path = work_path(t.spark, "variant-frames")
+    frames = S.frames(t).withColumn("part", F.pmod(F.xxhash64("deveui"), F.lit(2)))
+    odd = F.col("day").cast("int") % 2 == 1
+    other = F.struct(
+        F.col("data.kind").alias("kind"), F.lit("off").alias("status"),
+        F.regexp_replace("data.EAP", "kWh", "").cast("double").alias("EAP"), F.col("data.temperatures").alias("temperatures"),
+        F.struct(F.struct(F.array(F.lit(1)).alias("b")).alias("a")).alias("diagnosis"),
+    )
+    for rows, data in ((frames.where(~odd), F.col("data")), (frames.where(odd), other)):
+        frame = F.struct("deveui", "timestamp", data.alias("data"))
+        files = rows.groupBy("year", "month", "day", "part").agg(F.to_json(F.collect_list(frame), {"pretty": "true"}).alias("value"))
+        files.write.mode("append").partitionBy("year", "month", "day", "part").text(path)
+    stored = readers.read_variant_frames(t.spark, path)
+    days = {c: F.lpad(F.col(c).cast("string"), 4 if c == "year" else 2, "0") for c in ("year", "month", "day")}
+    return _rounded(melt.melt_variants(stored.withColumns(days), S.parameters(t), _inserted())).drop("insertedDate")
+
+
 @query(
     "measure_name_prefix",
     """select event_id, case when event_type = 'error' then '' else 'label:' end
@@ -243,7 +265,9 @@ def _pipe_lora_replay_stored(t):
     target, sensors_target = work_path(t.spark, "measures"), work_path(t.spark, "sensors")
     measures = lora.enrich(melt.melt_measures(melt.expand_data(frames), parameters, _inserted()), referential)
     stored = with_technical_key(measures, *lora.NUMBERED).withColumn("value", F.lit(0).cast(measures.schema["value"].dataType))
-    replace_partition(in_buckets(stored, "deveui"), target, BUCKET)
-    lora.run_replay(t.spark, frames, target, S.sensors(t), sensors_target, parameters, referential, RUN_DATE, _inserted())
+    replace_partition(in_buckets(stored, "deveui", 2), target, BUCKET)
+    lora.run_replay(
+        t.spark, frames, target, S.sensors(t), sensors_target, parameters, referential, RUN_DATE, _inserted(), buckets=2
+    )
     days = {c: F.lpad(F.col(c).cast("string"), 4 if c == "year" else 2, "0") for c in ("year", "month", "day")}
     return _rounded(t.spark.read.orc(target)).withColumns(days).drop("inserteddate", "bucket")

@@ -234,11 +234,11 @@ def _replace_partition(t):
 def _replace_range(t):
     """The clicks of days 5 to 9 are replaced in their buckets; the new ones end on day 8."""
     path = work_path(t.spark, "range")
-    sinks.replace_partition(sinks.in_buckets(_by_day(t), "event_type"), path, sinks.BUCKET)
+    sinks.replace_partition(sinks.in_buckets(_by_day(t), "event_type", 2), path, sinks.BUCKET)
     new = _by_day(t).where((F.col("event_type") == "click") & F.col("day").between("05", "08"))
     sinks.replace_key_range(
         t.spark, new.withColumn("value", -F.col("value")), path, "2024-01-05", "2024-01-09",
-        "event_type", "click",
+        "event_type", "click", buckets=2,
     )
     return t.spark.read.orc(path).select("event_id", "event_type", "value", "day")
 
@@ -252,7 +252,7 @@ def _replace_range(t):
 def _replace_day(t):
     """Two named days of a table with buckets come again: one with fewer rows, one without any."""
     path = work_path(t.spark, "named-day")
-    rows = sinks.in_buckets(_by_day(t), "event_type")
+    rows = sinks.in_buckets(_by_day(t), "event_type", 2)
     sinks.replace_partition(rows, path, sinks.BUCKET)
     again = rows.where((F.col("day") == "07") & (F.col("event_type") != "view")).withColumn("value", -F.col("value"))
     sinks.replace_day(again, path, "2024-01-07", sinks.BUCKET)

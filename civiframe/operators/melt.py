@@ -18,6 +18,8 @@ from civiframe.functions.text import extract_number
 from civiframe.operators.joins import spread_left_join
 
 DAY_COLUMNS = ("year", "month", "day")
+# Parameters that name leaves.
+_LEAF_LISTS = ("global_name_values", "name_values", "value_columns")
 FRAME_COLUMNS = ("deveui", "timestamp", *DAY_COLUMNS)
 
 # Parameter table: per sensor, arrays of leaf names saying where names and values come from.
@@ -147,6 +149,35 @@ def _as_texts(df: DataFrame, name: str) -> Column:
     return value.cast("array<string>")
 
 
+#: Levels of ``data`` that are opened in frames without a schema; deeper parts stay JSON text.
+VARIANT_LEVELS = 6
+
+
+def variant_leaves(frames: DataFrame, levels: int = VARIANT_LEVELS) -> DataFrame:
+    """Frame columns and ``leaves``: the contents of a VARIANT ``data`` by name, as flat arrays of texts.
+
+    Objects and arrays are opened level by level, whatever each frame holds; elements of arrays keep
+    their order, and what lies in objects of an array has one name, as ``flatten_nested`` gives it.
+    Empty arrays and objects are one null. Frames are told apart by a number of their own.
+    """
+    at = F.array().cast("array<int>").alias("at")
+    rows = frames.select(*FRAME_COLUMNS, F.monotonically_increasing_id().alias("_id"), F.lit(None).cast("string").alias("name"), at, F.col("data").alias("v"))
+    for _ in range(levels):
+        opened = rows.lateralJoin(frames.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+        rows = opened.select(
+            *FRAME_COLUMNS, "_id",
+            F.when(F.col("key").isNull(), F.col("name")).otherwise(F.concat_ws("_", "name", "key")).alias("name"),
+            F.when(F.col("pos").isNull(), F.col("at")).otherwise(F.concat("at", F.array("pos"))).alias("at"),
+            F.coalesce("value", "v").alias("v"),
+        )
+    empty = F.schema_of_variant("v").isin("ARRAY<VOID>", "OBJECT<>")
+    text = F.when(~empty, F.try_variant_get("v", "$", "string"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("at", text.alias("text")))), lambda e: e.text)
+    contents = rows.where("name is not null").groupBy(*FRAME_COLUMNS, "_id", "name").agg(ordered.alias("texts"))
+    each = F.map_from_entries(F.collect_list(F.struct("name", "texts")))
+    return contents.groupBy(*FRAME_COLUMNS, "_id").agg(each.alias("leaves")).drop("_id")
+
+
 def _lookup(leaves: Column, names: Column) -> Column:
     """Contents of the named leaves that exist, one flat array. A null or empty leaf keeps
     its place as one null, so that later contents stay with their names."""
@@ -172,11 +203,23 @@ def melt_measures(flat: DataFrame, parameters: DataFrame, inserted_at: Column) -
         F.array(*[F.lit(n) for n in leaf_names]),
         F.array(*[_as_texts(flat, n) for n in leaf_names]),
     )
-    configured = (
-        flat.select(*FRAME_COLUMNS, leaves.alias("leaves"))
-        .join(parameters, "deveui")
-        .where(F.size("value_columns") > 0)
-    )
+    return melt_leaves(flat.select(*FRAME_COLUMNS, leaves.alias("leaves")), parameters, inserted_at)
+
+
+def melt_variants(frames: DataFrame, parameters: DataFrame, inserted_at: Column) -> DataFrame:
+    """``melt_measures`` of frames without a schema. A named leaf that a frame lacks keeps its place
+    as one null, as it does where the schema has it."""
+    found = variant_leaves(frames).join(parameters.select(F.col("deveui").alias("_deveui"), *[F.col(n).alias(f"_{n}") for n in _LEAF_LISTS]), F.col("deveui") == F.col("_deveui"))
+    named = F.array_distinct(F.concat(*[F.coalesce(f"_{n}", F.array().cast("array<string>")) for n in _LEAF_LISTS]))
+    absent = F.filter(named, lambda n: ~F.map_contains_key(F.col("leaves"), n))
+    none = F.array(F.lit(None).cast("string"))
+    filled = F.map_concat("leaves", F.map_from_entries(F.transform(absent, lambda n: F.struct(n, none))))
+    return melt_leaves(found.select(*FRAME_COLUMNS, filled.alias("leaves")), parameters, inserted_at)
+
+
+def melt_leaves(frames: DataFrame, parameters: DataFrame, inserted_at: Column) -> DataFrame:
+    """Measures of frames with their ``leaves``, texts by name."""
+    configured = frames.join(parameters, "deveui").where(F.size("value_columns") > 0)
     values = _lookup(F.col("leaves"), F.col("value_columns"))
     # without configured names every value has the empty one
     names = F.when(F.size(_or_empty("name_keys")) > 0, F.col("name_keys")).when(

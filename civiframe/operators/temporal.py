@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiframe.operators.joins import spread_left_join
-
 #: A key with more versions than this has its intervals indexed; so many of the shortest
 #: version fit into a leaf of the index.
 LEAF_VERSIONS = 8
@@ -51,10 +49,9 @@ def _leaf(second: Column) -> Column:
     return F.greatest(F.lit(0), F.least(place, parts - 1)).cast("long")
 
 
-def _ancestors(leaf: Column) -> Column:
-    """Nodes above a leaf, itself included; the root is 1."""
-    bottom = leaf + _shifted(F.lit(1), F.col("_levels"), "left")
-    return F.transform(F.sequence(F.lit(0), F.col("_levels")), lambda h: _shifted(bottom, h))
+def _ancestor(leaf: Column, height: Column) -> Column:
+    """Node so many levels above a leaf; the root is 1."""
+    return _shifted(leaf + _shifted(F.lit(1), F.col("_levels"), "left"), height)
 
 
 def _cover(first: Column, last: Column) -> Column:
@@ -89,97 +86,107 @@ def interval_join(
     (``closed``) or ``[start, end)``; a null end is open, a malformed one is not. Columns
     of both sides are returned, so their names must differ.
 
-    One plan for every input, and nothing is run while it is built: the join hashes on the keys
-    and on a node of a binary tree over the times of the key; the interval is its residual. The
-    tree of a key with at most ``LEAF_VERSIONS`` versions is its root, so its facts and versions
-    move once. With more, the leaves are as short as a few of the key's shortest versions; a
-    version is listed under the few nodes that make up its interval, a fact looks up the nodes above
-    its own leaf. So a fact meets versions near its time, and a key with many facts is dealt over its
-    nodes. For a left join the times that no version covers are versions of their own without values.
+    One plan for every input, and nothing is run while it is built: the join hashes on the keys, the
+    interval is its residual. A key with more than ``LEAF_VERSIONS`` versions has one entry there, its
+    index, and its versions are met in a second join, on the keys and a node of a binary tree over the
+    times of the key. The leaves are as short as a few of the key's shortest versions; a version is
+    listed under the few nodes that make up its interval, a fact looks up the nodes above its own leaf.
+    So a fact meets versions near its time, and a key with many facts is dealt over its nodes. Without
+    such keys the second join has an empty side, and AQE drops it. For a left join the times that no
+    version of an indexed key covers are versions of their own without values.
     """
     (moment, first, last), seconds = _moments((facts, ts), (versions, start), (versions, end))
     names = [f"_key{i}" for i in range(len(keys))]
     own = {n: F.col(v) for n, (_, v) in zip(names, keys)}
 
-    def equal(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-        tests = [left[a].eqNullSafe(right[b]) if null_safe else left[a] == right[b] for a, b in pairs]
-        return reduce(lambda a, b: a & b, tests)
-
     known = versions.where(first.isNotNull() & (F.col(end).isNull() | last.isNotNull())).withColumns(
         own | {"_first": first, "_last": last, "_first_s": seconds(first), "_last_s": seconds(last)}
     )
     length = F.col("_last_s") - F.col("_first_s")
-    spans = known.groupBy(*names).agg(
-        F.count("*").alias("_n"),
-        F.min("_first_s").alias("_low"),
-        F.max(F.greatest("_first_s", "_last_s")).alias("_high"),
-        F.min(F.when(length > 0, length)).alias("_short"),
-    )
+    span = {
+        "_n": F.count("*"),
+        "_low": F.min("_first_s"),
+        "_high": F.max(F.greatest("_first_s", "_last_s")),
+        "_short": F.min(F.when(length > 0, length)),
+    }
     ratio = (F.col("_high") - F.col("_low") + 1) / F.coalesce("_short", F.lit(1))
-    levels = F.least(F.ceil(F.log2(ratio / LEAF_VERSIONS)), F.ceil(F.log2("_n")) + 4, F.lit(MOST_LEVELS)).cast("int")
-    spans = spans.where(F.col("_n") > LEAF_VERSIONS).select(*names, "_low", "_high", levels.alias("_levels")).where("_levels > 0")
-
-    root = F.array(F.lit(1).cast("long"))
-    indexed = F.col("_levels").isNotNull()
-    looked_up = spread_left_join(facts, spans, [(f, n) for n, (f, _) in zip(names, keys)], null_safe=null_safe)
-    looked_up = looked_up.withColumn("_several", indexed & moment.isNotNull()).select(
-        *facts.columns, "_several",
-        F.explode(F.when(F.col("_several"), _ancestors(_leaf(seconds(moment)))).otherwise(root)).alias("_node"),
-    )
-
-    other = spans.toDF(*[f"_span{n}" for n in names], "_low", "_high", "_levels")
-    on_span = lambda df: equal(df, other, [(n, f"_span{n}") for n in names])
-    spanned = known.join(other, on_span(known), "left")
-    top = _shifted(F.lit(1), F.col("_levels"), "left") - 1
-    nodes = F.when(indexed, _cover(_leaf(F.col("_first_s")), F.coalesce(_leaf(F.col("_last_s")), top))).otherwise(root)
-    listed = spanned.select(*versions.columns, *names, "_first", "_last", F.lit(False).alias("_gap"), F.explode(nodes).alias("_node"))
-    open_end = F.col(end).isNull()
-    if how == "left":
-        listed = listed.unionByName(_gaps(known.join(other, on_span(known)), versions, names, open_end, top))
+    fine = F.least(F.ceil(F.log2(ratio / LEAF_VERSIONS)), F.ceil(F.log2("_n")) + 4, F.lit(MOST_LEVELS)).cast("int")
+    levels = F.when((F.col("_n") > LEAF_VERSIONS) & (fine > 0), fine)
+
+    spans = known.groupBy(*names).agg(*[c.alias(n) for n, c in span.items()]).withColumn("_levels", levels)
+    spans = spans.where("_levels is not null").select(*names, "_low", "_high", "_levels")
+    other = spans.toDF(*[f"_of{n}" for n in names], "_low", "_high", "_levels")
 
+    def same(left: Sequence[str], right: Sequence[str]) -> list[Column]:
+        return [F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in zip(left, right)]
+
+    def together(tests: Sequence[Column]) -> Column:
+        return reduce(lambda a, b: a & b, tests)
+
+    def covers(to: str) -> Column:
+        upper = time <= F.col("_last") if closed else time < F.col("_last")
+        return (time >= F.col("_first")) & (F.col(f"`{to}`").isNull() | upper)
+
+    own_key = [f for f, _ in keys]
+    of_span = together(same(names, [f"_of{n}" for n in names]))
     time = F.col("_moment")
-    within = (time >= F.col("_first")) & (open_end | (time <= F.col("_last") if closed else time < F.col("_last")))
+    plain = known.select(*versions.columns, *names, "_first", "_last").join(other, of_span, "left_anti")
+    direct = plain.unionByName(spans, allowMissingColumns=True)
+    entry = F.when(F.col("_levels").isNotNull(), time.isNotNull()).otherwise(covers(end))
+    met = facts.withColumn("_moment", moment).join(direct, together([*same(own_key, names), entry]), how)
+
+    height = F.explode(F.when(F.col("_levels").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_levels"))))
+    node = F.when(F.col("_levels").isNotNull(), _ancestor(_leaf(seconds(time)), F.col("_height")))
+    asked = met.drop("_first", "_last", *names).withColumn("_height", height).withColumn("_node", node)
+    there = {c: f"_indexed_{c}" for c in versions.columns}
+    listed = _listed(known.join(other, of_span), versions, names, F.col(end).isNull(), how == "left").withColumnsRenamed(there)
     after = F.col("_first").isNull() | (time > F.col("_first") if closed else time >= F.col("_first"))
     between = after & (F.col("_last").isNull() | (time < F.col("_last")))
-    left, right = looked_up.withColumn("_moment", moment), listed.withColumnRenamed("_node", "_listed")
-    tests = equal(left, right, [(f, n) for n, (f, _) in zip(names, keys)]) & (left["_node"] == right["_listed"])
-    joined = left.join(right, tests & F.when(F.col("_gap"), between).otherwise(within), how)
-    if how == "left":
-        joined = joined.where(~F.col("_several") | F.col("_listed").isNotNull())
-    return joined.select(*facts.columns, *versions.columns)
+    inside = F.when(F.col("_gap"), between).otherwise(covers(there[end]))
+    joined = asked.join(listed, together([*same(own_key, names), F.col("_node") == F.col("_listed"), inside]), "left")
+    joined = joined.where(F.col("_levels").isNull() | F.col("_listed").isNotNull())
+
+    def value(c: str) -> Column:
+        return F.when(F.col("_levels").isNull(), F.col(f"`{c}`")).otherwise(F.col(f"`{there[c]}`")).alias(c)
+
+    return joined.select(*[F.col(f"`{c}`") for c in facts.columns], *map(value, versions.columns))
 
 
-def _gaps(spanned: DataFrame, versions: DataFrame, names: list[str], open_end: Column, top: Column) -> DataFrame:
-    """The times of indexed keys that no version covers, as versions with null columns.
+def _listed(spanned: DataFrame, versions: DataFrame, names: list[str], open_end: Column, gaps: bool) -> DataFrame:
+    """Versions of indexed keys under the nodes that make up their intervals; with ``gaps`` also the times
+    that no version of the key covers, as versions with null columns.
 
-    ``_first`` and ``_last`` are the times between which a gap lies, null where it has no end.
+    ``_first`` and ``_last`` are then the times between which a gap lies, null where it has no end. A gap
+    lies before a version that starts after all earlier ones have ended, and after the last one.
     """
-    before = Window.partitionBy(*names).orderBy("_first")
-    earlier = before.rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy(*names)
-    rows = spanned.withColumns({
-        "_until": F.max("_last").over(earlier), "_until_s": F.max("_last_s").over(earlier),
-        "_open": F.coalesce(F.max(open_end).over(earlier), F.lit(False)), "_place": F.row_number().over(before),
-        "_rows": F.count("*").over(everything), "_end": F.max("_last").over(everything), "_end_s": F.max("_last_s").over(everything),
-        "_ever_open": F.max(open_end).over(everything),
-    })
-    ahead = F.when(
-        ~F.col("_open") & (F.col("_until").isNull() | (F.col("_until") < F.col("_first"))),
-        F.struct(
-            F.col("_until").alias("_first"), F.col("_first").alias("_last"),
-            F.when(F.col("_until").isNull(), F.lit(0)).otherwise(_leaf(F.col("_until_s"))).cast("long").alias("a"), _leaf(F.col("_first_s")).alias("b"),
-        ),
-    )
+    top = _shifted(F.lit(1), F.col("_levels"), "left") - 1
     kind = dict(spanned.dtypes)["_first"]
-    behind = F.when(
-        (F.col("_place") == F.col("_rows")) & ~F.col("_ever_open"),
-        F.struct(F.col("_end").alias("_first"), F.lit(None).cast(kind).alias("_last"), _leaf(F.col("_end_s")).alias("a"), top.alias("b")),
-    )
-    found = rows.select(*names, "_low", "_high", "_levels", F.explode(F.array_compact(F.array(ahead, behind))).alias("g"))
-    return found.select(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in versions.schema], *names, "g._first", "g._last",
-        F.lit(True).alias("_gap"), F.explode(_cover(F.col("g.a"), F.col("g.b"))).alias("_node"),
-    )
+
+    def entry(gap: bool, first: Column, last: Column, nodes: Column) -> Column:
+        parts = {"_gap": F.lit(gap), "_first": first.cast(kind), "_last": last.cast(kind), "_nodes": nodes}
+        return F.struct(*[c.alias(n) for n, c in parts.items()])
+
+    own = _cover(_leaf(F.col("_first_s")), F.coalesce(_leaf(F.col("_last_s")), top))
+    entries = [entry(False, F.col("_first"), F.col("_last"), own)]
+    if gaps:
+        before = Window.partitionBy(*names).orderBy("_first")
+        earlier = before.rowsBetween(Window.unboundedPreceding, -1)
+        everything = Window.partitionBy(*names)
+        spanned = spanned.withColumns({
+            "_until": F.max("_last").over(earlier), "_until_s": F.max("_last_s").over(earlier),
+            "_open": F.coalesce(F.max(open_end).over(earlier), F.lit(False)), "_place": F.row_number().over(before),
+            "_rows": F.count("*").over(everything), "_end": F.max("_last").over(everything),
+            "_end_s": F.max("_last_s").over(everything), "_ever_open": F.max(open_end).over(everything),
+        })
+        until, start = F.col("_until"), F.col("_first")
+        from_ = F.when(until.isNull(), F.lit(0)).otherwise(_leaf(F.col("_until_s"))).cast("long")
+        ahead = ~F.col("_open") & (until.isNull() | (until < start))
+        behind = (F.col("_place") == F.col("_rows")) & ~F.col("_ever_open")
+        entries.append(F.when(ahead, entry(True, until, start, _cover(from_, _leaf(F.col("_first_s"))))))
+        entries.append(F.when(behind, entry(True, F.col("_end"), F.lit(None), _cover(_leaf(F.col("_end_s")), top))))
+    each = spanned.select(*versions.columns, *names, F.explode(F.array_compact(F.array(*entries))).alias("_e"))
+    values = [F.when(~F.col("_e._gap"), F.col(f"`{c}`")).alias(c) for c in versions.columns]
+    return each.select(*values, *names, "_e._gap", "_e._first", "_e._last", F.explode("_e._nodes").alias("_listed"))
 
 
 def traffic_statistics(df: DataFrame, minutes: int = 15) -> DataFrame:

@@ -134,6 +134,24 @@ def read_frames(
     return _below(reader, base).json(path)
 
 
+def read_variant_frames(
+    spark: SparkSession, path: str, base: str | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Frames whose ``data`` differs from sensor to sensor and day to day: ``deveui, timestamp, data``
+    and the day, ``data`` a VARIANT. Nothing is inferred and no schema is given, so days of
+    different structures are one scan. A file holds frames or arrays of them."""
+    raw = _below(spark.read.option("singleVariantColumn", "_file").option("multiLine", multi_line), base).json(path)
+    several = F.schema_of_variant("_file").startswith("ARRAY")
+    frames = F.when(several, F.try_variant_get("_file", "$", "array<variant>")).otherwise(F.array("_file"))
+    each = raw.withColumn("_frame", F.explode(frames))
+    return each.select(
+        F.try_variant_get("_frame", "$.deveui", "string").alias("deveui"),
+        F.try_variant_get("_frame", "$.timestamp", "string").alias("timestamp"),
+        F.try_variant_get("_frame", "$.data", "variant").alias("data"),
+        *[c for c in raw.columns if c != "_file"],
+    )
+
+
 def read_table(spark: SparkSession, path: str, fmt: str, spec: TableSpec | None = None) -> DataFrame:
     if fmt == "csv":
         return read_csv_config(spark, path, spec)
