@@ -1,16 +1,21 @@
 """Fuzzy line deduplication with DataFrame and SQL functions only.
 
 Lines are normalised (lower case, runs of other characters than letters and digits are
-one blank) and those of at least ``MIN_WORDS`` words get a 64-bit SimHash of their words.
-Shorter ones stay, but in scripts without blanks those equal to another are repeats too.
-Two lines are linked if their SimHashes differ in at most ``RADIUS`` bits and their edit
-similarity is at least ``SIMILARITY``. Of four 16-bit blocks, two bits leave two
-untouched, so candidates agree in one of six pairs of blocks. Of each connected group the
-occurrence with the smallest (doc_id, line) stays.
-
-Large groups of near copies: first every line is held against the most frequent line of its
-half (two keys a line). Only pairs that this has not connected are searched further, so a
-group does not become all of its pairs.
+one blank). Equal lines form one group, whatever their length; blank ones stay. Distinct
+lines of at least ``MIN_WORDS`` words are linked, at an edit similarity of at least
+``SIMILARITY``, in two ways:
+
+* They agree outside of one gap. Leaving out one part of a line (a word of a short line, else one of
+  ``PARTS`` runs of words) gives a key of the words before and after it. If the part is short enough that any
+  two lines of the key are similar, these are linked without comparison; short lines with a longer
+  part are compared with one line of the key. Lines take part at their own number of words and at one less, so
+  that an added word keeps a key; short ones are also looked up without each of their words.
+* Their 64-bit SimHashes differ in at most ``RADIUS`` bits. Of four 16-bit blocks, two bits
+  leave two untouched, so candidates agree in one of six pairs of blocks; edit distance decides.
+  Only lines that the gaps leave apart are held against each other, first with the most
+  frequent line of their key, so that a group does not become all of its pairs.
+
+Of each connected group the occurrence with the smallest (doc_id, line) stays.
 """
 
 from __future__ import annotations
@@ -28,94 +33,157 @@ MIN_WORDS = 5
 RADIUS = 2
 BLOCKS = 4
 SIMILARITY = 0.8
-#: Letters of scripts without blanks, in which a whole line can be one word.
-UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}]"
+#: Lines of fewer words have a gap for every word, longer ones ``PARTS`` gaps.
+SHORT = 16
+PARTS = 12
+#: Share of a short line up to which a gap is tried with the edit distance.
+WIDE = 0.35
 #: Edits that are tried first.
 FEW_EDITS = 12
-#: Bits of the filter that lets lines pass whose text may be needed; its size is fixed.
+#: Bits of the filter that lets rows pass whose key may be needed; its size is fixed.
 FILTER_BITS = 1 << 24
+#: Most words of a line whose bits are counted in 16 bits; the highest stays free.
+COUNTED = (1 << 15) - 1
 
 
-def words_of(line: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
+def normalised(line: Column) -> Column:
+    """Lower-cased runs of letters and digits with a blank between them."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
-    """``(row, doc_id, content, line_no, line)``: the lines of every text; ``content`` is a hash of
-    it, ``row`` tells repeated rows apart within a job."""
-    return docs.where("text is not null").select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")
-    )
+    """``(doc_id, content, line_no, norm)``: the lines of every text that are not blank once
+    normalised; ``content`` is a hash of the text."""
+    each = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return each.select("doc_id", "content", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+
 
+def distinct_lines(docs: DataFrame) -> DataFrame:
+    """``(h, norm, n, len, words)`` of every distinct line; ``n``: occurrences."""
+    return (
+        lines_of(docs).groupBy("norm").agg(F.count("*").alias("n"))
+        .select(F.xxhash64("norm").alias("h"), "norm", "n", F.length("norm").alias("len"), F.size(F.split("norm", " ")).alias("words"))
+    )
 
-def _counted(lines: DataFrame, width: int, least: int) -> DataFrame:
-    """SimHashes of lines of ``least`` to ``2 ** width - 1`` words, or fewer in a script without blanks.
 
-    Every sum holds the counts of 64 / width bits in fields of ``width`` bits; the sums of a
-    task are added up before they are shuffled.
+def simhashes(lines: DataFrame) -> DataFrame:
+    """``(h, n, len, sim)`` of distinct lines.
+
+    Every sum holds the counts of 64 / width bits in fields of ``width`` bits.
     """
-    fields = 64 // width
-    unit = sum(1 << (width * f) for f in range(fields))
-    # the words of a line are split once, as the input of the generator
-    unspaced = (F.octet_length("line") > F.length("line")) & F.col("line").rlike(UNSPACED)
-    each = (
-        lines.select("row", "doc_id", "content", "line_no", F.xxhash64("line").alias("raw"), "line", unspaced.alias("unspaced"))
-        .select("row", "doc_id", "content", "line_no", "raw", "unspaced", F.posexplode(words_of(F.col("line"))).alias("at", "w"))
-        .select("row", "doc_id", "content", "line_no", "raw", "unspaced", "at", (F.length("w") + 1).alias("size"), F.xxhash64("w").alias("x"))
-    )
-    sums = [F.sum(F.expr(f"shiftrightunsigned(x, {k}) & {unit}L")).alias(f"s{k}") for k in range(width)]
-    counted = each.groupBy("row", "doc_id", "content", "line_no", "raw").agg(
-        F.count("*").alias("n"), F.max("unspaced").alias("unspaced"), (F.sum("size") - 1).alias("len"),
-        F.bit_xor(F.xxhash64("x", "at")).alias("a"), F.bit_xor(F.xxhash64("at", "x")).alias("b"), *sums,
-    ).where((F.col("n") >= least) | F.col("unspaced"))
-    bits = " | ".join(
-        f"if(2 * (shiftrightunsigned(s{k}, {width * f}) & {(1 << width) - 1}L) > n, shiftleft(1L, {k + width * f}), 0L)"
-        for k in range(width)
-        for f in range(fields)
-    )
-    return counted.select(
-        "doc_id", "content", "line_no", "raw", F.xxhash64("a", "b", "n").alias("h"),
-        F.col("len").cast("int").alias("len"), F.expr(bits).alias("sim"), F.col("n").alias("words"),
-    )
+    parts = []
+    for width, some in ((16, f"words <= {COUNTED}"), (32, f"words > {COUNTED}")):
+        fields = 64 // width
+        unit = sum(1 << (width * f) for f in range(fields))
+        each = lines.where(some).select("h", "n", "len", F.explode(F.split("norm", " ")).alias("w")).select("h", "n", "len", F.xxhash64("w").alias("x"))
+        sums = [F.sum(F.expr(f"shiftrightunsigned(x, {k}) & {unit}L")).alias(f"s{k}") for k in range(width)]
+        counted = each.groupBy("h").agg(F.count("*").alias("words"), F.max("n").alias("n"), F.max("len").alias("len"), *sums)
+        bits = " | ".join(
+            f"if(2 * (shiftrightunsigned(s{k}, {width * f}) & {(1 << width) - 1}L) > words, shiftleft(1L, {k + width * f}), 0L)"
+            for k in range(width)
+            for f in range(fields)
+        )
+        parts.append(counted.select("h", "n", "len", F.expr(bits).alias("sim")))
+    return parts[0].unionAll(parts[1])
+
+
+def _cell(words: str) -> str:
+    """SQL for a number of words with its four leading bits only."""
+    shift = f"greatest(0, length(bin({words})) - 4)"
+    return f"shiftleft(shiftright({words}, {shift}), {shift})"
+
+
+def gap_keys(lines: DataFrame) -> DataFrame:
+    """``(h, key, narrow)``: for each part of a line a hash of the words before and after it.
+
+    Parts are the words of lines of fewer than ``SHORT`` words, else ``PARTS`` runs of words.
+    Lines of one key differ in the gap only. It is narrow if its characters are at most 1 - ``SIMILARITY``
+    of the line: any two lines for which the key is narrow are similar.
+    """
+    own, less = F.expr(_cell("words")), F.expr(_cell("(words - 1)"))
+    cells = lines.select("h", "len", "words", F.split("norm", " ").alias("w"), own.alias("g0"), less.alias("g1"))
+    cells = cells.select(
+        "*", F.expr(f"if(g0 < {SHORT}, g0, {PARTS})").alias("p0"), F.expr(f"if(g1 <> g0 and g1 >= {SHORT}, {PARTS}, 0)").alias("p1")
+    ).select("*", F.explode(F.expr("sequence(0, p0 + p1 - 1)")).alias("k"))
+    first = "if(k < p0, {}, {})".format
+    gaps = cells.selectExpr("h", "len", "words", "w", first("g0", "g1") + " as g", first("k", "k - p0") + " as i", first("p0", "p1") + " as p")
+    gaps = gaps.selectExpr("*", "cast(i * g div p as int) as before", "cast(g - (i + 1) * g div p as int) as after")
+    gaps = gaps.withColumn("gap", F.expr("length(array_join(slice(w, before + 1, words - before - after), ' ')) - 1e-9"))
+    gaps = gaps.where(f"gap <= if(words < {SHORT}, {WIDE}, {round(1 - SIMILARITY, 6)}) * len")
+    key = "xxhash64(slice(w, 1, before), slice(w, words - after + 1, after), g, i)"
+    return gaps.selectExpr("h", f"{key} as key", f"gap <= {round(1 - SIMILARITY, 6)} * len as narrow")
+
+
+def dropped_words(lines: DataFrame) -> DataFrame:
+    """``(h, key)``: hashes of lines of at most ``SHORT`` words without one of their words, where the rest is similar."""
+    some = lines.where(f"words <= {SHORT} and words > {MIN_WORDS}").select("h", "len", F.split("norm", " ").alias("w"))
+    each = some.select("h", "len", "w", F.posexplode("w").alias("at", "word"))
+    rest = "array_join(concat(slice(w, 1, at), slice(w, at + 2, size(w))), ' ')"
+    return each.where(f"length(word) + 1 <= {round(1 - SIMILARITY, 6)} * len + 1e-9").select("h", F.expr(f"xxhash64({rest})").alias("key"))
+
+
+def passing(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose 64-bit ``column`` may occur in that of ``wanted``: a filter of fixed size
+    has a bit for each value that occurs and keeps most other rows from a shuffle."""
+    bit = f"pmod({column}, {FILTER_BITS})"
+    word = F.expr(f"cast({bit} div 64 as int)")
+    # at most FILTER_BITS / 64 rows
+    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({bit} % 64 as int))")).alias("bits"))
+    passed = rows.withColumn("word", word).join(F.broadcast(bitmap), "word").where(f"(shiftrightunsigned(bits, cast({bit} % 64 as int)) & 1L) = 1")
+    return passed.drop("word", "bits")
+
+
+def gap_links(lines: DataFrame, work: Staged) -> tuple[DataFrame, DataFrame]:
+    """Links ``(a, b)`` of lines with one line of each of their narrow gap keys and with what
+    stays without a word; and candidates ``(a, b)`` by keys that are not narrow."""
+    keyed = gap_keys(lines)
+    least = F.coalesce(F.min(F.when(F.col("narrow"), F.col("h"))), F.min("h"))
+    shared = keyed.groupBy("key").agg(least.alias("b"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key", "b")
+    shared = work.put(shared, "shared-gaps")
+    met = work.put(passing(keyed, "key", shared).join(shared, "key").where("h <> b").select(F.col("h").alias("a"), "b", "narrow").distinct(), "met-in-gaps")
+    rest = lines.where(f"words < {SHORT}").select(F.col("h").alias("b"))
+    dropped = passing(dropped_words(lines), "key", rest.select(F.col("b").alias("key"))).join(rest, F.col("key") == F.col("b"))
+    links = met.where("narrow").select("a", "b").unionAll(dropped.select(F.col("h").alias("a"), "b"))
+    return work.put(links.distinct(), "gap-links"), met.where("not narrow").select("a", "b")
+
+
+def block_keys(lines: DataFrame) -> DataFrame:
+    """``lines`` once for each pair of SimHash blocks."""
+    block = [f"(shiftrightunsigned(sim, {16 * k}) & 65535L)" for k in range(BLOCKS)]
+    keys = [f"{i}L * 4294967296L + {block[a]} * 65536L + {block[b]}" for i, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
+    return lines.withColumn("key", F.explode(F.expr(f"array({', '.join(keys)})")))
+
 
+def still_open(keyed: DataFrame, work: Staged) -> DataFrame:
+    """The rows of keys whose lines are not all in one component."""
+    apart = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+    apart = work.put(apart, "open-keys")
+    return work.put(passing(keyed, "key", apart).join(apart, "key"), "open-lines")
 
-def occurrences(docs: DataFrame, least: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, content, line_no, raw, h, len, sim, words)`` of every line of at least ``least`` words
-    or with letters of a script without blanks."""
-    lines = lines_of(docs)
-    longest = (1 << 17) - 2  # characters: at most 2^16 - 1 words
-    return _counted(lines.where(F.length("line") <= longest), 16, least).unionAll(_counted(lines.where(F.length("line") > longest), 32, least))
+
+def with_components(lines: DataFrame, links: DataFrame, work: Staged) -> DataFrame:
+    """``lines`` with ``comp``, the smallest line that each reaches by the links."""
+    comp = components(links, work).selectExpr("node as h", "root")
+    return lines.drop("comp").join(comp, "h", "left").withColumn("comp", F.coalesce("root", "h")).drop("root")
 
 
 def _near(a: str, b: str) -> Column:
     return F.expr(
-        f"bit_count({a}.sim ^ {b}.sim) <= {RADIUS} and least({a}.len, {b}.len) >= {SIMILARITY} * greatest({a}.len, {b}.len)"
+        f"{a}.comp <> {b}.comp and bit_count({a}.sim ^ {b}.sim) <= {RADIUS}"
+        f" and least({a}.len, {b}.len) >= {SIMILARITY} * greatest({a}.len, {b}.len)"
     )
 
 
-def leader_candidates(lines: DataFrame) -> DataFrame:
-    """Every line with the most frequent line that has the same half of the SimHash, if near.
-    Only lines that occur more than once lead."""
-    half = F.explode(F.expr("array(shiftright(sim, 32) * 2, (sim & 4294967295L) * 2 + 1)")).alias("key")
-    leaders = lines.where("n > 1").select("n", "h", "sim", "len", half).groupBy("key").agg(F.max(F.struct("n", "h", "sim", "len")).alias("b"))
-    return (
-        lines.select("h", "sim", "len", half).alias("a")
-        .join(leaders, "key")
-        .where(F.expr("a.h <> b.h") & _near("a", "b"))
-        .selectExpr("a.h as a", "b.h as b")
-        .distinct()
-    )
+def leader_candidates(opened: DataFrame) -> DataFrame:
+    """Every line with the most frequent line of its key, if near."""
+    leaders = opened.groupBy("key").agg(F.max(F.struct("n", "h", "sim", "len", "comp")).alias("b"))
+    return opened.alias("a").join(leaders, "key").where(_near("a", "b")).selectExpr("a.h as a", "b.h as b").distinct()
 
 
-def open_candidates(lines: DataFrame) -> DataFrame:
-    """Near lines that agree in a pair of blocks and are not in one ``comp`` (null: in none)."""
-    block = [f"(shiftrightunsigned(sim, {16 * k}) & 65535L)" for k in range(BLOCKS)]
-    keys = [f"{i}L * 4294967296L + {block[a]} * 65536L + {block[b]}" for i, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
-    keyed = lines.select("h", "sim", "len", "comp", F.explode(F.expr(f"array({', '.join(keys)})")).alias("key"))
-    a, b = keyed.alias("a"), keyed.alias("b")
-    apart = F.expr("a.h < b.h and not coalesce(a.comp = b.comp, false)")
-    return a.join(b, (F.col("a.key") == F.col("b.key")) & apart & _near("a", "b")).selectExpr("a.h as a", "b.h as b").distinct()
+def open_candidates(opened: DataFrame) -> DataFrame:
+    """Near lines of one key that are in different components."""
+    a, b = opened.alias("a"), opened.alias("b")
+    return a.join(b, (F.col("a.key") == F.col("b.key")) & F.expr("a.h < b.h") & _near("a", "b")).selectExpr("a.h as a", "b.h as b").distinct()
 
 
 def shared_start(a: str, b: str) -> str:
@@ -132,24 +200,11 @@ def _let(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def verified(candidates: DataFrame, lines: DataFrame, docs: DataFrame, work: Staged) -> DataFrame:
-    """The candidates ``(a, b)`` whose edit similarity is enough.
-
-    Only texts of candidate lines are needed: a filter of fixed size, with a bit for each
-    hash value that occurs, keeps most others from the shuffle. The distance is that of
-    what lies between the common beginning and the common end.
-    """
-    ends = candidates.selectExpr("a as h").unionAll(candidates.selectExpr("b as h")).distinct()
-    wanted = work.put(lines.select("h", "raw").join(ends, "h", "left_semi"), "wanted-lines")
-    bit = f"pmod(raw, {FILTER_BITS})"
-    # at most FILTER_BITS / 64 rows
-    bitmap = wanted.groupBy(F.expr(f"cast({bit} div 64 as int)").alias("word")).agg(
-        F.bit_or(F.expr(f"shiftleft(1L, cast({bit} % 64 as int))")).alias("bits")
-    )
-    seen = lines_of(docs).select(F.xxhash64("line").alias("raw"), "line").withColumn("word", F.expr(f"cast({bit} div 64 as int)"))
-    passed = seen.join(F.broadcast(bitmap), "word").where(f"(shiftrightunsigned(bits, cast({bit} % 64 as int)) & 1L) = 1")
-    texts = passed.groupBy("raw").agg(F.min("line").alias("line")).join(wanted, "raw")
-    texts = work.put(texts.select("h", F.array_join(words_of(F.col("line")), " ").alias("norm")), "candidate-lines")
+def verified(candidates: DataFrame, lines: DataFrame, work: Staged) -> DataFrame:
+    """The candidates ``(a, b)`` whose edit similarity is enough. The distance is that of
+    what lies between the common beginning and the common end."""
+    ends = work.put(candidates.selectExpr("a as h").unionAll(candidates.selectExpr("b as h")).distinct(), "candidate-ends")
+    texts = work.put(passing(lines.select("h", "norm"), "h", ends).join(ends, "h"), "candidate-lines")
     pairs = candidates.join(texts.selectExpr("h as a", "norm as x"), "a").join(texts.selectExpr("h as b", "norm as y"), "b")
     most = f"cast(floor({round(1 - SIMILARITY, 6)} * greatest(length(x), length(y)) + 1e-9) as int)"
     rest = "struct(reverse(substring(x, p + 1)) as x, reverse(substring(y, p + 1)) as y)"
@@ -161,43 +216,41 @@ def verified(candidates: DataFrame, lines: DataFrame, docs: DataFrame, work: Sta
     return pairs.where(near).select("a", "b")
 
 
-def removed_lines(docs: DataFrame, work: Staged, short: bool = False) -> DataFrame:
-    """``(doc_id, content, line_no)`` of every occurrence that goes. ``short``: lines of fewer
-    than ``MIN_WORDS`` words that are equal once normalised are groups too, without fuzzy links."""
-    seen = work.put(occurrences(docs, 1 if short else MIN_WORDS), "line-occurrences")
-    least = [F.min(k).alias(k) for k in ("sim", "len", "raw", "words")]
-    every = work.put(seen.groupBy("h").agg(F.count("*").alias("n"), *least), "distinct-lines")
+def line_links(every: DataFrame, work: Staged) -> DataFrame:
+    """``(a, b)``: links of distinct lines whose components are the groups of near copies."""
     lines = every.where(F.col("words") >= MIN_WORDS)
-    first = work.put(leader_candidates(lines), "leader-candidates")
-    led = work.put(verified(first, lines, docs, work), "leader-links")
-    comp = components(led, work).selectExpr("node as h", "root as comp")
-    second = work.put(open_candidates(lines.join(comp, "h", "left")), "open-candidates")
-    links = led.unionAll(verified(second, lines, docs, work))
-    groups = components(links, work).selectExpr("node as h", "root")
+    links, wide = gap_links(lines, work)
+    opened = still_open(block_keys(with_components(simhashes(lines), links, work)), work)
+    led = work.put(verified(work.put(leader_candidates(opened).union(wide).distinct(), "leader-candidates"), lines, work), "leader-links")
+    links = links.unionAll(led)
+    rest = still_open(with_components(opened, links, work), work)
+    return links.unionAll(work.put(verified(work.put(open_candidates(rest), "open-candidates"), lines, work), "open-links"))
+
+
+def removed_lines(docs: DataFrame, work: Staged) -> DataFrame:
+    """``(doc_id, content, line_no)`` of every occurrence that goes."""
+    every = work.put(distinct_lines(docs), "distinct-lines")
     # only groups with several occurrences lose any
-    grouped = every.select("h", "n").join(groups, "h", "left").select("h", "n", F.coalesce("root", "h").alias("group"))
-    several = grouped.groupBy("group").agg(F.sum("n").alias("total")).where("total > 1")
-    placed = seen.select("doc_id", "content", "line_no", "h").join(
-        work.put(grouped.join(several, "group").select("h", "group"), "repeated-lines"), "h"
-    )
-    placed = work.put(placed.drop("h"), "repeated-occurrences")
+    grouped = with_components(every.select("h", "n"), line_links(every, work), work)
+    several = grouped.groupBy("comp").agg(F.sum("n").alias("total")).where("total > 1")
+    repeated = work.put(grouped.join(several, "comp").select("h", F.col("comp").alias("group")), "repeated-lines")
+    seen = lines_of(docs).select("doc_id", "content", "line_no", F.xxhash64("norm").alias("h"))
+    placed = work.put(passing(seen, "h", repeated).join(repeated, "h").drop("h"), "repeated-occurrences")
     kept = placed.groupBy("group").agg(F.min(F.struct("doc_id", "content", "line_no")).alias("kept")).select("kept.*")
     key = ["doc_id", "content", "line_no"]
     same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
     return placed.select(*key).alias("a").join(kept.alias("b"), same, "left_anti")
 
 
-def without_repeated_lines(docs: DataFrame, work: Staged, removed: str, short: bool = False) -> DataFrame:
+def without_repeated_lines(docs: DataFrame, removed: str) -> DataFrame:
     """``docs`` with the new ``text``, and in the column ``removed`` the line numbers that went (null if none)."""
     doc, content = fresh("doc"), fresh("content")
-    gone = removed_lines(docs.select("doc_id", "text"), work, short).groupBy(F.col("doc_id").alias(doc), F.col("content").alias(content)).agg(
-        F.array_sort(F.collect_set("line_no")).alias(removed)
-    )
-    joined = docs.join(
-        work.put(gone, "removed-lines").hint("merge"),
-        docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(content)),
-        "left",
-    ).drop(doc, content)
+    with Staged(docs.sparkSession) as work:
+        gone = removed_lines(docs.select("doc_id", "text"), work).groupBy(F.col("doc_id").alias(doc), F.col("content").alias(content)).agg(
+            F.array_sort(F.collect_set("line_no")).alias(removed)
+        )
+        gone = Staged(docs.sparkSession).put(gone, "removed-lines")  # read by the plan returned
+    joined = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(content)), "left").drop(doc, content)
     lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(removed), i))
     return joined.withColumn("text", F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(lines, "\n")))
 
@@ -206,19 +259,18 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     """``(doc_id, text, removed)`` for every row of ``docs``: the text without the lines
     that go and their numbers, from 0.
 
-    Null texts stay null, empty ones empty; lines of fewer than ``MIN_WORDS`` words stay, except
-    exact repeats (once normalised) in scripts without blanks. Null ids come first. Rows repeated
+    Null texts stay null, empty ones empty; lines without a letter or digit stay, lines of fewer than
+    ``MIN_WORDS`` words go only if equal to another once normalised. Null ids come first. Rows repeated
     in full count as one occurrence and stay alike. Extra columns are not read; an empty table gives no rows.
     """
-    out = without_repeated_lines(docs.select("doc_id", "text"), Staged(docs.sparkSession), "removed")
+    out = without_repeated_lines(docs.select("doc_id", "text"), "removed")
     return out.select("doc_id", "text", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, short: bool = False) -> DataFrame:
-    """The rows of ``docs`` without repeated lines, columns unchanged; ``n_chars`` follows the text.
-    With ``short``, repeats of lines of fewer than ``MIN_WORDS`` words go as well, blank lines stay."""
+def dedup_lines(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without repeated lines, columns unchanged; ``n_chars`` follows the text."""
     removed = fresh("removed")
-    out = without_repeated_lines(docs, Staged(docs.sparkSession), removed, short)
+    out = without_repeated_lines(docs, removed)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         out = out.withColumn("n_chars", F.when(F.col(removed).isNull(), F.col("n_chars")).otherwise(length))
