@@ -220,7 +220,8 @@ def line_links(every: DataFrame, work: Staged) -> DataFrame:
     """``(a, b)``: links of distinct lines whose components are the groups of near copies."""
     lines = every.where(F.col("words") >= MIN_WORDS)
     links, wide = gap_links(lines, work)
-    opened = still_open(block_keys(with_components(simhashes(lines), links, work)), work)
+    prints = work.put(with_components(simhashes(lines), links, work), "simhashes")
+    opened = still_open(block_keys(prints), work)
     led = work.put(verified(work.put(leader_candidates(opened).union(wide).distinct(), "leader-candidates"), lines, work), "leader-links")
     links = links.unionAll(led)
     rest = still_open(with_components(opened, links, work), work)
