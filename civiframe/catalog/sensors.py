@@ -57,7 +57,7 @@ def _history_explode(t):
         "deveui", F.lit("past").alias("dataparameter"), F.lit(3600).alias("step")
     )
     flat = melt.expand_data(S.frames(t)).select("deveui", "timestamp", "kind", "past")
-    exploded = melt.explode_history(flat, "past", steps)
+    exploded = melt.explode_history(flat, "past", steps, each_copy=True)
     return exploded.select(
         "deveui", "timestamp", "kind", F.round(F.col("past")[0], 3).alias("past"),
         F.size("past").alias("n_values"),
