@@ -1,6 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
 from civiframe.operators.joins import spread_left_join
+from civiframe.operators.temporal import interval_join
 
 
 def hot_facts(spark):
@@ -51,3 +53,52 @@ def test_null_safe(spark):
     lookup = spark.createDataFrame([(None, 7)], "k string, v int")
     assert {r.id: r.v for r in spread_left_join(facts, lookup, [("k", "k")], null_safe=True).collect()} == {1: 7, 2: None}
     assert {r.id: r.v for r in spread_left_join(facts, lookup, [("k", "k")]).collect()} == {1: None, 2: None}
+
+
+@pytest.fixture
+def shuffled(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in settings if name != "spark.sql.adaptive.autoBroadcastJoinThreshold"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def keyless(spark):
+    """Three quarters of the rows have no key."""
+    return spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 4 == 0, F.col("id").cast("string")).alias("k"), "id")
+
+
+def most_in_a_task(joined):
+    return max(r["count"] for r in joined.where("k is null").select(F.spark_partition_id().alias("p"), "id", "v").groupBy("p").count().collect())
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_facts_without_a_key_are_dealt(spark, shuffled, null_safe):
+    facts = keyless(spark)
+    lookup = spark.createDataFrame([(None, 7), ("4", 8), ("8", 9)], "o string, v int")
+    joined = spread_left_join(facts, lookup, [("k", "o")], null_safe=null_safe)
+    assert most_in_a_task(joined) < 6_000
+    found = {(r.v, r["count"]) for r in joined.groupBy("v").count().collect()}
+    assert found == ({(7, 30_000), (8, 1), (9, 1), (None, 9_998)} if null_safe else {(8, 1), (9, 1), (None, 39_998)})
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+@pytest.mark.parametrize("versions_of_two", [1, 40])
+def test_facts_without_a_key_are_dealt_over_intervals(spark, shuffled, null_safe, versions_of_two):
+    """Also beside an indexed key, which makes all facts go through the second join."""
+    facts = keyless(spark)
+    rows = [(None, 7, 0, 19_999), (None, 70, 20_000, None), ("4", 8, 0, 100)]
+    rows += [("8", 100 + i, i * 10, i * 10 + 9) for i in range(versions_of_two)]
+    versions = spark.createDataFrame(rows, "o string, v int, first long, last long")
+    joined = interval_join(facts, versions, [("k", "o")], "id", "first", "last", null_safe=null_safe)
+    assert most_in_a_task(joined) < 6_000
+    found = {(r.v, r["count"]) for r in joined.groupBy("v").count().collect()}
+    assert found == ({(7, 15_000), (70, 15_000), (8, 1), (100, 1), (None, 9_998)} if null_safe else {(8, 1), (100, 1), (None, 39_998)})
