@@ -141,9 +141,9 @@ def read_variant_frames(
     and the day, ``data`` a VARIANT. Nothing is inferred and no schema is given, so days of
     different structures are one scan. A file holds frames or arrays of them."""
     raw = _below(spark.read.option("singleVariantColumn", "_file").option("multiLine", multi_line), base).json(path)
-    several = F.schema_of_variant("_file").startswith("ARRAY")
-    frames = F.when(several, F.try_variant_get("_file", "$", "array<variant>")).otherwise(F.array("_file"))
-    each = raw.withColumn("_frame", F.explode(frames))
+    frames = F.coalesce(F.try_variant_get("_file", "$", "array<variant>"), F.array("_file"))
+    # the frames of a file are one value first, so that the filter of the second explode does not read the file again
+    each = raw.select(*[c for c in raw.columns if c != "_file"], F.explode(F.array(frames)).alias("_frames")).withColumn("_frame", F.explode("_frames"))
     return each.select(
         F.try_variant_get("_frame", "$.deveui", "string").alias("deveui"),
         F.try_variant_get("_frame", "$.timestamp", "string").alias("timestamp"),
