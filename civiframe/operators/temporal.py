@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from civiframe.operators.joins import SPREAD, row_hash
+from civiframe.operators.joins import SPREAD
 
 #: A key with more versions than this has its intervals indexed; so many of the shortest
 #: version fit into a leaf of the index.
@@ -99,7 +99,7 @@ def interval_join(
 
     Facts without any key would be one task of either join. They are dealt over ``SPREAD`` places of the
     first, to which the entries without a key (``LEAF_VERSIONS`` at most) are sent if ``null_safe``. The
-    second deals facts that it need not look up by their content. The first is a merge join, as versions
+    second deals facts that it need not look up. Both go by the time of the fact. The first is a merge join, as versions
     grow with their keys and estimates from compressed files would broadcast them whole.
     """
     (moment, first, last), seconds = _moments((facts, ts), (versions, start), (versions, end))
@@ -138,9 +138,10 @@ def interval_join(
     of_span = together(same(names, [f"_of{n}" for n in names]))
     time = F.col("_moment")
     plain = known.select(*versions.columns, *names, "_first", "_last").join(other, of_span, "left_anti")
+    by_time = F.xxhash64(F.col(f"`{ts}`"))  # no other column is needed for it, so unused ones stay unread
     # of a key that is missing as a whole, facts are dealt over places and its entries sent to each of them
     places = F.when(together([F.lit(null_safe), *[F.col(n).isNull() for n in names]]), F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    place = F.when(together([F.col(f"`{k}`").isNull() for k in own_key]), F.pmod(row_hash(facts), F.lit(SPREAD)).cast("int"))
+    place = F.when(together([F.col(f"`{k}`").isNull() for k in own_key]), F.pmod(by_time, F.lit(SPREAD)).cast("int"))
     direct = plain.unionByName(spans, allowMissingColumns=True).withColumn("_at", F.explode(F.coalesce(places, F.array(F.lit(0)))))
     entry = F.when(F.col("_levels").isNotNull(), time.isNotNull()).otherwise(covers(end))
     placed = facts.withColumns({"_moment": moment, "_place": F.coalesce(place, F.lit(0))})
@@ -148,7 +149,7 @@ def interval_join(
 
     height = F.explode(F.when(F.col("_levels").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), F.col("_levels"))))
     # nodes are positive
-    node = F.when(F.col("_levels").isNotNull(), _ancestor(_leaf(seconds(time)), F.col("_height"))).otherwise(-F.pmod(row_hash(facts), F.lit(1 << 20)))
+    node = F.when(F.col("_levels").isNotNull(), _ancestor(_leaf(seconds(time)), F.col("_height"))).otherwise(-F.pmod(by_time, F.lit(1 << 20)))
     asked = met.drop("_first", "_last", "_place", "_at", *names).withColumn("_height", height).withColumn("_node", node)
     there = {c: f"_indexed_{c}" for c in versions.columns}
     listed = _listed(known.join(other, of_span), versions, names, F.col(end).isNull(), how == "left").withColumnsRenamed(there)
