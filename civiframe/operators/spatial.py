@@ -236,4 +236,4 @@ def attribute_places(
         {"latitude": "_latitude", "longitude": "_longitude"}
     )
     on = [("latitude", "_latitude"), ("longitude", "_longitude")]
-    return spread_left_join(facts, places, on, null_safe=True)
+    return spread_left_join(facts, places, on, null_safe=True, unsorted=True)

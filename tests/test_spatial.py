@@ -115,6 +115,23 @@ def test_no_nested_loop_join(spark, polygons, points):
         assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_facts_are_not_sorted_to_get_their_places(spark, polygons):
+    """A sort would hold a task's facts beside the state of what follows the join."""
+    facts = spark.createDataFrame([(1, 48.1, 3.0), (2, 48.1, 3.0), (3, None, None), (4, None, 3.0)], "id int, latitude double, longitude double")
+    areas = polygons.select("code_insee", F.lit(1).alias("commune_agglo"), "pieces")
+    quarters = polygons.select((F.col("code_insee") + 100).alias("nuquart"), "pieces")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed = spatial.attribute_places(facts, areas, quarters)
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        joins = [line for line in plan.splitlines() if "Join " in line]
+        assert "latitude" in joins[0] and "ShuffledHashJoin" in joins[0]
+        found = {r.id: r.code_insee for r in placed.collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert set(found) == {1, 2, 3, 4} and found[1] == found[2] is not None and found[3] is None and found[4] is None
+
+
 def ragged(n, x, y, radius, rough=0.3):
     """A star-like outline of ``n`` edges whose corners lie up to ``rough`` of the radius inside it."""
     rng = random.Random(n)
