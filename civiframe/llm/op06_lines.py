@@ -109,9 +109,11 @@ def gap_keys(lines: DataFrame) -> DataFrame:
     gaps = cells.selectExpr("h", "len", "words", "w", first("g0", "g1") + " as g", first("k", "k - p0") + " as i", first("p0", "p1") + " as p")
     gaps = gaps.selectExpr("*", "cast(i * g div p as int) as before", "cast(g - (i + 1) * g div p as int) as after")
     gaps = gaps.withColumn("gap", F.expr("length(array_join(slice(w, before + 1, words - before - after), ' ')) - 1e-9"))
-    gaps = gaps.where(f"gap <= if(words < {SHORT}, {WIDE}, {round(1 - SIMILARITY, 6)}) * len")
+    narrow = f"gap <= {round(1 - SIMILARITY, 6)}D * len"  # a double: decimals cost more than the rest of the test
+    gaps = gaps.where(f"gap <= if(words < {SHORT}, {WIDE}D, {round(1 - SIMILARITY, 6)}D) * len")
     key = "xxhash64(slice(w, 1, before), slice(w, words - after + 1, after), g, i)"
-    return gaps.selectExpr("h", f"{key} as key", f"gap <= {round(1 - SIMILARITY, 6)} * len as narrow")
+    # of longer lines only narrow gaps are left
+    return gaps.selectExpr("h", f"{key} as key", f"words >= {SHORT} or {narrow} as narrow")
 
 
 def dropped_words(lines: DataFrame) -> DataFrame:

@@ -187,6 +187,17 @@ def test_edges(frame):
     assert kept.schema == docs.schema and {(r.doc_id, r.text, r.n_chars) for r in kept.collect()} == {(1, text, 30), (2, "", 0)}
 
 
+def test_gaps_are_measured_without_decimals(spark):
+    """A word of more than 35 % is no gap of 5 words; of 16 words no part above a fifth is left."""
+    rows = [(1, "ab cd ef gh ijklmno", 5), (2, " ".join(["ab"] * 15 + ["abcdefghijklmnopqrstuvwxyz"]), 16)]
+    lines = spark.createDataFrame(rows, "h long, norm string, words int").selectExpr("*", "length(norm) as len")
+    keys = op.gap_keys(lines)
+    assert "decimal" not in keys._jdf.queryExecution().optimizedPlan().toString()
+    found = Counter((r.h, r.narrow) for r in keys.collect())
+    assert found[1, True] == 4 and found[2, False] == 0 and found[2, True] > 0
+    assert found[1, False] == 0
+
+
 def test_short_lines_repeat_exactly(frame):
     """Equal lines go whatever their length; blank lines stay."""
     han, thai = "这是一行没有空格的很长的文字它在两个文件里都出现", "นี่คือบรรทัดยาวที่ไม่มีช่องว่าง"
