@@ -42,48 +42,57 @@ WIDE = 0.35
 FEW_EDITS = 12
 #: Bits of the filter that lets rows pass whose key may be needed; its size is fixed.
 FILTER_BITS = 1 << 24
-#: Most words of a line whose bits are counted in 16 bits; the highest stays free.
-COUNTED = (1 << 15) - 1
+#: Most words of a line whose bits are counted in 16 bits; the two highest stay free.
+COUNTED = (1 << 14) - 1
 
 
-def normalised(line: Column) -> Column:
-    """Lower-cased runs of letters and digits with a blank between them."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[^\p{L}\p{N}]+", " "))
+def once(rows: DataFrame, *columns: Column) -> DataFrame:
+    """``rows`` with further columns that later filters cannot pull apart and compute again."""
+    return rows.select("*", F.inline(F.array(F.struct(*columns))))
+
+
+def normalised(text: Column) -> Column:
+    """Lower-cased runs of letters and digits with a blank between them, line by line.
+
+    Single blanks are left alone, so that only other marks cost a replacement; a line may begin or end with a blank.
+    """
+    mark = r"[^\p{L}\p{N}\n]"
+    return F.regexp_replace(F.lower(text), rf"{mark}(?:(?<! ){mark}*+|{mark}++)", " ")
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """``(doc_id, content, line_no, norm)``: the lines of every text that are not blank once
     normalised; ``content`` is a hash of the text."""
-    each = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("content"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return each.select("doc_id", "content", "line_no", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+    texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("content"), "text")
+    texts = once(texts, F.split(normalised(F.col("text")), "\n").alias("lines"))
+    each = texts.select("doc_id", "content", F.posexplode("lines").alias("line_no", "line"))
+    return each.select("doc_id", "content", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """``(h, norm, n, len, words)`` of every distinct line; ``n``: occurrences."""
+    words = "length(norm) - length(replace(norm, ' ', '')) + 1"
     return (
         lines_of(docs).groupBy("norm").agg(F.count("*").alias("n"))
-        .select(F.xxhash64("norm").alias("h"), "norm", "n", F.length("norm").alias("len"), F.size(F.split("norm", " ")).alias("words"))
+        .select(F.xxhash64("norm").alias("h"), "norm", "n", F.length("norm").alias("len"), F.expr(words).alias("words"))
     )
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
     """``(h, n, len, sim)`` of distinct lines.
 
-    Every sum holds the counts of 64 / width bits in fields of ``width`` bits.
+    Every sum holds the counts of 64 / width bits in fields of ``width`` bits; a number added to all fields
+    lifts those above half the words to the field's last bit but one.
     """
     parts = []
     for width, some in ((16, f"words <= {COUNTED}"), (32, f"words > {COUNTED}")):
-        fields = 64 // width
-        unit = sum(1 << (width * f) for f in range(fields))
+        unit = sum(1 << (width * f) for f in range(64 // width))
         each = lines.where(some).select("h", "n", "len", F.explode(F.split("norm", " ")).alias("w")).select("h", "n", "len", F.xxhash64("w").alias("x"))
         sums = [F.sum(F.expr(f"shiftrightunsigned(x, {k}) & {unit}L")).alias(f"s{k}") for k in range(width)]
         counted = each.groupBy("h").agg(F.count("*").alias("words"), F.max("n").alias("n"), F.max("len").alias("len"), *sums)
-        bits = " | ".join(
-            f"if(2 * (shiftrightunsigned(s{k}, {width * f}) & {(1 << width) - 1}L) > words, shiftleft(1L, {k + width * f}), 0L)"
-            for k in range(width)
-            for f in range(fields)
-        )
-        parts.append(counted.select("h", "n", "len", F.expr(bits).alias("sim")))
+        lift = f"({(1 << (width - 2)) - 1} - words div 2) * {unit}L"
+        bits = " | ".join(f"shiftleft(shiftrightunsigned(s{k} + lift, {width - 2}) & {unit}L, {k})" for k in range(width))
+        parts.append(counted.withColumn("lift", F.expr(lift)).select("h", "n", "len", F.expr(bits).alias("sim")))
     return parts[0].unionAll(parts[1])
 
 
@@ -101,38 +110,51 @@ def gap_keys(lines: DataFrame) -> DataFrame:
     of the line: any two lines for which the key is narrow are similar.
     """
     own, less = F.expr(_cell("words")), F.expr(_cell("(words - 1)"))
-    cells = lines.select("h", "len", "words", F.split("norm", " ").alias("w"), own.alias("g0"), less.alias("g1"))
+    cells = lines.select("h", "norm", "len", "words", own.alias("g0"), less.alias("g1"))
     cells = cells.select(
         "*", F.expr(f"if(g0 < {SHORT}, g0, {PARTS})").alias("p0"), F.expr(f"if(g1 <> g0 and g1 >= {SHORT}, {PARTS}, 0)").alias("p1")
     ).select("*", F.explode(F.expr("sequence(0, p0 + p1 - 1)")).alias("k"))
     first = "if(k < p0, {}, {})".format
-    gaps = cells.selectExpr("h", "len", "words", "w", first("g0", "g1") + " as g", first("k", "k - p0") + " as i", first("p0", "p1") + " as p")
+    gaps = cells.selectExpr("h", "norm", "len", "words", first("g0", "g1") + " as g", first("k", "k - p0") + " as i", first("p0", "p1") + " as p")
     gaps = gaps.selectExpr("*", "cast(i * g div p as int) as before", "cast(g - (i + 1) * g div p as int) as after")
-    gaps = gaps.withColumn("gap", F.expr("length(array_join(slice(w, before + 1, words - before - after), ' ')) - 1e-9"))
+    gaps = once(gaps, *around("before", "after"))
     narrow = f"gap <= {round(1 - SIMILARITY, 6)}D * len"  # a double: decimals cost more than the rest of the test
+    gaps = gaps.withColumn("gap", F.expr("len - length(head) - length(tail) - if(before > 0, 1, 0) - if(after > 0, 1, 0) - 1e-9D"))
     gaps = gaps.where(f"gap <= if(words < {SHORT}, {WIDE}D, {round(1 - SIMILARITY, 6)}D) * len")
-    key = "xxhash64(slice(w, 1, before), slice(w, words - after + 1, after), g, i)"
     # of longer lines only narrow gaps are left
-    return gaps.selectExpr("h", f"{key} as key", f"words >= {SHORT} or {narrow} as narrow")
+    return once(gaps, F.expr("xxhash64(head, tail, g, i)").alias("key"), F.expr(f"words >= {SHORT} or {narrow}").alias("narrow")).select("h", "key", "narrow")
+
+
+def around(before: str, after: str) -> tuple[Column, Column]:
+    """``head`` and ``tail``: the first and last words of a line, ``before`` and ``after`` many."""
+    return F.expr(f"substring_index(norm, ' ', {before})").alias("head"), F.expr(f"substring_index(norm, ' ', -({after}))").alias("tail")
 
 
 def dropped_words(lines: DataFrame) -> DataFrame:
     """``(h, key)``: hashes of lines of at most ``SHORT`` words without one of their words, where the rest is similar."""
-    some = lines.where(f"words <= {SHORT} and words > {MIN_WORDS}").select("h", "len", F.split("norm", " ").alias("w"))
-    each = some.select("h", "len", "w", F.posexplode("w").alias("at", "word"))
-    rest = "array_join(concat(slice(w, 1, at), slice(w, at + 2, size(w))), ' ')"
-    return each.where(f"length(word) + 1 <= {round(1 - SIMILARITY, 6)} * len + 1e-9").select("h", F.expr(f"xxhash64({rest})").alias("key"))
+    some = lines.where(f"words <= {SHORT} and words > {MIN_WORDS}").select("h", "len", "norm", "words")
+    each = once(some.select("*", F.explode(F.expr("sequence(0, words - 1)")).alias("at")), *around("at", "words - 1 - at"))
+    rest = once(each, F.expr("concat(head, if(at > 0 and at < words - 1, ' ', ''), tail)").alias("rest"))
+    near = rest.where(f"len - length(rest) <= {round(1 - SIMILARITY, 6)}D * len + 1e-9D")
+    return once(near, F.expr("xxhash64(rest)").alias("key")).select("h", "key")
 
 
-def passing(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
-    """The rows whose 64-bit ``column`` may occur in that of ``wanted``: a filter of fixed size
-    has a bit for each value that occurs and keeps most other rows from a shuffle."""
+def marked(rows: DataFrame, column: str, wanted: DataFrame, mark: str) -> DataFrame:
+    """``rows`` with ``mark``: false if the 64-bit ``column`` does not occur in that of ``wanted``, by a
+    filter of fixed size with a bit for each value that occurs."""
+    word, bits = fresh("word"), fresh("bits")
     bit = f"pmod({column}, {FILTER_BITS})"
-    word = F.expr(f"cast({bit} div 64 as int)")
+    at = F.expr(f"cast({bit} div 64 as int)")
     # at most FILTER_BITS / 64 rows
-    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({bit} % 64 as int))")).alias("bits"))
-    passed = rows.withColumn("word", word).join(F.broadcast(bitmap), "word").where(f"(shiftrightunsigned(bits, cast({bit} % 64 as int)) & 1L) = 1")
-    return passed.drop("word", "bits")
+    bitmap = wanted.groupBy(at.alias(word)).agg(F.bit_or(F.expr(f"shiftleft(1L, cast({bit} % 64 as int))")).alias(bits))
+    joined = rows.withColumn(word, at).join(F.broadcast(bitmap), word, "left")
+    return joined.withColumn(mark, F.expr(f"coalesce((shiftrightunsigned({bits}, cast({bit} % 64 as int)) & 1L) = 1, false)")).drop(word, bits)
+
+
+def passing(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose 64-bit ``column`` may occur in that of ``wanted``; most others are kept from a shuffle."""
+    mark = fresh("mark")
+    return marked(rows, column, wanted, mark).where(mark).drop(mark)
 
 
 def gap_links(lines: DataFrame, work: Staged) -> tuple[DataFrame, DataFrame]:
@@ -253,7 +275,12 @@ def without_repeated_lines(docs: DataFrame, removed: str) -> DataFrame:
             F.array_sort(F.collect_set("line_no")).alias(removed)
         )
         gone = Staged(docs.sparkSession).put(gone, "removed-lines")  # read by the plan returned
-    joined = docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(content)), "left").drop(doc, content)
+    # only texts that may lose lines are shuffled
+    own, mark = fresh("own"), fresh("mark")
+    texts = marked(docs.withColumn(own, F.xxhash64("text")), own, gone.select(F.col(content).alias(own)), mark)
+    some = texts.where(mark).join(gone.hint("merge"), F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own) == F.col(content)), "left")
+    others = texts.where(~F.col(mark)).withColumn(removed, F.lit(None).cast("array<int>"))
+    joined = some.select(*docs.columns, removed).unionAll(others.select(*docs.columns, removed))
     lines = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col(removed), i))
     return joined.withColumn("text", F.when(F.col(removed).isNull(), F.col("text")).otherwise(F.array_join(lines, "\n")))
 

@@ -198,6 +198,36 @@ def test_gaps_are_measured_without_decimals(spark):
     assert found[1, False] == 0
 
 
+def test_costly_steps_are_computed_once(spark):
+    """Neither the pattern nor a key stands in a filter as well; texts that keep all lines are not shuffled."""
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    docs = spark.createDataFrame([(1, "one line\nanother")], "doc_id long, text string")
+    assert plan(op.lines_of(docs)).count("regexp_replace") == 1
+    lines = spark.createDataFrame([(1, "ab cd ef gh ij", 14, 5)], "h long, norm string, len int, words int")
+    keyed = op.passing(op.gap_keys(lines), "key", spark.range(3).selectExpr("id as key"))
+    assert plan(keyed).count("xxhash64") == 1
+    assert "Union" in plan(op.line_dedup(docs))
+
+
+def test_marks_become_single_blanks(spark):
+    rng = random.Random(3)
+    letters = "abAΣσİıßÉé  \t\n\n\r.,-!٣²Ⅷ中文ั่😀\u0345\x0b\x00"
+    rows = [(k, "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))) for k in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    each = docs.selectExpr("doc_id", r"posexplode(split(text, '\n')) as (line_no, line)")
+    wanted = each.selectExpr("doc_id", "line_no", r"trim(regexp_replace(lower(line), r'[^\p{L}\p{N}]+', ' ')) as norm").where("norm <> ''")
+    got = op.lines_of(docs).select("doc_id", "line_no", "norm")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_simhashes_of_short_and_very_long_lines(spark):
+    rng = random.Random(2)
+    norms = [" ".join(f"w{rng.randrange(900)}" for _ in range(n)) for n in (5, 6, 40, 41, op.COUNTED, op.COUNTED + 1)] + [" ".join(["same"] * op.COUNTED)]
+    docs = spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")
+    got = sorted(r.sim % (1 << 64) for r in op.simhashes(op.distinct_lines(docs)).collect())
+    assert got == sorted(map(simhash, norms))
+
+
 def test_short_lines_repeat_exactly(frame):
     """Equal lines go whatever their length; blank lines stay."""
     han, thai = "这是一行没有空格的很长的文字它在两个文件里都出现", "นี่คือบรรทัดยาวที่ไม่มีช่องว่าง"
