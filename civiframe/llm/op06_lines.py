@@ -44,6 +44,10 @@ FEW_EDITS = 12
 FILTER_BITS = 1 << 24
 #: Most words of a line whose bits are counted in 16 bits; the two highest stay free.
 COUNTED = (1 << 14) - 1
+#: Most words of a line whose bits are counted in 8 bits.
+FEW_COUNTED = (1 << 7) - 1
+#: Words up to this length are compared with each other; longer ones count as changed in full.
+WORD = 32
 
 
 def once(rows: DataFrame, *columns: Column) -> DataFrame:
@@ -69,31 +73,38 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return each.select("doc_id", "content", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
 
 
+def occurrences(docs: DataFrame) -> DataFrame:
+    """``(doc_id, content, line_no, h, norm, len, words)`` of every line that is not blank."""
+    words = "length(norm) - length(replace(norm, ' ', '')) + 1"
+    return lines_of(docs).select("doc_id", "content", "line_no", F.xxhash64("norm").alias("h"), "norm", F.length("norm").alias("len"), F.expr(words).alias("words"))
+
+
 def distinct_lines(docs: DataFrame) -> DataFrame:
     """``(h, norm, n, len, words)`` of every distinct line; ``n``: occurrences."""
-    words = "length(norm) - length(replace(norm, ' ', '')) + 1"
-    return (
-        lines_of(docs).groupBy("norm").agg(F.count("*").alias("n"))
-        .select(F.xxhash64("norm").alias("h"), "norm", "n", F.length("norm").alias("len"), F.expr(words).alias("words"))
-    )
+    return occurrences(docs).groupBy("h", "norm", "len", "words").agg(F.count("*").alias("n"))
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
-    """``(h, n, len, sim)`` of distinct lines.
+    """``(h, n, len, sim)`` of every row of ``lines``.
 
     Every sum holds the counts of 64 / width bits in fields of ``width`` bits; a number added to all fields
-    lifts those above half the words to the field's last bit but one.
+    lifts those above half the words to the field's last bit (the last field is taken by itself, as sums are signed).
     """
     parts = []
-    for width, some in ((16, f"words <= {COUNTED}"), (32, f"words > {COUNTED}")):
-        unit = sum(1 << (width * f) for f in range(64 // width))
-        each = lines.where(some).select("h", "n", "len", F.explode(F.split("norm", " ")).alias("w")).select("h", "n", "len", F.xxhash64("w").alias("x"))
+    for width, some in ((8, f"words <= {FEW_COUNTED}"), (16, f"words > {FEW_COUNTED} and words <= {COUNTED}"), (32, f"words > {COUNTED}")):
+        fields, top = 64 // width, 64 - width
+        unit = sum(1 << (width * f) for f in range(fields))
+        rows = lines.where(some).select("h", "n", "len", "norm", F.monotonically_increasing_id().alias("row"))
+        each = rows.select("h", "n", "len", "row", F.explode(F.split("norm", " ")).alias("w")).withColumn("x", F.xxhash64("w"))
         sums = [F.sum(F.expr(f"shiftrightunsigned(x, {k}) & {unit}L")).alias(f"s{k}") for k in range(width)]
-        counted = each.groupBy("h").agg(F.count("*").alias("words"), F.max("n").alias("n"), F.max("len").alias("len"), *sums)
-        lift = f"({(1 << (width - 2)) - 1} - words div 2) * {unit}L"
-        bits = " | ".join(f"shiftleft(shiftrightunsigned(s{k} + lift, {width - 2}) & {unit}L, {k})" for k in range(width))
-        parts.append(counted.withColumn("lift", F.expr(lift)).select("h", "n", "len", F.expr(bits).alias("sim")))
-    return parts[0].unionAll(parts[1])
+        # copies of a line stay apart, so that no field overflows
+        counted = each.groupBy("row").agg(F.max("h").alias("h"), F.max("n").alias("n"), F.max("len").alias("len"), F.count("*").alias("words"), *sums)
+        counted = counted.withColumn("lift", F.expr(f"{(1 << (width - 1)) - 1} - words div 2"))
+        lower, low_unit = (1 << top) - 1, unit - (1 << top)
+        bits = [f"shiftleft(shiftrightunsigned((s{k} & {lower}L) + lift * {low_unit}L, {width - 1}) & {low_unit}L, {k})" for k in range(width)]
+        bits += [f"shiftleft(shiftrightunsigned(shiftrightunsigned(s{k}, {top}) + lift, {width - 1}) & 1L, {top + k})" for k in range(width)]
+        parts.append(counted.select("h", "n", "len", F.expr(" | ".join(bits)).alias("sim")))
+    return parts[0].unionAll(parts[1]).unionAll(parts[2])
 
 
 def _cell(words: str) -> str:
@@ -102,6 +113,27 @@ def _cell(words: str) -> str:
     return f"shiftleft(shiftright({words}, {shift}), {shift})"
 
 
+def halves(lines: DataFrame) -> DataFrame:
+    """``(h, norm, len, words, g, p, side, ahead)``: each half of a line of at least ``MIN_WORDS`` words, at each number of
+    words ``g`` that it takes part at with ``p`` parts. Half 0 is its first ``ahead`` words, half 1 its last ``g - ahead``."""
+    own, less = F.expr(_cell("words")), F.expr(_cell("(words - 1)"))
+    cells = lines.select("h", "norm", "len", "words", own.alias("g0"), less.alias("g1"))
+    cells = cells.select(
+        "*", F.expr(f"if(g0 < {SHORT}, g0, {PARTS})").alias("p0"), F.expr(f"if(g1 <> g0 and g1 >= {SHORT}, {PARTS}, 0)").alias("p1")
+    ).select("*", F.explode(F.expr("sequence(0, if(p1 > 0, 3, 1))")).alias("k"))
+    first = "if(k < 2, {}, {})".format
+    sides = cells.selectExpr("h", "norm", "len", "words", first("g0", "g1") + " as g", first("p0", "p1") + " as p", "k % 2 as side")
+    return sides.selectExpr("*", "cast(p div 2 * g div p as int) as ahead")
+
+
+def shared_halves(lines: DataFrame, work: Staged) -> DataFrame:
+    """The halves that occur in several lines. A gap lies in one half, so lines of one key have the other one in common."""
+    text = "if(side = 0, substring_index(norm, ' ', ahead), substring_index(norm, ' ', ahead - g))"
+    hashed = once(halves(lines), F.expr(f"xxhash64({text}, side, g)").alias("half"))
+    shared = hashed.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("half")
+    return passing(hashed, "half", work.put(shared, "shared-halves"))
+
+
 def gap_keys(lines: DataFrame) -> DataFrame:
     """``(h, key, narrow)``: for each part of a line a hash of the words before and after it.
 
@@ -109,13 +141,13 @@ def gap_keys(lines: DataFrame) -> DataFrame:
     Lines of one key differ in the gap only. It is narrow if its characters are at most 1 - ``SIMILARITY``
     of the line: any two lines for which the key is narrow are similar.
     """
-    own, less = F.expr(_cell("words")), F.expr(_cell("(words - 1)"))
-    cells = lines.select("h", "norm", "len", "words", own.alias("g0"), less.alias("g1"))
-    cells = cells.select(
-        "*", F.expr(f"if(g0 < {SHORT}, g0, {PARTS})").alias("p0"), F.expr(f"if(g1 <> g0 and g1 >= {SHORT}, {PARTS}, 0)").alias("p1")
-    ).select("*", F.explode(F.expr("sequence(0, p0 + p1 - 1)")).alias("k"))
-    first = "if(k < p0, {}, {})".format
-    gaps = cells.selectExpr("h", "norm", "len", "words", first("g0", "g1") + " as g", first("k", "k - p0") + " as i", first("p0", "p1") + " as p")
+    return keys_beside(halves(lines))
+
+
+def keys_beside(some: DataFrame) -> DataFrame:
+    """The ``gap_keys`` whose gap lies in the other half than the one given."""
+    parts = "sequence(if(side = 0, cast(p div 2 as int), 0), if(side = 0, p, cast(p div 2 as int)) - 1)"
+    gaps = some.select("h", "norm", "len", "words", "g", "p", F.explode(F.expr(parts)).alias("i"))
     gaps = gaps.selectExpr("*", "cast(i * g div p as int) as before", "cast(g - (i + 1) * g div p as int) as after")
     gaps = once(gaps, *around("before", "after"))
     narrow = f"gap <= {round(1 - SIMILARITY, 6)}D * len"  # a double: decimals cost more than the rest of the test
@@ -160,13 +192,13 @@ def passing(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
 def gap_links(lines: DataFrame, work: Staged) -> tuple[DataFrame, DataFrame]:
     """Links ``(a, b)`` of lines with one line of each of their narrow gap keys and with what
     stays without a word; and candidates ``(a, b)`` by keys that are not narrow."""
-    keyed = gap_keys(lines)
+    keyed = work.put(keys_beside(shared_halves(lines, work)).distinct(), "gap-keys")
     least = F.coalesce(F.min(F.when(F.col("narrow"), F.col("h"))), F.min("h"))
     shared = keyed.groupBy("key").agg(least.alias("b"), F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("key", "b")
     shared = work.put(shared, "shared-gaps")
     met = work.put(passing(keyed, "key", shared).join(shared, "key").where("h <> b").select(F.col("h").alias("a"), "b", "narrow").distinct(), "met-in-gaps")
     rest = lines.where(f"words < {SHORT}").select(F.col("h").alias("b"))
-    dropped = passing(dropped_words(lines), "key", rest.select(F.col("b").alias("key"))).join(rest, F.col("key") == F.col("b"))
+    dropped = passing(dropped_words(lines), "key", rest.select(F.col("b").alias("key"))).distinct().join(rest.distinct(), F.col("key") == F.col("b"))
     links = met.where("narrow").select("a", "b").unionAll(dropped.select(F.col("h").alias("a"), "b"))
     return work.put(links.distinct(), "gap-links"), met.where("not narrow").select("a", "b")
 
@@ -224,11 +256,26 @@ def _let(name: str, value: str, body: str) -> str:
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
+def word_edits(x: str, y: str) -> str:
+    """SQL for a number of edits that turns one line into the other, word by word, so at least the edit distance.
+    It costs far less: a word that differs is left out if the next one fits, else it is replaced."""
+    size, step = "named_struct('j', {}, 'c', {})".format, []
+    step.append(f"when get(ys, s.j) is null then {size('s.j', 's.c + length(xs[i]) + 1')}")
+    step.append(f"when xs[i] = ys[s.j] then {size('s.j + 1', 's.c')}")
+    step.append(f"when xs[i] = get(ys, s.j + 1) then {size('s.j + 2', 's.c + length(ys[s.j]) + 1')}")
+    step.append(f"when get(xs, i + 1) = ys[s.j] then {size('s.j', 's.c + length(xs[i]) + 1')}")
+    step.append(f"when greatest(length(xs[i]), length(ys[s.j])) <= {WORD} then {size('s.j + 1', 's.c + levenshtein(xs[i], ys[s.j])')}")
+    step.append(f"else {size('s.j + 1', 's.c + greatest(length(xs[i]), length(ys[s.j]))')}")
+    left = "aggregate(slice(ys, s.j + 1, greatest(size(ys) - s.j, 0)), s.c, (c, w) -> c + length(w) + 1)"
+    edits = f"aggregate(sequence(0, size(xs) - 1), {size(0, 0)}, (s, i) -> case {' '.join(step)} end, s -> {left})"
+    return _let("xs", f"split({x}, ' ')", _let("ys", f"split({y}, ' ')", edits))
+
+
 def verified(candidates: DataFrame, lines: DataFrame, work: Staged) -> DataFrame:
     """The candidates ``(a, b)`` whose edit similarity is enough. The distance is that of
     what lies between the common beginning and the common end."""
     ends = work.put(candidates.selectExpr("a as h").unionAll(candidates.selectExpr("b as h")).distinct(), "candidate-ends")
-    texts = work.put(passing(lines.select("h", "norm"), "h", ends).join(ends, "h"), "candidate-lines")
+    texts = work.put(passing(lines.select("h", "norm"), "h", ends).distinct().join(ends, "h"), "candidate-lines")
     pairs = candidates.join(texts.selectExpr("h as a", "norm as x"), "a").join(texts.selectExpr("h as b", "norm as y"), "b")
     most = f"cast(floor({round(1 - SIMILARITY, 6)} * greatest(length(x), length(y)) + 1e-9) as int)"
     rest = "struct(reverse(substring(x, p + 1)) as x, reverse(substring(y, p + 1)) as y)"
@@ -237,14 +284,15 @@ def verified(candidates: DataFrame, lines: DataFrame, work: Staged) -> DataFrame
     ends = "struct(substring(r.x, q + 1) as x, substring(r.y, q + 1) as y)"
     near = _let("e", ends, f"{within(f'least({FEW_EDITS}, {most})')} or ({most} > {FEW_EDITS} and {within(most)})")
     near = _let("p", shared_start("x", "y"), _let("r", rest, _let("q", shared_start("r.x", "r.y"), near)))
-    return pairs.where(near).select("a", "b")
+    return pairs.where(f"{word_edits('x', 'y')} <= {most} or {near}").select("a", "b")
 
 
 def line_links(every: DataFrame, work: Staged) -> DataFrame:
-    """``(a, b)``: links of distinct lines whose components are the groups of near copies."""
+    """``(a, b)``: links of distinct lines whose components are the groups of near copies; ``every``: their occurrences."""
     lines = every.where(F.col("words") >= MIN_WORDS)
     links, wide = gap_links(lines, work)
-    prints = work.put(with_components(simhashes(lines), links, work), "simhashes")
+    prints = simhashes(lines.withColumn("n", F.lit(1))).groupBy("h", "len", "sim").agg(F.sum("n").alias("n"))
+    prints = work.put(with_components(prints, links, work), "simhashes")
     opened = still_open(block_keys(prints), work)
     led = work.put(verified(work.put(leader_candidates(opened).union(wide).distinct(), "leader-candidates"), lines, work), "leader-links")
     links = links.unionAll(led)
@@ -254,12 +302,12 @@ def line_links(every: DataFrame, work: Staged) -> DataFrame:
 
 def removed_lines(docs: DataFrame, work: Staged) -> DataFrame:
     """``(doc_id, content, line_no)`` of every occurrence that goes."""
-    every = work.put(distinct_lines(docs), "distinct-lines")
+    every = work.put(occurrences(docs), "lines")  # texts are normalised once; no line is shuffled with its text
     # only groups with several occurrences lose any
-    grouped = with_components(every.select("h", "n"), line_links(every, work), work)
+    grouped = with_components(every.groupBy("h").agg(F.count("*").alias("n")), line_links(every, work), work)
     several = grouped.groupBy("comp").agg(F.sum("n").alias("total")).where("total > 1")
     repeated = work.put(grouped.join(several, "comp").select("h", F.col("comp").alias("group")), "repeated-lines")
-    seen = lines_of(docs).select("doc_id", "content", "line_no", F.xxhash64("norm").alias("h"))
+    seen = every.select("doc_id", "content", "line_no", "h")
     placed = work.put(passing(seen, "h", repeated).join(repeated, "h").drop("h"), "repeated-occurrences")
     kept = placed.groupBy("group").agg(F.min(F.struct("doc_id", "content", "line_no")).alias("kept")).select("kept.*")
     key = ["doc_id", "content", "line_no"]

@@ -242,3 +242,60 @@ def test_provided_table(spark, folder):
     must = brute(table, certain)
     for r in op.op6_line_dedup(spark, folder).collect():
         assert r.n_removed >= len(must.get(r.doc_id, []))
+
+
+def test_only_shared_halves_give_gap_keys(spark):
+    """Of 400 lines without a common half no key is left; keys that lines share are those of all keys, at every length."""
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7)))
+    apart = [" ".join(word() for _ in range(rng.randint(16, 40))) for _ in range(400)]
+    near = []
+    for size in [*range(op.MIN_WORDS, 40), 64, 65, 130]:
+        base = [word() for _ in range(size)]
+        for at in range(size):
+            near.append(" ".join(base[:at] + [word()] + base[at + 1 :]))
+            near.append(" ".join(base[:at] + [word()] + base[at:]))
+
+    def lines(norms):
+        return op.distinct_lines(spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")).cache()
+
+    def shared(keyed):
+        members = {}
+        for r in keyed.collect():
+            members.setdefault(r.key, set()).add((r.h, r.narrow))
+        return {k: m for k, m in members.items() if len({h for h, _ in m}) > 1}
+
+    with Staged(spark) as work:
+        assert op.keys_beside(op.shared_halves(lines(apart), work)).count() == 0
+        assert shared(op.keys_beside(op.shared_halves(lines(near), work))) == shared(op.gap_keys(lines(near))) != {}
+
+
+def test_word_edits_bound_the_distance(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abé") for _ in range(rng.randint(1, 4)))
+    rows = []
+    for _ in range(400):
+        a = [word() for _ in range(rng.randint(1, 12))]
+        b = list(a)
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(b) + 1)
+            b[at : at + rng.randint(0, 1)] = [word()] * rng.randint(0, 1) or b[at + 1 : at + 2]
+        rows.append((" ".join(a), " ".join(b) or "a"))
+    long = "x" * (op.WORD + 1)
+    rows += [(f"{long} a", f"{long}y a"), ("a", "b c d"), ("a b c", "c"), ("one two three four", "one three four")]
+    got = spark.createDataFrame(rows, "x string, y string").selectExpr("x", "y", f"{op.word_edits('x', 'y')} as edits").collect()
+    assert all(r.edits >= distance(r.x, r.y) for r in got) and all(r.edits == 0 for r in got if r.x == r.y)
+    assert sum(r.edits == distance(r.x, r.y) for r in got) > 200
+    assert {r.x: r.edits for r in got}["one two three four"] == 4
+
+
+def test_frequent_lines_keep_their_simhash(frame):
+    """Copies of a line neither overflow the counts nor change the links."""
+    text = " ".join(f"word{k}" for k in range(100))
+    docs = frame([(k, text) for k in range(700)] + [(1000, text.replace("word50", "other"))])
+    with Staged(docs.sparkSession) as work:
+        every = work.put(op.occurrences(docs), "lines")
+        prints = {(r.h, r.sim) for r in op.simhashes(every.selectExpr("*", "1 as n")).collect()}
+        assert sorted(s % (1 << 64) for _, s in prints) == sorted({simhash(text), simhash(text.replace("word50", "other"))})
+    out = {r.doc_id: r.removed for r in op.line_dedup(docs).collect()}
+    assert out.pop(0) == [] and all(r == [0] for r in out.values())
