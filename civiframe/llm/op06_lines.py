@@ -40,12 +40,20 @@ PARTS = 12
 WIDE = 0.35
 #: Edits that are tried first.
 FEW_EDITS = 12
+#: Characters by which pairs are told that are hardly similar.
+BEGIN = 40
 #: Bits of the filter that lets rows pass whose key may be needed; its size is fixed.
 FILTER_BITS = 1 << 24
 #: Most words of a line whose bits are counted in 16 bits; the two highest stay free.
 COUNTED = (1 << 14) - 1
 #: Most words of a line whose bits are counted in 8 bits.
 FEW_COUNTED = (1 << 7) - 1
+#: More words than a line can have.
+ANY = (1 << 31) - 1
+#: Words of the lines whose texts are staged together.
+SIZES = ((1, SHORT), (SHORT + 1, FEW_COUNTED), (FEW_COUNTED + 1, ANY))
+#: Columns of the hashes of a line's halves, by ``2 * (one word less) + side``.
+HALVES = ("half0", "half1", "half2", "half3")
 #: Words up to this length are compared with each other; longer ones count as changed in full.
 WORD = 32
 
@@ -55,33 +63,52 @@ def once(rows: DataFrame, *columns: Column) -> DataFrame:
     return rows.select("*", F.inline(F.array(F.struct(*columns))))
 
 
-def normalised(text: Column) -> Column:
-    """Lower-cased runs of letters and digits with a blank between them, line by line.
+def blank_marks(text: Column) -> Column:
+    """Lower-cased text with a blank for each run of marks, those that are neither letter, digit nor end of line. Blanks before
+    a run, and several in a row, are left alone, so that words with one blank between them cost no replacement."""
+    mark, no_blank = r"[\P{L}&&[^\n\p{N}]]", r"[\P{L}&&[^ \n\p{N}]]"  # letters are told first
+    return F.regexp_replace(F.lower(text), rf"{no_blank}{mark}*+", " ")
 
-    Single blanks are left alone, so that only other marks cost a replacement; a line may begin or end with a blank.
-    """
-    mark = r"[^\p{L}\p{N}\n]"
-    return F.regexp_replace(F.lower(text), rf"{mark}(?:(?<! ){mark}*+|{mark}++)", " ")
+
+def single_blanks(text: Column) -> Column:
+    return F.when(F.contains(text, F.lit("  ")), F.regexp_replace(text, "  ++", " ")).otherwise(text)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
     """``(doc_id, content, line_no, norm)``: the lines of every text that are not blank once
     normalised; ``content`` is a hash of the text."""
     texts = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("content"), "text")
-    texts = once(texts, F.split(normalised(F.col("text")), "\n").alias("lines"))
+    texts = once(once(texts, blank_marks(F.col("text")).alias("plain")), F.split(single_blanks(F.col("plain")), "\n").alias("lines"))
     each = texts.select("doc_id", "content", F.posexplode("lines").alias("line_no", "line"))
-    return each.select("doc_id", "content", "line_no", F.trim("line").alias("norm")).where("norm <> ''")
+    # a filter on what is trimmed would trim it twice
+    return each.where("line not in ('', ' ')").select("doc_id", "content", "line_no", F.trim("line").alias("norm"))
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
-    """``(doc_id, content, line_no, h, norm, len, words)`` of every line that is not blank."""
-    words = "length(norm) - length(replace(norm, ' ', '')) + 1"
-    return lines_of(docs).select("doc_id", "content", "line_no", F.xxhash64("norm").alias("h"), "norm", F.length("norm").alias("len"), F.expr(words).alias("words"))
+    """``(doc_id, content, line_no, h, norm, len, words)`` and the ``half_hashes`` of every line that is not blank."""
+    words = F.expr("octet_length(norm) - octet_length(replace(norm, ' ', '')) + 1").alias("words")
+    lines = once(lines_of(docs).select("*", F.xxhash64("norm").alias("h")), F.length("norm").alias("len"), words)
+    return lines.select("doc_id", "content", "line_no", "h", "norm", "len", "words", *half_hashes())
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
-    """``(h, norm, n, len, words)`` of every distinct line; ``n``: occurrences."""
-    return occurrences(docs).groupBy("h", "norm", "len", "words").agg(F.count("*").alias("n"))
+    """``(h, norm, n, len, words)`` and the ``half_hashes`` of every distinct line; ``n``: occurrences."""
+    return occurrences(docs).groupBy("h", "norm", "len", "words", *HALVES).agg(F.count("*").alias("n"))
+
+
+def by_size(lines: DataFrame) -> DataFrame:
+    """``lines`` with a column of texts for each of ``SIZES``, so that who needs lines of one size reads no others."""
+    texts = [F.when(F.col("words").between(low, high), F.col("norm")).alias(f"norm{k}") for k, (low, high) in enumerate(SIZES)]
+    return lines.select(*[c for c in lines.columns if c != "norm"], *texts)
+
+
+def sized(lines: DataFrame, least: int, most: int) -> DataFrame:
+    """The lines of ``least`` to ``most`` words, with ``norm`` if they went through ``by_size``."""
+    some = lines.where(F.col("words").between(least, most))
+    if "norm" in lines.columns:
+        return some
+    texts = [f"norm{k}" for k, (low, high) in enumerate(SIZES) if low <= most and least <= high]
+    return some.withColumn("norm", F.coalesce(*texts))
 
 
 def simhashes(lines: DataFrame) -> DataFrame:
@@ -91,14 +118,14 @@ def simhashes(lines: DataFrame) -> DataFrame:
     lifts those above half the words to the field's last bit (the last field is taken by itself, as sums are signed).
     """
     parts = []
-    for width, some in ((8, f"words <= {FEW_COUNTED}"), (16, f"words > {FEW_COUNTED} and words <= {COUNTED}"), (32, f"words > {COUNTED}")):
+    for width, least, most in ((8, 1, FEW_COUNTED), (16, FEW_COUNTED + 1, COUNTED), (32, COUNTED + 1, ANY)):
         fields, top = 64 // width, 64 - width
         unit = sum(1 << (width * f) for f in range(fields))
-        rows = lines.where(some).select("h", "n", "len", "norm", F.monotonically_increasing_id().alias("row"))
-        each = rows.select("h", "n", "len", "row", F.explode(F.split("norm", " ")).alias("w")).withColumn("x", F.xxhash64("w"))
+        rows = sized(lines, least, most).select("h", "n", "len", "words", "norm", F.monotonically_increasing_id().alias("row"))
+        each = rows.select("h", "n", "len", "words", "row", F.explode(F.split("norm", " ")).alias("w")).withColumn("x", F.xxhash64("w"))
         sums = [F.sum(F.expr(f"shiftrightunsigned(x, {k}) & {unit}L")).alias(f"s{k}") for k in range(width)]
         # copies of a line stay apart, so that no field overflows
-        counted = each.groupBy("row").agg(F.max("h").alias("h"), F.max("n").alias("n"), F.max("len").alias("len"), F.count("*").alias("words"), *sums)
+        counted = each.groupBy("row", "h", "n", "len", "words").agg(*sums)
         counted = counted.withColumn("lift", F.expr(f"{(1 << (width - 1)) - 1} - words div 2"))
         lower, low_unit = (1 << top) - 1, unit - (1 << top)
         bits = [f"shiftleft(shiftrightunsigned((s{k} & {lower}L) + lift * {low_unit}L, {width - 1}) & {low_unit}L, {k})" for k in range(width)]
@@ -113,25 +140,45 @@ def _cell(words: str) -> str:
     return f"shiftleft(shiftright({words}, {shift}), {shift})"
 
 
+def _taken() -> tuple[str, str, str, str]:
+    """SQL for the numbers of words that a line takes part at, its own and one less, and for the parts at each (0: it does not)."""
+    own, less = _cell("words"), _cell("(words - 1)")
+    return own, less, f"if({own} < {SHORT}, {own}, {PARTS})", f"if({less} <> {own} and {less} >= {SHORT}, {PARTS}, 0)"
+
+
 def halves(lines: DataFrame) -> DataFrame:
-    """``(h, norm, len, words, g, p, side, ahead)``: each half of a line of at least ``MIN_WORDS`` words, at each number of
-    words ``g`` that it takes part at with ``p`` parts. Half 0 is its first ``ahead`` words, half 1 its last ``g - ahead``."""
-    own, less = F.expr(_cell("words")), F.expr(_cell("(words - 1)"))
-    cells = lines.select("h", "norm", "len", "words", own.alias("g0"), less.alias("g1"))
-    cells = cells.select(
-        "*", F.expr(f"if(g0 < {SHORT}, g0, {PARTS})").alias("p0"), F.expr(f"if(g1 <> g0 and g1 >= {SHORT}, {PARTS}, 0)").alias("p1")
-    ).select("*", F.explode(F.expr("sequence(0, if(p1 > 0, 3, 1))")).alias("k"))
+    """``(h, norm, len, words, g, p, side)``: each half of a line of at least ``MIN_WORDS`` words, at each number of
+    words ``g`` that it takes part at with ``p`` parts. Half 0 is its first words, half 1 its last."""
+    own, less, parts, fewer = _taken()
+    cells = lines.selectExpr("h", "norm", "len", "words", f"{own} as g0", f"{less} as g1", f"{parts} as p0", f"{fewer} as p1")
+    return _sides(cells.select("*", F.explode(F.expr("sequence(0, if(p1 > 0, 3, 1))")).alias("k")))
+
+
+def _sides(cells: DataFrame) -> DataFrame:
     first = "if(k < 2, {}, {})".format
-    sides = cells.selectExpr("h", "norm", "len", "words", first("g0", "g1") + " as g", first("p0", "p1") + " as p", "k % 2 as side")
-    return sides.selectExpr("*", "cast(p div 2 * g div p as int) as ahead")
+    return cells.selectExpr("h", "norm", "len", "words", first("g0", "g1") + " as g", first("p0", "p1") + " as p", "k % 2 as side")
+
+
+def half_hashes() -> list[Column]:
+    """``HALVES`` of lines with ``norm`` and ``words``; null where a line takes no part."""
+    own, less, parts, fewer = _taken()
+    columns = []
+    for k, name in enumerate(HALVES):
+        g, p, takes = (own, parts, f"words >= {MIN_WORDS}") if k < 2 else (less, str(PARTS), f"words >= {MIN_WORDS} and {fewer} > 0")
+        ahead = f"cast({p} div 2 * {g} div {p} as int)"
+        columns.append(F.expr(f"if({takes}, xxhash64(substring_index(norm, ' ', {ahead if k % 2 == 0 else f'{ahead} - {g}'}), {k % 2}, {g}), null)").alias(name))
+    return columns
 
 
 def shared_halves(lines: DataFrame, work: Staged) -> DataFrame:
     """The halves that occur in several lines. A gap lies in one half, so lines of one key have the other one in common."""
-    text = "if(side = 0, substring_index(norm, ' ', ahead), substring_index(norm, ' ', ahead - g))"
-    hashed = once(halves(lines), F.expr(f"xxhash64({text}, side, g)").alias("half"))
-    shared = hashed.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("half")
-    return passing(hashed, "half", work.put(shared, "shared-halves"))
+    each = lines.select("h", F.explode(F.array(*HALVES)).alias("half")).where("half is not null")
+    shared = each.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("half")
+    shared = work.put(shared, "shared-halves")
+    texts = sized(lines, MIN_WORDS, ANY).select("h", "norm", "len", "words", F.posexplode(F.array(*HALVES)).alias("k", "half"))
+    own, less, parts, fewer = _taken()
+    some = passing(texts.where("half is not null"), "half", shared)
+    return _sides(some.selectExpr("*", f"{own} as g0", f"{less} as g1", f"{parts} as p0", f"{fewer} as p1"))
 
 
 def gap_keys(lines: DataFrame) -> DataFrame:
@@ -164,7 +211,7 @@ def around(before: str, after: str) -> tuple[Column, Column]:
 
 def dropped_words(lines: DataFrame) -> DataFrame:
     """``(h, key)``: hashes of lines of at most ``SHORT`` words without one of their words, where the rest is similar."""
-    some = lines.where(f"words <= {SHORT} and words > {MIN_WORDS}").select("h", "len", "norm", "words")
+    some = sized(lines, MIN_WORDS + 1, SHORT).select("h", "len", "norm", "words")
     each = once(some.select("*", F.explode(F.expr("sequence(0, words - 1)")).alias("at")), *around("at", "words - 1 - at"))
     rest = once(each, F.expr("concat(head, if(at > 0 and at < words - 1, ' ', ''), tail)").alias("rest"))
     near = rest.where(f"len - length(rest) <= {round(1 - SIMILARITY, 6)}D * len + 1e-9D")
@@ -207,14 +254,16 @@ def block_keys(lines: DataFrame) -> DataFrame:
     """``lines`` once for each pair of SimHash blocks."""
     block = [f"(shiftrightunsigned(sim, {16 * k}) & 65535L)" for k in range(BLOCKS)]
     keys = [f"{i}L * 4294967296L + {block[a]} * 65536L + {block[b]}" for i, (a, b) in enumerate(combinations(range(BLOCKS), 2))]
-    return lines.withColumn("key", F.explode(F.expr(f"array({', '.join(keys)})")))
+    # hashed, as bits of blocks are uneven and the filter takes the last ones
+    return lines.withColumn("key", F.explode(F.expr(f"array({', '.join(keys)})"))).withColumn("key", F.xxhash64("key"))
 
 
 def still_open(keyed: DataFrame, work: Staged) -> DataFrame:
     """The rows of keys whose lines are not all in one component."""
     apart = keyed.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
     apart = work.put(apart, "open-keys")
-    return work.put(passing(keyed, "key", apart).join(apart, "key"), "open-lines")
+    # keys alone are small, and there is one row of each: no side needs sorting
+    return work.put(passing(keyed, "key", apart).join(apart.hint("shuffle_hash"), "key"), "open-lines")
 
 
 def with_components(lines: DataFrame, links: DataFrame, work: Staged) -> DataFrame:
@@ -271,11 +320,21 @@ def word_edits(x: str, y: str) -> str:
     return _let("xs", f"split({x}, ' ')", _let("ys", f"split({y}, ' ')", edits))
 
 
+def near_beginnings(x: str, y: str, most: str) -> str:
+    """SQL that holds for any two texts within ``most`` edits and fails for most others, at less cost than their distance.
+
+    If as much is left of y as of x, the beginnings are no farther apart than the texts: where the edits match the beginning of x
+    to some characters more or less of y, the rests differ by as many in length and need at least as many edits.
+    """
+    size = f"cast(9 * {most} div 5 as int)"
+    return f"levenshtein(substring({x}, 1, {size}), substring({y}, 1, {size} + length({y}) - length({x})), {most}) >= 0"
+
+
 def verified(candidates: DataFrame, lines: DataFrame, work: Staged) -> DataFrame:
     """The candidates ``(a, b)`` whose edit similarity is enough. The distance is that of
     what lies between the common beginning and the common end."""
     ends = work.put(candidates.selectExpr("a as h").unionAll(candidates.selectExpr("b as h")).distinct(), "candidate-ends")
-    texts = work.put(passing(lines.select("h", "norm"), "h", ends).distinct().join(ends, "h"), "candidate-lines")
+    texts = work.put(passing(sized(lines, MIN_WORDS, ANY).select("h", "norm"), "h", ends).distinct().join(ends, "h"), "candidate-lines")
     pairs = candidates.join(texts.selectExpr("h as a", "norm as x"), "a").join(texts.selectExpr("h as b", "norm as y"), "b")
     most = f"cast(floor({round(1 - SIMILARITY, 6)} * greatest(length(x), length(y)) + 1e-9) as int)"
     rest = "struct(reverse(substring(x, p + 1)) as x, reverse(substring(y, p + 1)) as y)"
@@ -284,35 +343,41 @@ def verified(candidates: DataFrame, lines: DataFrame, work: Staged) -> DataFrame
     ends = "struct(substring(r.x, q + 1) as x, substring(r.y, q + 1) as y)"
     near = _let("e", ends, f"{within(f'least({FEW_EDITS}, {most})')} or ({most} > {FEW_EDITS} and {within(most)})")
     near = _let("p", shared_start("x", "y"), _let("r", rest, _let("q", shared_start("r.x", "r.y"), near)))
-    return pairs.where(f"{word_edits('x', 'y')} <= {most} or {near}").select("a", "b")
+    # most pairs that are not similar begin unlike, and are told apart by their beginnings
+    begin = "levenshtein(substring({0}, 1, {2}), substring({1}, 1, {2}), {3}) >= 0".format("x", "y", BEGIN, BEGIN * 2 // 5)
+    likely = f"({begin} or {near_beginnings('x', 'y', most)})"
+    return pairs.where(f"{likely} and ({word_edits('x', 'y')} <= {most} or {near})").select("a", "b")
 
 
-def line_links(every: DataFrame, work: Staged) -> DataFrame:
-    """``(a, b)``: links of distinct lines whose components are the groups of near copies; ``every``: their occurrences."""
+def line_links(every: DataFrame, work: Staged) -> tuple[DataFrame, DataFrame]:
+    """``(a, b)``: links of distinct lines whose components are the groups of near copies; and ``(h, n)`` of the lines that may be
+    linked. ``every``: their occurrences; ``n``: how many."""
     lines = every.where(F.col("words") >= MIN_WORDS)
     links, wide = gap_links(lines, work)
-    prints = simhashes(lines.withColumn("n", F.lit(1))).groupBy("h", "len", "sim").agg(F.sum("n").alias("n"))
+    prints = simhashes(lines.withColumn("n", F.lit(1))).groupBy("h").agg(F.max("len").alias("len"), F.max("sim").alias("sim"), F.sum("n").alias("n"))
     prints = work.put(with_components(prints, links, work), "simhashes")
     opened = still_open(block_keys(prints), work)
     led = work.put(verified(work.put(leader_candidates(opened).union(wide).distinct(), "leader-candidates"), lines, work), "leader-links")
     links = links.unionAll(led)
     rest = still_open(with_components(opened, links, work), work)
-    return links.unionAll(work.put(verified(work.put(open_candidates(rest), "open-candidates"), lines, work), "open-links"))
+    links = links.unionAll(work.put(verified(work.put(open_candidates(rest), "open-candidates"), lines, work), "open-links"))
+    return links, prints.select("h", "n")
 
 
 def removed_lines(docs: DataFrame, work: Staged) -> DataFrame:
     """``(doc_id, content, line_no)`` of every occurrence that goes."""
-    every = work.put(occurrences(docs), "lines")  # texts are normalised once; no line is shuffled with its text
-    # only groups with several occurrences lose any
-    grouped = with_components(every.groupBy("h").agg(F.count("*").alias("n")), line_links(every, work), work)
-    several = grouped.groupBy("comp").agg(F.sum("n").alias("total")).where("total > 1")
-    repeated = work.put(grouped.join(several, "comp").select("h", F.col("comp").alias("group")), "repeated-lines")
+    every = work.put(by_size(occurrences(docs)), "lines")  # texts are normalised once; no line is shuffled with its text
+    links, counts = line_links(every, work)
+    # a line of a component has others beside it, any other is repeated if it occurs again
+    joined = components(links, work).selectExpr("node as h", "root as group")
+    short = every.where(F.col("words") < MIN_WORDS).groupBy("h").agg(F.count("*").alias("n"))
+    again = counts.unionAll(short).where("n > 1").selectExpr("h", "h as group")
+    repeated = work.put(joined.unionAll(again).groupBy("h").agg(F.min("group").alias("group")), "repeated-lines")
     seen = every.select("doc_id", "content", "line_no", "h")
     placed = work.put(passing(seen, "h", repeated).join(repeated, "h").drop("h"), "repeated-occurrences")
-    kept = placed.groupBy("group").agg(F.min(F.struct("doc_id", "content", "line_no")).alias("kept")).select("kept.*")
     key = ["doc_id", "content", "line_no"]
-    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
-    return placed.select(*key).alias("a").join(kept.alias("b"), same, "left_anti")
+    kept = placed.groupBy("group").agg(F.min(F.struct(*key)).alias("kept"))
+    return placed.join(kept, "group").where(f"not (struct({', '.join(key)}) <=> kept)").select(*key)
 
 
 def without_repeated_lines(docs: DataFrame, removed: str) -> DataFrame:

@@ -299,3 +299,61 @@ def test_frequent_lines_keep_their_simhash(frame):
         assert sorted(s % (1 << 64) for _, s in prints) == sorted({simhash(text), simhash(text.replace("word50", "other"))})
     out = {r.doc_id: r.removed for r in op.line_dedup(docs).collect()}
     assert out.pop(0) == [] and all(r == [0] for r in out.values())
+
+
+def test_texts_are_read_by_size_and_halves_without_them(spark):
+    """Who needs short lines reads no long ones; which halves are shared is told from hashes alone."""
+    rng = random.Random(7)
+    norms = [" ".join(f"w{rng.randrange(300)}" for _ in range(n)) for n in (1, 4, 5, op.SHORT, op.SHORT + 1, op.FEW_COUNTED, op.FEW_COUNTED + 1, 300) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(norms)), "doc_id long, text string")
+    with Staged(spark) as work:
+        every = work.put(op.by_size(op.occurrences(docs)), "lines")
+        assert sorted(r.norm for r in op.sized(every, 1, op.ANY).collect()) == sorted(norms)
+        got = {r.h: r.sim % (1 << 64) for r in op.simhashes(every.selectExpr("*", "1 as n")).collect()}
+        assert sorted(got.values()) == sorted(map(simhash, norms))
+        read = lambda df: set(re.findall(r"norm\d", df._jdf.queryExecution().executedPlan().toString()))
+        assert read(op.dropped_words(every)) == {"norm0"}
+        assert read(op.sized(every, op.FEW_COUNTED + 1, op.COUNTED).select("norm")) == {"norm2"}
+        plans = []
+        put = work.put
+        work.put = lambda df, name: plans.append(df) or put(df, name)
+        op.shared_halves(every, work)
+        assert not read(plans[0]) and "substring_index" not in plans[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_beginnings_are_no_farther_apart_than_texts(spark):
+    """Texts within the edits pass, at every length and difference of lengths; unrelated ones do not."""
+    rng = random.Random(11)
+    text = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    rows = []
+    for k in range(600):
+        a = text(rng.randint(5, 90))
+        b = list(a)
+        for _ in range(rng.randint(0, max(1, len(a) // 4))):  # many at one end, so that all else moves
+            at = rng.randrange(len(b) + 1) if k % 3 else rng.choice([0, len(b)])
+            b[at : at + rng.randint(0, 1)] = [text(1)] * rng.randint(0, 1)
+        rows.append((a, "".join(b) or "a"))
+    rows += [(text(n), text(n)) for n in range(60, 160)]
+    most = "cast(floor(0.2 * greatest(length(x), length(y)) + 1e-9) as int)"
+    got = spark.createDataFrame(rows, "x string, y string").selectExpr("x", "y", f"{most} as most", f"{op.near_beginnings('x', 'y', most)} as near").collect()
+    similar_ones = [r.near for r in got if distance(r.x, r.y) <= r.most]
+    assert len(similar_ones) > 200 and all(similar_ones)
+    assert sum(not r.near for r in got[600:]) > 90
+
+
+def test_unlike_pairs_are_told_apart_before_their_distance(spark):
+    """Verified pairs are the similar ones, whether they begin alike or not."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefg") for _ in range(rng.randint(2, 6)))
+    norms = []
+    for k in range(60):
+        base = [word() for _ in range(40)]
+        other = [word() for _ in range(40)] if k % 3 == 0 else [word() for _ in range(8)] + base[8:] if k % 3 == 1 else base[:30] + [word() for _ in range(rng.randint(4, 14))]
+        norms += [" ".join(base), " ".join(other)]
+    lines = spark.createDataFrame(list(enumerate(norms)), "h long, norm string").selectExpr("*", "40 as words")
+    with Staged(spark) as work:
+        got = {r.a // 2 for r in op.verified(spark.range(60).selectExpr("2 * id as a", "2 * id + 1 as b"), lines, work).collect()}
+    wanted = {k for k in range(60) if similar(norms[2 * k], norms[2 * k + 1])}
+    assert got == wanted and 20 < len(wanted) < 40
+    begin = lambda k: distance(norms[2 * k][: op.BEGIN], norms[2 * k + 1][: op.BEGIN]) > op.BEGIN * 2 // 5
+    assert any(begin(k) for k in wanted)
