@@ -88,7 +88,7 @@ def occurrences(docs: DataFrame) -> DataFrame:
     """``(doc_id, content, line_no, h, norm, len, words)`` and the ``half_hashes`` of every line that is not blank."""
     words = F.expr("octet_length(norm) - octet_length(replace(norm, ' ', '')) + 1").alias("words")
     lines = once(lines_of(docs).select("*", F.xxhash64("norm").alias("h")), F.length("norm").alias("len"), words)
-    return lines.select("doc_id", "content", "line_no", "h", "norm", "len", "words", *half_hashes())
+    return with_cells(lines).select("doc_id", "content", "line_no", "h", "norm", "len", "words", *half_hashes())
 
 
 def distinct_lines(docs: DataFrame) -> DataFrame:
@@ -140,18 +140,21 @@ def _cell(words: str) -> str:
     return f"shiftleft(shiftright({words}, {shift}), {shift})"
 
 
-def _taken() -> tuple[str, str, str, str]:
-    """SQL for the numbers of words that a line takes part at, its own and one less, and for the parts at each (0: it does not)."""
-    own, less = _cell("words"), _cell("(words - 1)")
-    return own, less, f"if({own} < {SHORT}, {own}, {PARTS})", f"if({less} <> {own} and {less} >= {SHORT}, {PARTS}, 0)"
+def _parts() -> list[Column]:
+    """``p0`` and ``p1``: the parts of a line at its own number of words ``g0`` and at one less ``g1`` (0: it takes no part there)."""
+    return [F.expr(f"if(g0 < {SHORT}, g0, {PARTS})").alias("p0"), F.expr(f"if(g1 <> g0 and g1 >= {SHORT}, {PARTS}, 0)").alias("p1")]
+
+
+def with_cells(lines: DataFrame) -> DataFrame:
+    """``lines`` with the numbers of words ``g0`` and ``g1`` and their ``_parts``."""
+    cells = once(lines, F.expr(_cell("words")).alias("g0"), F.expr(_cell("(words - 1)")).alias("g1"))
+    return cells.select("*", *_parts())
 
 
 def halves(lines: DataFrame) -> DataFrame:
     """``(h, norm, len, words, g, p, side)``: each half of a line of at least ``MIN_WORDS`` words, at each number of
     words ``g`` that it takes part at with ``p`` parts. Half 0 is its first words, half 1 its last."""
-    own, less, parts, fewer = _taken()
-    cells = lines.selectExpr("h", "norm", "len", "words", f"{own} as g0", f"{less} as g1", f"{parts} as p0", f"{fewer} as p1")
-    return _sides(cells.select("*", F.explode(F.expr("sequence(0, if(p1 > 0, 3, 1))")).alias("k")))
+    return _sides(with_cells(lines).select("*", F.explode(F.expr("sequence(0, if(p1 > 0, 3, 1))")).alias("k")))
 
 
 def _sides(cells: DataFrame) -> DataFrame:
@@ -160,11 +163,10 @@ def _sides(cells: DataFrame) -> DataFrame:
 
 
 def half_hashes() -> list[Column]:
-    """``HALVES`` of lines with ``norm`` and ``words``; null where a line takes no part."""
-    own, less, parts, fewer = _taken()
+    """``HALVES`` of lines ``with_cells``; null where a line takes no part."""
     columns = []
     for k, name in enumerate(HALVES):
-        g, p, takes = (own, parts, f"words >= {MIN_WORDS}") if k < 2 else (less, str(PARTS), f"words >= {MIN_WORDS} and {fewer} > 0")
+        g, p, takes = ("g0", "p0", f"words >= {MIN_WORDS}") if k < 2 else ("g1", PARTS, f"words >= {MIN_WORDS} and p1 > 0")
         ahead = f"cast({p} div 2 * {g} div {p} as int)"
         columns.append(F.expr(f"if({takes}, xxhash64(substring_index(norm, ' ', {ahead if k % 2 == 0 else f'{ahead} - {g}'}), {k % 2}, {g}), null)").alias(name))
     return columns
@@ -176,9 +178,7 @@ def shared_halves(lines: DataFrame, work: Staged) -> DataFrame:
     shared = each.groupBy("half").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).where("lo <> hi").select("half")
     shared = work.put(shared, "shared-halves")
     texts = sized(lines, MIN_WORDS, ANY).select("h", "norm", "len", "words", F.posexplode(F.array(*HALVES)).alias("k", "half"))
-    own, less, parts, fewer = _taken()
-    some = passing(texts.where("half is not null"), "half", shared)
-    return _sides(some.selectExpr("*", f"{own} as g0", f"{less} as g1", f"{parts} as p0", f"{fewer} as p1"))
+    return _sides(with_cells(passing(texts.where("half is not null"), "half", shared)))
 
 
 def gap_keys(lines: DataFrame) -> DataFrame:
@@ -376,8 +376,10 @@ def removed_lines(docs: DataFrame, work: Staged) -> DataFrame:
     seen = every.select("doc_id", "content", "line_no", "h")
     placed = work.put(passing(seen, "h", repeated).join(repeated, "h").drop("h"), "repeated-occurrences")
     key = ["doc_id", "content", "line_no"]
-    kept = placed.groupBy("group").agg(F.min(F.struct(*key)).alias("kept"))
-    return placed.join(kept, "group").where(f"not (struct({', '.join(key)}) <=> kept)").select(*key)
+    # joined by place, as a group may be large
+    kept = placed.groupBy("group").agg(F.min(F.struct(*key)).alias("kept")).select("kept.*")
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key]
+    return placed.select(*key).alias("a").join(kept.alias("b"), same, "left_anti")
 
 
 def without_repeated_lines(docs: DataFrame, removed: str) -> DataFrame:
